@@ -1,0 +1,18 @@
+"""Broadcasting behind a count."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
+
+    The count reads at most ``max_rows + 1`` rows. A larger side is returned as
+    it is and joined by shuffling. For narrow rows only (ids and names).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
