@@ -72,7 +72,7 @@ def addresses() -> dict[str, str]:
             SELECT s.objectid AS house_objectid, housenum, addnum1, addnum2, street_name, street_type,
               string_agg(DISTINCT label, ', ' ORDER BY label) AS parent_address
             FROM on_street s JOIN placed p ON s.path = p.path
-            WHERE street_name = 'Customer#000000013' AND street_type = 'building' AND street_level = '8'
+            WHERE street_name = 'Customer#000000052' AND street_type = 'building' AND street_level = '8'
               AND level_num <= 6
             GROUP BY ALL"""),
         "aq6_full_address": sql(f""", {PATH_ADDRESS},
@@ -88,19 +88,184 @@ def addresses() -> dict[str, str]:
         "aq8_houses_with_addresses": sql(f", {HOUSE_VIEW} SELECT * FROM house_view"),
         "aq9_find_houses": sql(f""", {PATH_ADDRESS}, {HOUSE_FUNCTION}, {ON_STREET}
             SELECT objectid, full_address FROM (SELECT objectid FROM on_street
-              WHERE street_name ILIKE '%customer#00000001%' AND street_level = '8' AND housenum = '45'
+              WHERE street_name ILIKE '%customer#00000005%' AND street_level = '8' AND housenum = '45'
               ORDER BY objectid LIMIT 10) JOIN house_function USING (objectid)"""),
         "at4_search_view": sql(f""", {HOUSE_VIEW} SELECT * FROM house_view
-            WHERE address_without_house ILIKE '%Customer#00000001%' ORDER BY housenum, house_objectid LIMIT 10"""),
+            WHERE address_without_house ILIKE '%Customer#00000005%' ORDER BY housenum, house_objectid LIMIT 10"""),
         "at5_search_full_address": sql(f""", {HOUSE_VIEW} SELECT house_objectid, full_address FROM house_view
-            WHERE full_address ILIKE '%asia%' AND full_address ILIKE '%customer#00000001%'
+            WHERE full_address ILIKE '%asia%' AND full_address ILIKE '%customer#00000005%'
             ORDER BY housenum, house_objectid LIMIT 5"""),
         "at6_houses_of_named_street": sql(f""", {PATH_ADDRESS}, {HOUSE_FUNCTION}, {ON_STREET}
             SELECT objectid AS house_objectid, housenum, full_address FROM (SELECT objectid, housenum FROM on_street
-              WHERE street_name = 'Customer#000000013' AND street_type = 'building' AND street_level = '8'
+              WHERE street_name = 'Customer#000000052' AND street_type = 'building' AND street_level = '8'
               ORDER BY housenum, objectid LIMIT 10) JOIN house_function USING (objectid)"""),
     }
 
 
+def hierarchy() -> dict[str, str]:
+    ancestors = (
+        "SELECT l.objectid AS target_objectid, pos AS position, element AS objectid, level, level_name, typename, name, "
+        "label AS display_name FROM live l JOIN placed p ON l.path = p.path LEFT JOIN level_name USING (level_num)"
+    )
+    # Rows of a walk along the parent links, from the given start rows.
+    node = "node AS (SELECT a.*, l.parentobjid, l.path FROM place a JOIN live l ON a.objectid = l.objectid)"
+    walk = """, {node}, walk AS (
+        SELECT objectid AS start, objectid, parentobjid, path, name, typename, label, level_num, 0 AS depth
+        FROM node WHERE {first}
+        UNION ALL
+        SELECT w.start, n.objectid, n.parentobjid, n.path, n.name, n.typename, n.label, n.level_num, w.depth + 1
+        FROM walk w JOIN node n ON {link} {limit})"""
+    down, up = "n.parentobjid = w.objectid", "n.objectid = w.parentobjid"
+    tree = """SELECT start AS root_objectid, repeat('  ', depth) || name AS name_indented, objectid,
+        level_num AS level, typename, CAST(depth AS BIGINT) AS depth FROM walk"""
+
+    def subtree(first: str, limit: str = "", tail: str = "") -> str:
+        return sql(walk.format(node=node, first=first, link=down, limit=limit) + tree + tail, recursive=True)
+
+    def children(extra: str) -> str:
+        return f"""SELECT parentobjid, row_number() OVER (PARTITION BY parentobjid ORDER BY name, a.objectid) AS num,
+            a.objectid, name, typename, path FROM place a JOIN live l ON a.objectid = l.objectid {extra}"""
+
+    under = """SELECT a.objectid, level_num, level_name, typename, name, path, parentobjid
+        FROM place a JOIN live l ON a.objectid = l.objectid LEFT JOIN level_name USING (level_num) """
+    return {
+        "aq1_address_chain": sql(walk.format(node=node, first="true", link=up, limit="") + """,
+            whole AS (SELECT start, string_agg(label, ', ' ORDER BY level_num, depth DESC) AS full_address
+              FROM walk GROUP BY start)
+            SELECT w.start AS target_objectid, objectid, level_num AS level, typename, name,
+              CAST(depth + 1 AS BIGINT) AS depth, full_address FROM walk w JOIN whole USING (start)""", recursive=True),
+        "mq1_object_card": sql("""SELECT a.objectid, objectguid, a.name, typename, level, level_name, path, parentobjid
+            FROM place a JOIN live l ON a.objectid = l.objectid LEFT JOIN level_name USING (level_num)"""),
+        "mq2_ancestors_of_roots": sql(ancestors + " WHERE l.parentobjid IS NULL"),
+        "mq4_numbered_children": sql(children("WHERE level = '3'")),
+        "mq4_numbered_children_of_one": sql(children("WHERE level = '3' AND parentobjid = 1")),
+        "mq5a_subtree_to_level_6": subtree("level_num = 1", "WHERE n.level_num <= 6"),
+        "mq5b_subtree_of_one": subtree("objectid = 1", "", " ORDER BY path, objectid LIMIT 100"),
+        "mq6_ancestors": sql(ancestors),
+        "mq7_address_line": sql(f"""SELECT {LABELS} AS full_address FROM live l JOIN placed p ON l.path = p.path
+            WHERE l.objectid = 1000052"""),
+        "mq7_address_line_of_none": sql(f"""SELECT {LABELS} AS full_address FROM live l JOIN placed p
+            ON l.path = p.path WHERE l.objectid = 20000000"""),
+        "mq8_objects_under": sql(under + "WHERE starts_with(path, '1') AND level_num BETWEEN 1 AND 6"),
+        "mq8_objects_to_level_8": sql(under + "WHERE level_num <= 8"),
+        "mq8_objects_of_level_3": sql(under + "WHERE level_num = 3"),
+        "mq8_objects_under_strict": sql(under + "WHERE (path = '1' OR starts_with(path, '1.')) AND level_num <= 8"),
+        "mq9_child_by_name": sql("""SELECT a.objectid, name, typename, level, path FROM place a JOIN live l
+            ON a.objectid = l.objectid WHERE parentobjid = 1 AND level = '3' AND name ILIKE '%a%'"""),
+        "mq10_settlements_below": sql("""SELECT a.objectid, name, typename, level, level_name, path FROM place a
+            JOIN live l ON a.objectid = l.objectid LEFT JOIN level_name USING (level_num)
+            WHERE path LIKE '8.%' AND level_num IN (5, 6)"""),
+        "j9_walk_down": subtree("level_num = 1"),
+    }
+
+
+def statistics() -> dict[str, str]:
+    def levels(where: str, root: str = "") -> str:
+        return f"""SELECT {root} level_num, level_name, count(*) AS object_count FROM place a
+            JOIN live l ON a.objectid = l.objectid LEFT JOIN level_name USING (level_num) {where} GROUP BY ALL"""
+
+    def houses(where: str, root: str = "") -> str:
+        group = "GROUP BY ALL" if root else ""
+        return f"SELECT {root} count(*) AS houses_count FROM house h JOIN live l ON h.objectid = l.objectid {where} {group}"
+
+    def both(where: str) -> str:
+        return f"""SELECT 'addr_obj' AS source_table, level_num, level_name, object_count AS count FROM ({levels(where)})
+            UNION ALL SELECT 'houses', 10, 'Здание (дом)', houses_count FROM ({houses(where)})"""
+
+    root = "CAST(string_split(path, '.')[1] AS BIGINT) AS root_objectid,"
+    under = "WHERE path LIKE '{}%'".format
+    return {
+        "aq10_counts_by_level": sql("""SELECT level, level_name, count(*) AS total_objects,
+              count(*) FILTER (isactual = 1) AS actual_objects, count(*) FILTER (isactive = 1) AS active_objects
+            FROM (SELECT CAST(level AS BIGINT) AS level, isactual, isactive FROM addr_obj)
+              LEFT JOIN level_name ON level = level_num GROUP BY ALL"""),
+        "mq3_level_counts": sql(levels("WHERE path LIKE '1%' AND level_num <= 6")),
+        "mq3_level_counts_strict": sql(levels("WHERE (path = '1' OR path LIKE '1.%') AND level_num <= 6")),
+        "mq3_level_counts_by_root": sql(levels("WHERE level_num <= 6", root)),
+        "mq5c_level_counts_of_district": sql(levels(under("1.100"))),
+        "mq11a_house_count": sql(houses(under("1"))),
+        "mq11a_house_count_strict": sql(houses("WHERE path = '1' OR path LIKE '1.%'")),
+        "mq11a_house_counts_by_root": sql(houses("", root)),
+        "mq11c_house_count_of_district": sql(houses(under("1.100"))),
+        "mq11d_statistics_of_district": sql(both(under("1.100"))),
+        "mq11d_statistics": sql(both("")),
+    }
+
+
+HOUSE_TYPE_SQL = "CASE housetype " + " ".join(
+    f"WHEN {code} THEN '{name}'"
+    for code, name in enumerate(
+        "Дом Домовладение Гараж Здание Шахта Строение Сооружение Литера Корпус Подвал Котельная Погреб".split(), 1
+    )
+) + " WHEN 13 THEN 'Объект незавершенного строительства' ELSE 'Другое' END"
+
+
+def houses() -> dict[str, str]:
+    return {
+        "mq11b_houses_of_streets": sql(f"""SELECT parentobjid AS street_objectid, h.objectid, housenum, addnum1, addnum2,
+              housetype, {HOUSE_TYPE_SQL} AS housetype_name
+            FROM house h JOIN live l ON h.objectid = l.objectid WHERE parentobjid IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY parentobjid ORDER BY housenum NULLS FIRST, h.objectid) <= 20"""),
+        "mq11e_house_by_address": sql(f""", {ON_STREET} SELECT objectid, housenum, addnum1, addnum2, housetype,
+              street_name, street_type FROM on_street
+            WHERE street_name = 'Customer#000000052' AND street_type = 'building' AND housenum = '45'"""),
+        "mq11f_actual_house_addresses": sql(f""", {PATH_ADDRESS}, {HOUSE_FUNCTION}
+            SELECT h.objectid, coalesce(full_address, 'Адрес не найден') AS full_address
+            FROM house h LEFT JOIN house_function f ON h.objectid = f.objectid"""),
+        "mq11g_addresses_through_parent": sql(f"""SELECT h.objectid AS house_objectid,
+              {LABELS} || {HOUSE_SUFFIX} AS full_address_level_1_to_10
+            FROM house h JOIN live l ON h.objectid = l.objectid JOIN live up ON l.parentobjid = up.objectid
+              JOIN placed p ON up.path = p.path GROUP BY h.objectid, housenum, addnum1, addnum2"""),
+    }
+
+
+def wide() -> dict[str, str]:
+    levels = ", ".join(
+        f"max(CASE WHEN level_num = {k} THEN {column} END) AS level_{k}_{name}"
+        for k in (1, 3, 5, 6, 7, 8)
+        for name, column in [("objectid", "element"), ("objectguid", "p.objectguid"), ("typename", "typename"), ("name", "name")]
+    )
+    house = "house_id, house_guid, housenum, addnum1, addnum2, housetype"
+    flat = ", flat_id, flat_guid, flat_number, aparttype"
+    room = ", room_id, room_guid, room_number, roomtype"
+    house_out = """house_id AS level_10_objectid, house_guid AS level_10_objectguid, housenum AS level_10_housenum,
+        addnum1 AS level_10_addnum1, addnum2 AS level_10_addnum2, housetype AS level_10_housetype, """
+    flat_out = """flat_id AS level_9_objectid, flat_guid AS level_9_objectguid, flat_number AS level_9_number,
+        aparttype AS level_9_aparttype, """
+    room_out = """room_id AS level_65_objectid, room_guid AS level_65_objectguid, room_number AS level_65_number,
+        roomtype AS level_65_roomtype, """
+    flat_tail, room_tail = "coalesce(', кв. ' || flat_number, '')", "coalesce(', пом. ' || room_number, '')"
+
+    def table(kind: str, prefix: str = "", keep_empty: bool = False) -> str:
+        keys, out, tail, last, more = house, house_out, "''", "", ""
+        if kind in ("flat", "room"):
+            keys, out, tail, last = keys + flat, flat_out + out, flat_tail, "flat_id"
+            more = """LEFT JOIN live fl ON fl.parentobjid = house_id LEFT JOIN (SELECT objectid AS flat_id,
+                objectguid AS flat_guid, number AS flat_number, aparttype FROM apartments WHERE isactual = 1) f
+                ON fl.objectid = flat_id"""
+        if kind == "room":
+            keys, out, tail, last = keys + room, room_out + out, tail + " || " + room_tail, "room_id"
+            more += """ LEFT JOIN live rl ON rl.parentobjid = flat_id LEFT JOIN (SELECT objectid AS room_id,
+                objectguid AS room_guid, number AS room_number, roomtype FROM rooms WHERE isactual = 1) r
+                ON rl.objectid = room_id"""
+        filled = f"WHERE {last} IS NOT NULL" if last and not keep_empty else ""
+        return sql(f""", base AS (
+            SELECT h.objectid AS house_id, h.objectguid AS house_guid, housenum, addnum1, addnum2, housetype,
+              up.path AS street_path
+            FROM house h JOIN live l ON h.objectid = l.objectid JOIN live up ON l.parentobjid = up.objectid
+            WHERE starts_with(l.path, '{prefix}'))
+            SELECT {out} {levels}, {LABELS} || {HOUSE_SUFFIX} || {tail} AS full_address
+            FROM base {more} JOIN placed p ON street_path = p.path {filled} GROUP BY {keys}""")
+
+    return {
+        "mq12_all_houses": table("house"),
+        "mq12_all_houses_under": table("house", prefix="1"),
+        "mq13_all_apartments": table("flat"),
+        "mq13_all_apartments_keep_empty": table("flat", keep_empty=True),
+        "mq14_all_rooms": table("room"),
+        "mq14_all_rooms_keep_empty": table("room", keep_empty=True),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return addresses()
+    return addresses() | hierarchy() | statistics() | houses() | wide()

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from addrspark.fixtures import derived_registry
-from addrspark.plans import addresses as adr
+from addrspark.plans import addresses as adr, hierarchy as hie, houses as hou, statistics as sta, wide as wid
 from addrspark.registry import Registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Searched names: the fixtures' streets carry customer names.
-STREET, STREET_TYPE = "Customer#000000013", "building"
-STREET_PART = "customer#00000001"
+STREET, STREET_TYPE = "Customer#000000052", "building"
+STREET_PART = "customer#00000005"
 
 
 def over_registry(query: Callable[[Registry], DataFrame]) -> Query:
@@ -49,11 +49,77 @@ def addresses() -> dict[str, Query]:
         "aq7_house_address": house_address,
         "aq8_houses_with_addresses": over_registry(adr.houses_with_addresses),
         "aq9_find_houses": over_registry(lambda reg: adr.find_houses(reg, STREET_PART, "45")),
-        "at4_search_view": over_registry(lambda reg: adr.search_view(reg, "Customer#00000001")),
+        "at4_search_view": over_registry(lambda reg: adr.search_view(reg, "Customer#00000005")),
         "at5_search_full_address": over_registry(lambda reg: adr.search_full_address(reg, ["asia", STREET_PART])),
         "at6_houses_of_named_street": over_registry(lambda reg: adr.houses_of_named_street(reg, STREET, STREET_TYPE)),
     }
 
 
+def roots(reg: Registry) -> DataFrame:
+    return reg.hierarchy.where("parentobjid is null").select("objectid")
+
+
+def regions(reg: Registry) -> DataFrame:
+    return reg.places.where("level_num = 1").select("objectid")
+
+
+def hierarchy() -> dict[str, Query]:
+    return {
+        "aq1_address_chain": over_registry(hie.address_chain),
+        "mq1_object_card": over_registry(hie.object_card),
+        "mq2_ancestors_of_roots": over_registry(lambda reg: hie.ancestors(reg, roots(reg))),
+        "mq4_numbered_children": over_registry(hie.numbered_children),
+        "mq4_numbered_children_of_one": over_registry(lambda reg: hie.numbered_children(reg, parent=1)),
+        "mq5a_subtree_to_level_6": over_registry(lambda reg: hie.subtree(reg, regions(reg), max_level=6)),
+        "mq5b_subtree_of_one": over_registry(lambda reg: hie.subtree(reg, [1], limit=100)),
+        "mq6_ancestors": over_registry(hie.ancestors),
+        "mq7_address_line": over_registry(lambda reg: adr.address_line(reg, 1000052)),
+        "mq7_address_line_of_none": over_registry(lambda reg: adr.address_line(reg, 20000000)),
+        "mq8_objects_under": over_registry(lambda reg: hie.objects_under(reg, "1")),
+        "mq8_objects_to_level_8": over_registry(lambda reg: hie.objects_under(reg, None, max_level=8)),
+        "mq8_objects_of_level_3": over_registry(lambda reg: hie.objects_under(reg, None, min_level=3, max_level=3)),
+        "mq8_objects_under_strict": over_registry(lambda reg: hie.objects_under(reg, "1", max_level=8, strict=True)),
+        "mq9_child_by_name": over_registry(lambda reg: hie.child_by_name(reg, 1, "A")),
+        "mq10_settlements_below": over_registry(lambda reg: hie.settlements_below(reg, "8")),
+        "j9_walk_down": over_registry(lambda reg: hie.subtree(reg, regions(reg))),
+    }
+
+
+def statistics() -> dict[str, Query]:
+    return {
+        "aq10_counts_by_level": over_registry(sta.counts_by_level),
+        "mq3_level_counts": over_registry(lambda reg: sta.level_counts(reg, "1", max_level=6)),
+        "mq3_level_counts_strict": over_registry(lambda reg: sta.level_counts(reg, "1", max_level=6, strict=True)),
+        "mq3_level_counts_by_root": over_registry(lambda reg: sta.level_counts_by_root(reg, max_level=6)),
+        "mq5c_level_counts_of_district": over_registry(lambda reg: sta.level_counts(reg, "1.100")),
+        "mq11a_house_count": over_registry(lambda reg: sta.house_count(reg, "1")),
+        "mq11a_house_count_strict": over_registry(lambda reg: sta.house_count(reg, "1", strict=True)),
+        "mq11a_house_counts_by_root": over_registry(sta.house_counts_by_root),
+        "mq11c_house_count_of_district": over_registry(lambda reg: sta.house_count(reg, "1.100")),
+        "mq11d_statistics_of_district": over_registry(lambda reg: sta.full_statistics(reg, "1.100")),
+        "mq11d_statistics": over_registry(sta.full_statistics),
+    }
+
+
+def houses() -> dict[str, Query]:
+    return {
+        "mq11b_houses_of_streets": over_registry(hou.houses_of_streets),
+        "mq11e_house_by_address": over_registry(lambda reg: hou.house_by_address(reg, STREET, STREET_TYPE, "45")),
+        "mq11f_actual_house_addresses": over_registry(hou.actual_house_addresses),
+        "mq11g_addresses_through_parent": over_registry(hou.addresses_through_parent),
+    }
+
+
+def wide() -> dict[str, Query]:
+    return {
+        "mq12_all_houses": over_registry(wid.all_houses),
+        "mq12_all_houses_under": over_registry(lambda reg: wid.all_houses(reg, "1")),
+        "mq13_all_apartments": over_registry(wid.all_apartments),
+        "mq13_all_apartments_keep_empty": over_registry(lambda reg: wid.all_apartments(reg, keep_empty=True)),
+        "mq14_all_rooms": over_registry(wid.all_rooms),
+        "mq14_all_rooms_keep_empty": over_registry(lambda reg: wid.all_rooms(reg, keep_empty=True)),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return addresses()
+    return addresses() | hierarchy() | statistics() | houses() | wide()
