@@ -205,7 +205,7 @@ def houses() -> dict[str, str]:
         "mq11b_houses_of_streets": sql(f"""SELECT parentobjid AS street_objectid, h.objectid, housenum, addnum1, addnum2,
               housetype, {HOUSE_TYPE_SQL} AS housetype_name
             FROM house h JOIN live l ON h.objectid = l.objectid WHERE parentobjid IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY parentobjid ORDER BY housenum NULLS FIRST, h.objectid) <= 20"""),
+            QUALIFY row_number() OVER (PARTITION BY parentobjid ORDER BY housenum, h.objectid) <= 20"""),
         "mq11e_house_by_address": sql(f""", {ON_STREET} SELECT objectid, housenum, addnum1, addnum2, housetype,
               street_name, street_type FROM on_street
             WHERE street_name = 'Customer#000000052' AND street_type = 'building' AND housenum = '45'"""),

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from addrspark.shared import materialize
 
 
+def ascending(*names: str) -> list[Column]:
+    """Sort keys with missing values last."""
+    return [F.col(name).asc_nulls_last() for name in names]
+
+
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "num") -> DataFrame:
     """Add the row number of each row in its group ``by``, from 1, in ``order``.
 
@@ -17,7 +22,7 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "num")
     ranged rows are written once, because both uses must see the same ranges.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *by, *order).withColumn("_piece", F.spark_partition_id())
+    ranged = df.repartitionByRange(partitions, *by, *ascending(*order)).withColumn("_piece", F.spark_partition_id())
     ranged = materialize(ranged, "numbered")
     pieces = ranged.groupBy(*by, "_piece").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -26,7 +31,7 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "num")
         F.col("_piece").alias("_of_piece"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
-    in_piece = Window.partitionBy(*by, "_piece").orderBy(*order)
+    in_piece = Window.partitionBy(*by, "_piece").orderBy(*ascending(*order))
     same = F.col("_piece") == F.col("_of_piece")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
@@ -43,5 +48,5 @@ def first_per_group(df: DataFrame, by: list[str], order: list[str], limit: int)
 
     Spark keeps only ``limit`` rows per group before the shuffle.
     """
-    window = Window.partitionBy(*by).orderBy(*order)
+    window = Window.partitionBy(*by).orderBy(*ascending(*order))
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")

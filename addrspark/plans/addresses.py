@@ -14,6 +14,7 @@ from addrspark.operators.addresses import (
     paths_of_bundles,
     place_steps,
 )
+from addrspark.operators.ranking import ascending
 from addrspark.operators.sizes import broadcast_if_small
 from addrspark.registry import Registry
 
@@ -159,7 +160,7 @@ def houses_on_street(reg: Registry, name: str, typename: str) -> DataFrame:
             F.col("objectid").alias("house_objectid"), "housenum", "addnum1", "addnum2", "street_name", "street_type",
             joined("names").alias("parent_address"),
         )
-        .orderBy("housenum", "house_objectid")
+        .orderBy(*ascending("housenum", "house_objectid"))
     )
 
 
@@ -167,16 +168,16 @@ def find_houses(reg: Registry, street_part: str, housenum: str, limit: int = 10)
     """Houses by part of the street name and the number, with their addresses."""
     match = contains_text("name", street_part) & (F.col("level") == "8")
     found = on_street(reg, match).where(F.col("housenum") == housenum)
-    found = found.select("objectid").orderBy("objectid").limit(limit)
+    found = found.select("objectid").orderBy(*ascending("objectid")).limit(limit)
     return _addressed(reg, found)
 
 
 def houses_of_named_street(reg: Registry, name: str, typename: str, limit: int = 10) -> DataFrame:
     """First houses of an exactly named street, with their addresses."""
     match = (F.col("name") == name) & (F.col("typename") == typename) & (F.col("level") == "8")
-    found = on_street(reg, match).select("objectid", "housenum").orderBy("housenum", "objectid").limit(limit)
+    found = on_street(reg, match).select("objectid", "housenum").orderBy(*ascending("housenum", "objectid")).limit(limit)
     result = _addressed(reg, found).withColumnRenamed("objectid", "house_objectid")
-    return result.select("house_objectid", "housenum", "full_address").orderBy("housenum", "house_objectid")
+    return result.select("house_objectid", "housenum", "full_address").orderBy(*ascending("housenum", "house_objectid"))
 
 
 def _addressed(reg: Registry, found: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def _addressed(reg: Registry, found: DataFrame) -> DataFrame:
 def search_view(reg: Registry, place_part: str, limit: int = 10) -> DataFrame:
     """First rows of the house view whose place address contains a text."""
     view = houses_with_addresses(reg).where(contains_text("address_without_house", place_part))
-    return view.orderBy("housenum", "house_objectid").limit(limit)
+    return view.orderBy(*ascending("housenum", "house_objectid")).limit(limit)
 
 
 def search_full_address(reg: Registry, parts: list[str], limit: int = 5) -> DataFrame:
@@ -195,4 +196,4 @@ def search_full_address(reg: Registry, parts: list[str], limit: int = 5) -> Data
     view = houses_with_addresses(reg)
     for part in parts:
         view = view.where(contains_text("full_address", part))
-    return view.orderBy("housenum", "house_objectid").limit(limit).select("house_objectid", "full_address")
+    return view.orderBy(*ascending("housenum", "house_objectid")).limit(limit).select("house_objectid", "full_address")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from addrspark.functions.names import contains_text, indented
 from addrspark.functions.paths import below, under
 from addrspark.operators.addresses import SEPARATOR, address_key, bundle_of, paths_of_bundles, place_steps
-from addrspark.operators.ranking import numbered
+from addrspark.operators.ranking import ascending, numbered
 from addrspark.operators.walks import walk_down, walk_up
 from addrspark.plans.addresses import limited_to
 from addrspark.registry import Registry
@@ -32,7 +32,7 @@ def address_chain(reg: Registry, ids: DataFrame | list[int] | None = None) -> Da
         "name",
         "depth",
         F.when(F.size(labels) > 0, F.array_join(labels, SEPARATOR)).alias("full_address"),
-    ).orderBy("target_objectid", "level", "depth")
+    ).orderBy(*ascending("target_objectid", "level", "depth"))
 
 
 def object_card(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFrame:
@@ -57,7 +57,7 @@ def ancestors(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
         bundles.join(steps, "bundle")
         .select(F.col("objectid").alias("target_objectid"), F.inline("steps"))
         .withColumnsRenamed({"element_id": "objectid", "label": "display_name"})
-        .orderBy("target_objectid", "position")
+        .orderBy(*ascending("target_objectid", "position"))
     )
 
 
@@ -71,7 +71,7 @@ def numbered_children(reg: Registry, level: str = "3", parent: int | None = None
     )
     return numbered(children, ["parentobjid"], ["name", "objectid", "path"]).select(
         "parentobjid", "num", "objectid", "name", "typename", "path"
-    ).orderBy("parentobjid", "num")
+    ).orderBy(*ascending("parentobjid", "num"))
 
 
 def numbered_places(reg: Registry, level: str) -> DataFrame:
@@ -84,7 +84,7 @@ def child_by_name(reg: Registry, parent: int, part: str, level: str = "3") -> Da
     """Children of a parent by level and part of the name."""
     places = reg.places.where((F.col("level") == level) & contains_text("name", part))
     rows = places.join(reg.hierarchy.where(F.col("parentobjid") == parent), "objectid")
-    return rows.select("objectid", "name", "typename", "level", "path").orderBy("name", "objectid")
+    return rows.select("objectid", "name", "typename", "level", "path").orderBy(*ascending("name", "objectid"))
 
 
 def objects_under(
@@ -95,7 +95,7 @@ def objects_under(
     rows = reg.places.where(F.col("level_num").between(min_level, max_level)).join(hierarchy, "objectid")
     return with_level_name(rows, reg).select(
         "objectid", "level_num", "level_name", "typename", "name", "path", "parentobjid"
-    ).orderBy("level_num", "path", "objectid")
+    ).orderBy(*ascending("level_num", "path", "objectid"))
 
 
 def settlements_below(reg: Registry, prefix: str) -> DataFrame:
@@ -103,7 +103,7 @@ def settlements_below(reg: Registry, prefix: str) -> DataFrame:
     rows = reg.places.where(F.col("level_num").isin(5, 6)).join(reg.hierarchy.where(below(prefix)), "objectid")
     return (
         with_level_name(rows, reg)
-        .orderBy("level_num", "name", "objectid")
+        .orderBy(*ascending("level_num", "name", "objectid"))
         .select("objectid", "name", "typename", "level", "level_name", "path")
     )
 
@@ -112,7 +112,7 @@ def subtree(
     reg: Registry, roots: DataFrame | list[int] | None, max_level: int | None = None, limit: int | None = None
 ) -> DataFrame:
     """Names indented by depth, in path order; paths sort as text."""
-    rows = walk_down(reg, roots, max_level).orderBy("start_objectid", "path", "objectid")
+    rows = walk_down(reg, roots, max_level).orderBy(*ascending("start_objectid", "path", "objectid"))
     if limit is not None:
         rows = rows.limit(limit)
     return rows.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from addrspark.functions.names import house_suffix, house_type_name
 from addrspark.operators.addresses import bundle_of, bundle_parts, joined, paths_of_parents
-from addrspark.operators.ranking import first_per_group
+from addrspark.operators.ranking import ascending, first_per_group
 from addrspark.plans.addresses import HOUSE_KEYS, house_address, limited_to, on_street
 from addrspark.registry import Registry
 
@@ -19,7 +19,7 @@ def houses_of_streets(reg: Registry, streets: list[int] | None = None, limit: in
     return first.select(
         F.col("parentobjid").alias("street_objectid"), *HOUSE_KEYS, "housetype",
         house_type_name("housetype").alias("housetype_name"),
-    ).orderBy("street_objectid", "housenum", "objectid")
+    ).orderBy(*ascending("street_objectid", "housenum", "objectid"))
 
 
 def house_by_address(reg: Registry, street: str, street_type: str, housenum: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from addrspark.functions.paths import root_id, under
+from addrspark.operators.ranking import ascending
 from addrspark.registry import Registry
 
 # How houses appear among the levels.
@@ -35,7 +36,7 @@ def counts_by_level(reg: Registry) -> DataFrame:
     )
     sums = ["total_objects", "actual_objects", "active_objects"]
     named = named_levels(counts, reg, [], sums)
-    return named.select(F.col("level_num").alias("level"), "level_name", *sums).orderBy("level")
+    return named.select(F.col("level_num").alias("level"), "level_name", *sums).orderBy(*ascending("level"))
 
 
 def _placed(reg: Registry, prefix: str | None, strict: bool, max_level: int | None) -> DataFrame:
@@ -49,14 +50,14 @@ def level_counts(
 ) -> DataFrame:
     """Address objects per level under a path prefix (None: anywhere)."""
     counts = _placed(reg, prefix, strict, max_level).groupBy("level_num").agg(F.count("*").alias("object_count"))
-    return named_levels(counts, reg, [], ["object_count"]).orderBy("level_num")
+    return named_levels(counts, reg, [], ["object_count"]).orderBy(*ascending("level_num"))
 
 
 def level_counts_by_root(reg: Registry, max_level: int | None = None) -> DataFrame:
     """Address objects per root of the hierarchy and level, for all roots at once."""
     rows = _placed(reg, None, False, max_level)
     counts = rows.groupBy(root_id().alias("root_objectid"), "level_num").agg(F.count("*").alias("object_count"))
-    return named_levels(counts, reg, ["root_objectid"], ["object_count"]).orderBy("root_objectid", "level_num")
+    return named_levels(counts, reg, ["root_objectid"], ["object_count"]).orderBy(*ascending("root_objectid", "level_num"))
 
 
 def _housed(reg: Registry, prefix: str | None, strict: bool) -> DataFrame:
@@ -85,4 +86,4 @@ def full_statistics(reg: Registry, prefix: str | None = None, strict: bool = Fal
         F.lit(HOUSE_LEVEL_NAME).alias("level_name"),
         F.col("houses_count").alias("count"),
     )
-    return objects.unionByName(houses).orderBy("level_num", "source_table")
+    return objects.unionByName(houses).orderBy(*ascending("level_num", "source_table"))
