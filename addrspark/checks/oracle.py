@@ -75,6 +75,11 @@ def addresses() -> dict[str, str]:
             WHERE street_name = 'Customer#000000052' AND street_type = 'building' AND street_level = '8'
               AND level_num <= 6
             GROUP BY ALL"""),
+        "aq5_houses_on_all_streets": sql(f""", {ON_STREET}
+            SELECT s.objectid AS house_objectid, housenum, addnum1, addnum2, street_name, street_type,
+              string_agg(DISTINCT label, ', ' ORDER BY label) AS parent_address
+            FROM on_street s JOIN placed p ON s.path = p.path
+            WHERE street_level = '8' AND level_num <= 6 GROUP BY ALL"""),
         "aq6_full_address": sql(f""", {PATH_ADDRESS},
             wanted AS (SELECT objectid FROM addr_obj UNION SELECT objectid FROM steads
               UNION SELECT 20000000 + p_partkey FROM part),

@@ -45,6 +45,7 @@ def addresses() -> dict[str, Query]:
         "aq3_house_addresses": over_registry(adr.house_addresses),
         "aq4_apartment_addresses": over_registry(adr.apartment_addresses),
         "aq5_houses_on_street": over_registry(lambda reg: adr.houses_on_street(reg, STREET, STREET_TYPE)),
+        "aq5_houses_on_all_streets": over_registry(adr.houses_on_street),
         "aq6_full_address": full_address,
         "aq7_house_address": house_address,
         "aq8_houses_with_addresses": over_registry(adr.houses_with_addresses),

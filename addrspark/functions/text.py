@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Separators of a keyword, their replacement, the padding of n-grams.
-SEPARATORS = r"[\s\"'.,()\-_\\\/]"
+# Separators of a keyword (white space in the sense of Unicode, with
+# the four information separators), their replacement, the padding of n-grams.
+SEPARATORS = r"(?U)[\s\x1c-\x1f\"'.,()\-_\\\/]"
 REPLACEMENT = "_"
 PADDING = "__"
 

@@ -146,9 +146,13 @@ def on_street(reg: Registry, street: Column) -> DataFrame:
     return reg.houses.join(rows, "objectid")
 
 
-def houses_on_street(reg: Registry, name: str, typename: str) -> DataFrame:
-    """Houses of a street, with the distinct names of the places above it (levels to 6)."""
-    match = (F.col("name") == name) & (F.col("typename") == typename) & (F.col("level") == "8")
+def houses_on_street(reg: Registry, name: str | None = None, typename: str | None = None) -> DataFrame:
+    """Houses of a street (or of all) with the distinct names of the places above it (levels to 6)."""
+    match = F.col("level") == "8"
+    if name is not None:
+        match = match & (F.col("name") == name)
+    if typename is not None:
+        match = match & (F.col("typename") == typename)
     keys = [*HOUSE_KEYS, "street_name", "street_type"]
     rows = address_key(on_street(reg, match), reg.places.where("level_num <= 6"))
     bundles = rows.groupBy(*keys).agg(bundle_of("key_path"))
