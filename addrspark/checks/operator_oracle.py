@@ -114,7 +114,11 @@ def expressions() -> dict[str, str]:
         "e15_array_append": sql("""SELECT objectid,
             objectid || '<' || coalesce(CAST(parentobjid AS VARCHAR), 'none') AS pair FROM mun_hierarchy"""),
         "e16_keyword": f"SELECT doc_id, {keyword('text')} AS keyword, {keyword('source')} AS source FROM documents",
-        "e17_ngrams": f"SELECT doc_id, {grams('text')} AS grams FROM documents",
+        "e17_ngrams": f"""SELECT doc_id, string_agg(gram, ' ' ORDER BY pos) AS grams FROM (
+              SELECT doc_id, pos, c || lead(c) OVER near || lead(c, 2) OVER near AS gram FROM (
+                SELECT doc_id, unnest(string_split(padded, '')) AS c, generate_subscripts(string_split(padded, ''), 1) AS pos
+                FROM (SELECT doc_id, '__' || {keyword('text')} || '__' AS padded FROM documents))
+              WINDOW near AS (PARTITION BY doc_id ORDER BY pos)) GROUP BY doc_id""",
         "e17_ngrams_of_names": sql(f"SELECT objectid, {grams('name')} AS grams FROM addr_obj"),
     }
 

@@ -21,6 +21,12 @@ def ngrams(text: Column | str, n: int = 3) -> Column:
 
     A gram starts at every character except those of the closing padding.
     """
-    padded = F.concat(F.lit(PADDING), text, F.lit(PADDING))
-    starts = F.sequence(F.lit(1), F.length(padded) - len(PADDING))
-    return F.array_join(F.transform(starts, lambda i: F.substring(padded, i, F.lit(n))), " ")
+
+    def grams(chars: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(chars) - len(PADDING) - 1)
+        gram = F.transform(starts, lambda i: F.concat_ws("", *[F.get(chars, i + k) for k in range(n)]))
+        return F.array_join(gram, " ")
+
+    # Inside the outer array the characters are a variable, split once per text.
+    chars = F.split(F.concat(F.lit(PADDING), text, F.lit(PADDING)), "")
+    return F.get(F.transform(F.array(chars), grams), F.lit(0))
