@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from addrspark.sources.schemas import COMMON_TABLES, REGION_TABLES
 
-# The name of a table file, and of one with the region's folder.
-FILE_NAME = r"(?i)AS_([A-Z_]+?)(?:_\d[^/]*)?\.xml"
+# The path of a table file, with folders and table name, and the
+# region's folder in the path of a file or of a part of it.
+TABLE_FILE = r"(?i)^(.*/)?AS_([A-Z_]+?)(?:_\d[^/]*)?\.xml"
 REGION_FOLDER = r"/(\d+)/AS_[^/]+(?:/[^/]+)?$"
 XML = "[xX][mM][lL]"
 
@@ -24,19 +25,17 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "length")
     below = F.substring_index("path", base.rstrip("/") + "/", -1)
-    table_file = F.regexp_extract(below, r"(?i)^(?:.*/)?AS_[A-Z_]+?(?:_\d[^/]*)?\.xml", 0)
-    region = F.regexp_extract(table_file, r"(?:^|/)(\d+)/[^/]+$", 1)
-    return (
-        found.withColumn("file", table_file)
+    sizes = (
+        found.select(F.regexp_extract(below, TABLE_FILE, 0).alias("file"), "length")
         .where("file <> ''")
         .groupBy("file")
         .agg(F.sum("length").alias("bytes"))
-        .select(
-            F.upper(F.regexp_extract("file", FILE_NAME, 1)).alias("table"),
-            F.nullif(region, F.lit("")).alias("region"),
-            "file",
-            "bytes",
-        )
+    )
+    return sizes.select(
+        F.upper(F.regexp_extract("file", TABLE_FILE, 2)).alias("table"),
+        F.nullif(F.regexp_extract("file", r"(?:^|/)(\d+)/[^/]+$", 1), F.lit("")).alias("region"),
+        "file",
+        "bytes",
     )
 
 
