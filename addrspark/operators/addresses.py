@@ -3,9 +3,8 @@
 Thousands of objects share one street. So each object gets a ``bundle`` naming
 the path(s) its address is read from; only the distinct bundles are taken apart,
 joined to the address objects and put together; the result goes back by one join.
-A hot street or region then costs one bundle, and the last join, where such a key
-does hold many rows, is followed by no operator that needs its partitioning, so
-adaptive execution may split it.
+A hot street or region then costs one bundle. Only in the last join does such a key
+hold many rows, and that join can be split (see ``operators.joins``).
 
 A bundle is a text: one or more paths, or one or more parent ids, in order, with
 a blank between them. More than one appears only if an object has several active

@@ -14,6 +14,7 @@ from addrspark.operators.addresses import (
     paths_of_bundles,
     place_steps,
 )
+from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import ascending
 from addrspark.operators.sizes import broadcast_if_small
 from addrspark.registry import Registry
@@ -44,7 +45,7 @@ def addresses(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
     rows = limited_to(reg.hierarchy.select("objectid", "path"), ids)
     bundles = address_key(rows, reg.places).groupBy("objectid").agg(bundle_of("key_path"))
     parts = bundle_parts(paths_of_bundles(bundles), reg.places)
-    return bundles.join(parts, "bundle").select(
+    return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("target_objectid"), joined().alias("full_address")
     )
 
@@ -60,7 +61,7 @@ def houses_with_addresses(reg: Registry, ids: DataFrame | list[int] | None = Non
     bundles = house_bundles(reg, ids)
     parts = bundle_parts(paths_of_bundles(bundles), reg.places)
     place = joined()
-    return bundles.join(parts, "bundle").select(
+    return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("house_objectid"),
         "housenum",
         "addnum1",
@@ -87,10 +88,12 @@ def apartment_addresses(reg: Registry, ids: DataFrame | list[int] | None = None)
     keys = ["apartment_objectid", "number", "housenum", "addnum1", "addnum2"]
     houses = house_bundles(reg)
     bundles = (
-        apartments.join(links, "apartment_objectid").join(houses, "objectid").groupBy(*keys).agg(bundle_of("bundle"))
+        join_splitting(apartments.join(links, "apartment_objectid"), houses, "objectid")
+        .groupBy(*keys)
+        .agg(bundle_of("bundle"))
     )
     parts = bundle_parts(paths_of_bundles(bundles), reg.places)
-    return bundles.join(parts, "bundle").select(
+    return join_splitting(bundles, parts, "bundle").select(
         "apartment_objectid",
         F.col("number").alias("apartment_number"),
         F.concat(joined(), house_suffix(), apartment_suffix("number", required=True)).alias("full_address"),
@@ -101,7 +104,7 @@ def _with_parts(picked: DataFrame, reg: Registry) -> DataFrame:
     """Left-join the parts of the one path in ``key_path``."""
     bundles = picked.withColumnRenamed("key_path", "bundle")
     parts = bundle_parts(paths_of_bundles(bundles.where("bundle is not null")), reg.places)
-    return bundles.join(parts, "bundle", "left")
+    return join_splitting(bundles, parts, "bundle", "left")
 
 
 def full_address(reg: Registry, ids: DataFrame) -> DataFrame:
@@ -159,7 +162,7 @@ def houses_on_street(reg: Registry, name: str | None = None, typename: str | Non
     above = place_steps(paths_of_bundles(bundles), reg.places.where("level_num <= 6"))
     names = above.groupBy("bundle").agg(F.array_sort(F.collect_set("label")).alias("names"))
     return (
-        bundles.join(names, "bundle")
+        join_splitting(bundles, names, "bundle")
         .select(
             F.col("objectid").alias("house_objectid"), "housenum", "addnum1", "addnum2", "street_name", "street_type",
             joined("names").alias("parent_address"),

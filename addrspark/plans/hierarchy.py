@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from addrspark.functions.names import contains_text, indented
 from addrspark.functions.paths import below, under
 from addrspark.operators.addresses import SEPARATOR, address_key, bundle_of, paths_of_bundles, place_steps
+from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import ascending, numbered
 from addrspark.operators.walks import walk_down, walk_up
 from addrspark.plans.addresses import limited_to
@@ -54,7 +55,7 @@ def ancestors(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
     columns = ["position", "element_id", "level", "level_name", "typename", "name", "label"]
     steps = named.groupBy("bundle").agg(F.collect_list(F.struct(*columns)).alias("steps"))
     return (
-        bundles.join(steps, "bundle")
+        join_splitting(bundles, steps, "bundle")
         .select(F.col("objectid").alias("target_objectid"), F.inline("steps"))
         .withColumnsRenamed({"element_id": "objectid", "label": "display_name"})
         .orderBy(*ascending("target_objectid", "position"))

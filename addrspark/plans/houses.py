@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from addrspark.functions.names import house_suffix, house_type_name
 from addrspark.operators.addresses import bundle_of, bundle_parts, joined, paths_of_parents
+from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import ascending, first_per_group
 from addrspark.plans.addresses import HOUSE_KEYS, house_address, limited_to, on_street
 from addrspark.registry import Registry
@@ -41,7 +42,7 @@ def addresses_through_parent(reg: Registry, ids: DataFrame | list[int] | None =
     )
     bundles = rows.groupBy(*HOUSE_KEYS).agg(bundle_of("parentobjid"))
     parts = bundle_parts(paths_of_parents(bundles, reg.hierarchy), reg.places)
-    return bundles.join(parts, "bundle").select(
+    return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("house_objectid"),
         F.concat(joined(), house_suffix()).alias("full_address_level_1_to_10"),
     )
