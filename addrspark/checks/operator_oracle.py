@@ -147,7 +147,7 @@ def sinks() -> dict[str, str]:
     rows = """SELECT doc_id AS id, text, CASE WHEN lang <> 'fr' THEN lang END AS mark, n_chars > 500 AS long,
           CAST(NULL AS DATE) AS day FROM documents
         UNION ALL SELECT event_id, props, 'a' || chr(92) || 'b''c' || chr(9) || 'd' || chr(13) || event_type,
-          CAST(NULL AS BOOLEAN), CAST(ts AS DATE) FROM events"""
+          CAST(NULL AS BOOLEAN), DATE '2024-01-01' + CAST(event_id % 1000 AS INT) FROM events"""
 
     def lines(
         quote: str, separator: str, null: str, bits: tuple[str, str], escapes: list[tuple[str, str]], start: str = "''",

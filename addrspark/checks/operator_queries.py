@@ -219,7 +219,7 @@ def events_and_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("id"), F.col("props").alias("text"),
         F.concat(F.lit("a\\b'c\td\r"), "event_type").alias("mark"), F.lit(None).cast("boolean").alias("long"),
-        F.to_date("ts").alias("day"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("event_id") % 1000).cast("int")).alias("day"),
     )
     return documents.unionAll(events)
 

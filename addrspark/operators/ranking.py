@@ -12,6 +12,15 @@ def ascending(*names: str) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in names]
 
 
+def listed(df: DataFrame, ids: object, *names: str) -> DataFrame:
+    """Sorted if the query was asked for a list of objects to read.
+
+    The same query over a table of ids, or over all, is the input of further work;
+    sorting it would be one more shuffle of everything.
+    """
+    return df.orderBy(*ascending(*names)) if isinstance(ids, list) else df
+
+
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "num") -> DataFrame:
     """Add the row number of each row in its group ``by``, from 1, in ``order``.
 

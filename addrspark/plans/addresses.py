@@ -15,7 +15,7 @@ from addrspark.operators.addresses import (
     place_steps,
 )
 from addrspark.operators.joins import join_splitting
-from addrspark.operators.ranking import ascending
+from addrspark.operators.ranking import ascending, listed
 from addrspark.operators.sizes import broadcast_if_small
 from addrspark.registry import Registry
 
@@ -161,14 +161,11 @@ def houses_on_street(reg: Registry, name: str | None = None, typename: str | Non
     bundles = rows.groupBy(*keys).agg(bundle_of("key_path"))
     above = place_steps(paths_of_bundles(bundles), reg.places.where("level_num <= 6"))
     names = above.groupBy("bundle").agg(F.array_sort(F.collect_set("label")).alias("names"))
-    return (
-        join_splitting(bundles, names, "bundle")
-        .select(
-            F.col("objectid").alias("house_objectid"), "housenum", "addnum1", "addnum2", "street_name", "street_type",
-            joined("names").alias("parent_address"),
-        )
-        .orderBy(*ascending("housenum", "house_objectid"))
+    rows = join_splitting(bundles, names, "bundle").select(
+        F.col("objectid").alias("house_objectid"), "housenum", "addnum1", "addnum2", "street_name", "street_type",
+        joined("names").alias("parent_address"),
     )
+    return listed(rows, None if name is None else [name], "housenum", "house_objectid")
 
 
 def find_houses(reg: Registry, street_part: str, housenum: str, limit: int = 10) -> DataFrame:

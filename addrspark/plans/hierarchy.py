@@ -8,7 +8,7 @@ from addrspark.functions.names import contains_text, indented
 from addrspark.functions.paths import below, under
 from addrspark.operators.addresses import SEPARATOR, address_key, bundle_of, paths_of_bundles, place_steps
 from addrspark.operators.joins import join_splitting
-from addrspark.operators.ranking import ascending, numbered
+from addrspark.operators.ranking import ascending, listed, numbered
 from addrspark.operators.walks import walk_down, walk_up
 from addrspark.plans.addresses import limited_to
 from addrspark.registry import Registry
@@ -25,7 +25,7 @@ def address_chain(reg: Registry, ids: DataFrame | list[int] | None = None) -> Da
     whole = Window.partitionBy("start_objectid")
     ordered = F.array_sort(F.collect_list(F.struct("level_num", (-F.col("depth")).alias("rank"), "label")).over(whole))
     labels = F.filter(F.transform(ordered, lambda step: step["label"]), lambda label: label.isNotNull())
-    return chain.select(
+    rows = chain.select(
         F.col("start_objectid").alias("target_objectid"),
         "objectid",
         F.col("level_num").alias("level"),
@@ -33,7 +33,8 @@ def address_chain(reg: Registry, ids: DataFrame | list[int] | None = None) -> Da
         "name",
         "depth",
         F.when(F.size(labels) > 0, F.array_join(labels, SEPARATOR)).alias("full_address"),
-    ).orderBy(*ascending("target_objectid", "level", "depth"))
+    )
+    return listed(rows, ids, "target_objectid", "level", "depth")
 
 
 def object_card(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFrame:
@@ -54,12 +55,12 @@ def ancestors(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
     named = with_level_name(place_steps(paths_of_bundles(bundles), reg.places), reg)
     columns = ["position", "element_id", "level", "level_name", "typename", "name", "label"]
     steps = named.groupBy("bundle").agg(F.collect_list(F.struct(*columns)).alias("steps"))
-    return (
+    rows = (
         join_splitting(bundles, steps, "bundle")
         .select(F.col("objectid").alias("target_objectid"), F.inline("steps"))
         .withColumnsRenamed({"element_id": "objectid", "label": "display_name"})
-        .orderBy(*ascending("target_objectid", "position"))
     )
+    return listed(rows, ids, "target_objectid", "position")
 
 
 def numbered_children(reg: Registry, level: str = "3", parent: int | None = None) -> DataFrame:
@@ -70,9 +71,10 @@ def numbered_children(reg: Registry, level: str = "3", parent: int | None = None
         .join(hierarchy, "objectid")
         .select("parentobjid", "objectid", "name", "typename", "path")
     )
-    return numbered(children, ["parentobjid"], ["name", "objectid", "path"]).select(
+    rows = numbered(children, ["parentobjid"], ["name", "objectid", "path"]).select(
         "parentobjid", "num", "objectid", "name", "typename", "path"
-    ).orderBy(*ascending("parentobjid", "num"))
+    )
+    return listed(rows, None if parent is None else [parent], "num")
 
 
 def numbered_places(reg: Registry, level: str) -> DataFrame:

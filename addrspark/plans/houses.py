@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from addrspark.functions.names import house_suffix, house_type_name
 from addrspark.operators.addresses import bundle_of, bundle_parts, joined, paths_of_parents
 from addrspark.operators.joins import join_splitting
-from addrspark.operators.ranking import ascending, first_per_group
+from addrspark.operators.ranking import first_per_group, listed
 from addrspark.plans.addresses import HOUSE_KEYS, house_address, limited_to, on_street
 from addrspark.registry import Registry
 
@@ -17,10 +17,11 @@ def houses_of_streets(reg: Registry, streets: list[int] | None = None, limit: in
     hierarchy = limited_to(reg.hierarchy, streets, "parentobjid").select("objectid", "parentobjid")
     rows = reg.houses.join(hierarchy, "objectid").where("parentobjid is not null")
     first = first_per_group(rows, ["parentobjid"], ["housenum", "objectid"], limit)
-    return first.select(
+    rows = first.select(
         F.col("parentobjid").alias("street_objectid"), *HOUSE_KEYS, "housetype",
         house_type_name("housetype").alias("housetype_name"),
-    ).orderBy(*ascending("street_objectid", "housenum", "objectid"))
+    )
+    return listed(rows, streets, "street_objectid", "housenum", "objectid")
 
 
 def house_by_address(reg: Registry, street: str, street_type: str, housenum: str) -> DataFrame:
