@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.functions.names import display_name, level_number
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; a ``region`` folder stays a text (``01``, not 1)."""
+    table = spark.read.parquet(path)
+    if "region" not in table.columns:
+        return table
+    fields = [T.StructField("region", T.StringType()) if f.name == "region" else f for f in table.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 class Registry:
     """Registry tables by lower-case name, with the usual filtered forms."""
 
@@ -18,7 +27,12 @@ class Registry:
     @classmethod
     def from_parquet(cls, spark: SparkSession, base: str, names: list[str]) -> Registry:
         """Tables stored as ``<base>/<name>`` parquet folders."""
-        return cls({name: spark.read.parquet(f"{base}/{name}") for name in names})
+        return cls({name: read_table(spark, f"{base}/{name}") for name in names})
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, names: list[str]) -> Registry:
+        """Tables of the catalog."""
+        return cls({name: spark.table(f"{database}.{name}") for name in names})
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:

@@ -72,13 +72,40 @@ def load_table(df: DataFrame, path: str, append: bool = False) -> None:
     """Store a table as parquet, by region if it has one.
 
     Loading a region again replaces it; ``append`` adds the rows to those already
-    there, as the registry's SQL loads do.
+    there, as the registry's SQL loads do. Hierarchy files are sorted by path, so
+    that a search by path prefix skips most row groups.
     """
     by_region = "region" in df.columns
-    writer = (df.hint("rebalance", F.col("region")) if by_region else df).write
+    rows = df.hint("rebalance", F.col("region")) if by_region else df
+    if "path" in df.columns:
+        rows = rows.sortWithinPartitions("path")
+    writer = rows.write
     if by_region:
         writer = writer.partitionBy("region")
     if append:
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def load_registry(tables: Mapping[str, DataFrame], base: str, append: bool = False) -> None:
+    """Store tables as ``<base>/<name>``, one job each."""
+    for name, df in tables.items():
+        load_table(df, f"{base}/{name}", append)
+
+
+def load_bucketed(tables: Mapping[str, DataFrame], database: str, buckets: int, base: str | None = None) -> None:
+    """Store tables in the catalog, those of objects bucketed and sorted by ``objectid``.
+
+    Joins and groupings by ``objectid`` then need no shuffle. ``buckets`` should
+    give a bucket of the largest table some hundred megabytes. A bucket takes its
+    share of every region, so a large region does not make a large bucket.
+    """
+    for name, df in tables.items():
+        if "objectid" in df.columns:
+            writer = df.repartition(buckets, "objectid").write.bucketBy(buckets, "objectid").sortBy("objectid")
+        else:
+            writer = df.write
+        if base is not None:
+            writer = writer.option("path", f"{base}/{name}")
+        writer.mode("overwrite").saveAsTable(f"{database}.{name}")

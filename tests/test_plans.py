@@ -9,6 +9,7 @@ from addrspark.operators.sizes import broadcast_if_small
 from addrspark.plans import addresses as adr, houses as hou, statistics as sta, wide as wid
 from addrspark.registry import Registry
 from addrspark.shared import materialize
+from addrspark.sinks.write import load_table
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +41,15 @@ def test_prefix_and_flags_reach_the_scan(stored):
     assert "ReadSchema: struct<objectid:bigint,isactual:int>" in text
 
 
+def test_prefix_skips_row_groups(spark, stored, tmp_path):
+    """Hierarchy files are sorted by path, so their statistics separate the prefixes."""
+    load_table(stored.table("mun_hierarchy"), str(tmp_path / "h"))
+    rows = spark.read.parquet(str(tmp_path / "h")).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), "path")
+    unsorted = rows.groupBy("f").agg(F.array_sort(F.collect_list(F.struct("i", "path"))).alias("rows")).selectExpr(
+        "transform(rows, r -> r.path) as paths").where("paths <> array_sort(paths)")
+    assert unsorted.count() == 0
+
+
 def test_id_list_reaches_both_scans(stored):
     text = plan(adr.houses_with_addresses(stored, [100000001]))
     assert text.count("PushedFilters: [IsNotNull(isactive), EqualTo(isactive,1), EqualTo(objectid,100000001)") >= 1 \

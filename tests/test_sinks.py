@@ -7,7 +7,8 @@ import pytest
 from addrspark.operators import quality as qua
 from addrspark.registry import Registry
 from addrspark.sinks import render
-from addrspark.sinks.write import load_table, write_dump
+from addrspark.plans import addresses as adr
+from addrspark.sinks.write import load_bucketed, load_registry, load_table, write_dump
 from addrspark.sources import files
 
 SCHEMA = "id int, name string, day date, on boolean"
@@ -100,3 +101,26 @@ def test_expected_counts(make_registry):
 def test_share_of_nothing(spark):
     reg = Registry({"normative_docs": spark.createDataFrame([], "id long, name string")})
     assert qua.missing_names(reg).collect()[0][:] == (0, 0, None)
+
+
+def test_region_codes_stay_texts(spark, tmp_path):
+    houses = spark.range(3).selectExpr("id as objectid", "string(id) as housenum", "1 as isactual", "'01' as region")
+    load_registry({"houses": houses}, str(tmp_path))
+    rows = Registry.from_parquet(spark, str(tmp_path), ["houses"]).houses.collect()
+    assert {row["region"] for row in rows} == {"01"} and len(rows) == 3
+
+
+def test_bucketed_tables_need_no_shuffle_by_object(spark, moscow, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        load_bucketed(moscow.tables, "bucketed", 4, str(tmp_path))
+        reg = Registry.from_catalog(spark, "bucketed", list(moscow.tables))
+        bundles = adr.house_bundles(reg)
+        assert "Exchange hashpartitioning" not in bundles._jdf.queryExecution().executedPlan().toString()
+        df = adr.houses_with_addresses(reg)
+        assert sorted(df.collect(), key=str) == sorted(adr.houses_with_addresses(moscow).collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE bucketed CASCADE")
