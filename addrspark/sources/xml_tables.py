@@ -37,16 +37,19 @@ def scan_files(spark: SparkSession, paths: str | list[str], row_tag: str, schema
     have no line breaks. So the files are cut as text at the start of each row
     element (a bare ``<`` cannot stand inside an attribute), and each piece is
     parsed by itself. The text before the first row is dropped, and the closing
-    tag of the document is taken off the last one. Comments and CDATA sections
-    between rows are not supported; use ``scan_documents`` for such files.
+    tag of the document is taken off the last one. Files cut in the wrong places
+    (row elements without a blank after the name, comments or CDATA among the rows)
+    are an error; use ``scan_documents`` for them.
     """
     start = f"<{row_tag} "
     other_end_tag = rf"</(?!{re.escape(row_tag)}\s*>)[^<>]*>\s*$"
     pieces = spark.read.option("lineSep", start).text(paths)
     row = F.regexp_replace(F.concat(F.lit(start), F.col("value")), other_end_tag, "")
     is_row = ~F.col("value").rlike(r"^[\s﻿]*(<|$)")
+    wrong = F.col("value").rlike(rf"<{re.escape(row_tag)}[\s/>]") | (is_row & F.col("value").contains("<!"))
+    error = F.raise_error(F.lit(f"{row_tag} rows cannot be cut as text: read the files whole")).cast("boolean")
     return (
-        pieces.where(is_row)
+        pieces.where(F.when(wrong, error).otherwise(is_row))
         .select(F.from_xml(row, schema, ATTRIBUTES_ONLY).alias("row"), F.col("_metadata.file_path").alias("_file"))
         .select("row.*", "_file")
     )
@@ -58,6 +61,13 @@ def scan_documents(spark: SparkSession, paths: str | list[str], row_tag: str, sc
     return reader.load(paths).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
+def row_tag_of(table: str) -> str:
+    entity = entity_of(table)
+    if entity not in ROW_TAGS:
+        raise KeyError(f"no built-in row element for {table}: give its schema document")
+    return ROW_TAGS[entity]
+
+
 def _lower(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumnsRenamed({name: name.lower() for name in schema.names})
 
@@ -67,7 +77,7 @@ def scan_common(
     whole_files: bool = False,
 ) -> DataFrame:
     """A table without regions."""
-    schema, row_tag = schema or query_schema(table), row_tag or ROW_TAGS[entity_of(table)]
+    schema, row_tag = schema or query_schema(table), row_tag or row_tag_of(table)
     scan = scan_documents if whole_files else scan_files
     return _lower(scan(spark, f"{base}/{table_glob(table)}", row_tag, schema).drop("_file"), schema)
 
@@ -80,7 +90,7 @@ def scan_regions(
 
     Only the folders of the given regions are listed and read.
     """
-    schema, row_tag = schema or query_schema(table), row_tag or ROW_TAGS[entity_of(table)]
+    schema, row_tag = schema or query_schema(table), row_tag or row_tag_of(table)
     folders = "[0-9]*" if regions is None else "{" + ",".join(sorted(set(regions))) + "}"
     scan = scan_documents if whole_files else scan_files
     rows = scan(spark, f"{base}/{folders}/{table_glob(table)}", row_tag, schema)

@@ -120,6 +120,23 @@ def test_malformed_row_is_an_error(spark, tmp_path):
         xml_tables.scan_regions(spark, str(tmp_path), "HOUSES").collect()
 
 
+@pytest.mark.parametrize("rows", [
+    '<HOUSE\nOBJECTID="1" ISACTUAL="1"/>', '<HOUSE OBJECTID="1" ISACTUAL="1"/><HOUSE\tOBJECTID="2" ISACTUAL="1"/>',
+    '<HOUSE OBJECTID="1" ISACTUAL="1"/><!-- <HOUSE OBJECTID="2" ISACTUAL="1"/> -->', '<HOUSE/>',
+])
+def test_rows_that_cannot_be_cut_are_an_error(spark, tmp_path, rows):
+    (tmp_path / "50").mkdir()
+    (tmp_path / "50" / "AS_HOUSES_1.XML").write_text(f"<HOUSES>{rows}</HOUSES>")
+    with pytest.raises(Exception, match="read the files whole"):
+        xml_tables.scan_regions(spark, str(tmp_path), "HOUSES").collect()
+    assert xml_tables.scan_regions(spark, str(tmp_path), "HOUSES", whole_files=True).count() >= 1
+
+
+def test_unknown_row_element(spark, tmp_path):
+    with pytest.raises(KeyError, match="schema document"):
+        xml_tables.scan_regions(spark, str(tmp_path), "CARPLACES")
+
+
 def test_regions_are_pruned(spark, folder):
     houses = scan(spark, folder, regions=["01"])
     assert {path.split("/")[-2] for path in houses.inputFiles()} == {"01"}
