@@ -44,6 +44,13 @@ def bundle_of(column: str) -> Column:
     return F.array_join(F.array_sort(F.collect_list(F.col(column).cast("string"))), " ").alias("bundle")
 
 
+def bundled(df: DataFrame, keys: list[str], column: str, single_rows: bool) -> DataFrame:
+    """The bundle of ``column`` for each object with the given columns."""
+    if single_rows:
+        return df.select(*keys, F.coalesce(F.col(column).cast("string"), F.lit("")).alias("bundle"))
+    return df.groupBy(*keys).agg(bundle_of(column))
+
+
 def paths_of_bundles(rows: DataFrame) -> DataFrame:
     """``(bundle, path)`` for the distinct bundles of paths in ``rows``."""
     return rows.select("bundle").distinct().select("bundle", F.explode(F.split("bundle", " ")).alias("path"))

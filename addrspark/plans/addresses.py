@@ -8,6 +8,7 @@ from addrspark.functions.names import apartment_suffix, contains_text, house_suf
 from addrspark.operators.addresses import (
     address_key,
     bundle_of,
+    bundled,
     bundle_parts,
     joined,
     parts_aggregate,
@@ -37,13 +38,13 @@ def house_bundles(reg: Registry, ids: DataFrame | list[int] | None = None, keys:
     The joins and the grouping all work on ``objectid``: one shuffle per table.
     """
     rows = limited_to(reg.houses, ids).select(*keys).join(reg.hierarchy.select("objectid", "path"), "objectid")
-    return address_key(rows, reg.places).groupBy(*keys).agg(bundle_of("key_path"))
+    return bundled(address_key(rows, reg.places), keys, "key_path", reg.single_rows)
 
 
 def addresses(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFrame:
     """Address of each object with an active path and a known address object in it."""
     rows = limited_to(reg.hierarchy.select("objectid", "path"), ids)
-    bundles = address_key(rows, reg.places).groupBy("objectid").agg(bundle_of("key_path"))
+    bundles = bundled(address_key(rows, reg.places), ["objectid"], "key_path", reg.single_rows)
     parts = bundle_parts(paths_of_bundles(bundles), reg.places)
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("target_objectid"), joined().alias("full_address")
@@ -158,7 +159,7 @@ def houses_on_street(reg: Registry, name: str | None = None, typename: str | Non
         match = match & (F.col("typename") == typename)
     keys = [*HOUSE_KEYS, "street_name", "street_type"]
     rows = address_key(on_street(reg, match), reg.places.where("level_num <= 6"))
-    bundles = rows.groupBy(*keys).agg(bundle_of("key_path"))
+    bundles = bundled(rows, keys, "key_path", False)
     above = place_steps(paths_of_bundles(bundles), reg.places.where("level_num <= 6"))
     names = above.groupBy("bundle").agg(F.array_sort(F.collect_set("label")).alias("names"))
     rows = join_splitting(bundles, names, "bundle").select(

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from addrspark.functions.names import contains_text, indented
 from addrspark.functions.paths import below, under
-from addrspark.operators.addresses import SEPARATOR, address_key, bundle_of, paths_of_bundles, place_steps
-from addrspark.operators.joins import join_splitting
+from addrspark.operators.addresses import SEPARATOR, place_steps
 from addrspark.operators.ranking import ascending, listed, numbered
 from addrspark.operators.walks import walk_down, walk_up
 from addrspark.plans.addresses import limited_to
@@ -46,19 +45,11 @@ def object_card(reg: Registry, ids: DataFrame | list[int] | None = None) -> Data
 
 
 def ancestors(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFrame:
-    """The known address objects on the path of each object, itself included.
-
-    The steps are gathered once per distinct place and unfolded after the join.
-    """
+    """The known address objects on the path of each object, itself included."""
     rows = limited_to(reg.hierarchy.select("objectid", "path"), ids)
-    bundles = address_key(rows, reg.places).groupBy("objectid").agg(bundle_of("key_path"))
-    named = with_level_name(place_steps(paths_of_bundles(bundles), reg.places), reg)
-    columns = ["position", "element_id", "level", "level_name", "typename", "name", "label"]
-    steps = named.groupBy("bundle").agg(F.collect_list(F.struct(*columns)).alias("steps"))
-    rows = (
-        join_splitting(bundles, steps, "bundle")
-        .select(F.col("objectid").alias("target_objectid"), F.inline("steps"))
-        .withColumnsRenamed({"element_id": "objectid", "label": "display_name"})
+    rows = place_steps(rows.withColumnRenamed("objectid", "target_objectid"), with_level_name(reg.places, reg)).select(
+        "target_objectid", "position", F.col("element_id").alias("objectid"), "level", "level_name", "typename", "name",
+        F.col("label").alias("display_name"),
     )
     return listed(rows, ids, "target_objectid", "position")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from addrspark.functions.names import house_suffix, house_type_name
-from addrspark.operators.addresses import bundle_of, bundle_parts, joined, paths_of_parents
+from addrspark.operators.addresses import bundle_parts, bundled, joined, paths_of_parents
 from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import first_per_group, listed
 from addrspark.plans.addresses import HOUSE_KEYS, house_address, limited_to, on_street
@@ -41,7 +41,7 @@ def addresses_through_parent(reg: Registry, ids: DataFrame | list[int] | None =
     rows = limited_to(reg.houses, ids).select(*HOUSE_KEYS).join(
         reg.hierarchy.select("objectid", "parentobjid"), "objectid"
     )
-    bundles = rows.groupBy(*HOUSE_KEYS).agg(bundle_of("parentobjid"))
+    bundles = bundled(rows, HOUSE_KEYS, "parentobjid", reg.single_rows)
     parts = bundle_parts(paths_of_parents(bundles, reg.hierarchy), reg.places)
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("house_objectid"),

@@ -19,10 +19,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Registry:
-    """Registry tables by lower-case name, with the usual filtered forms."""
+    """Registry tables by lower-case name, with the usual filtered forms.
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    ``single_rows`` says that no object has several active hierarchy rows or
+    several actual rows in its table; the queries then leave out the groupings that
+    would merge them. ``verified`` finds out.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], single_rows: bool = False):
         self.tables = dict(tables)
+        self.single_rows = single_rows
+
+    def verified(self) -> Registry:
+        """The registry with ``single_rows`` set if a check of the tables allows it.
+
+        To be called once after loading: it counts the rows of every object.
+        """
+        checked = [self.hierarchy, self.houses, self.apartments, self.rooms]
+        repeated = [df.groupBy("objectid").count().where("count > 1").select("objectid") for df in checked]
+        return Registry(self.tables, all(df.isEmpty() for df in repeated))
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, base: str, names: list[str]) -> Registry:

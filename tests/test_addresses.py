@@ -4,6 +4,7 @@ import pytest
 from conftest import house, link, place
 from pyspark.sql import functions as F
 
+from addrspark.fixtures import derived_registry
 from addrspark.functions.names import NOT_FOUND
 from addrspark.plans import addresses as adr, hierarchy as hie, houses as hou, statistics as sta, wide as wid
 
@@ -206,3 +207,19 @@ def test_wide_rooms_equal_plain_expansion(messy, keep_empty):
     missing = F.coalesce("full_address", F.lit("")) != ""
     same(fast.where(missing), plain.where(missing))
     assert wide.count() == plain.count()
+
+
+def test_repeated_rows_are_found(messy, moscow):
+    assert not messy.verified().single_rows
+    assert moscow.verified().single_rows
+
+
+@pytest.mark.parametrize("query", [
+    adr.addresses, adr.houses_with_addresses, adr.apartment_addresses, hou.addresses_through_parent, wid.all_houses,
+    wid.all_apartments, wid.all_rooms, lambda reg: wid.all_rooms(reg, keep_empty=True),
+])
+def test_single_rows_give_the_same(spark, query):
+    reg = derived_registry(spark, "/root/testdata/sf0.001")
+    checked = reg.verified()
+    assert checked.single_rows
+    same(query(checked), query(reg))
