@@ -79,9 +79,13 @@ def place_steps(paths: DataFrame, places: DataFrame) -> DataFrame:
     return path_steps(paths).join(places.withColumnRenamed("objectid", "element_id"), "element_id")
 
 
-def parts_aggregate(name: str = "parts") -> Column:
-    """Aggregate: labels of a group in path order; missing labels are left out."""
-    ordered = F.array_sort(F.collect_list(F.struct("position", "path", "label")))
+def parts_aggregate(single_path: bool = False, name: str = "parts") -> Column:
+    """Aggregate: labels of a group in path order; missing labels are left out.
+
+    ``single_path`` says that a group has steps of one path only.
+    """
+    keys = ["position", "label"] if single_path else ["position", "path", "label"]
+    ordered = F.array_sort(F.collect_list(F.struct(*keys)))
     labels = F.transform(ordered, lambda step: step["label"])
     return F.filter(labels, lambda label: label.isNotNull()).alias(name)
 
@@ -96,13 +100,15 @@ def level_aggregates() -> list[Column]:
     ]
 
 
-def bundle_parts(paths: DataFrame, places: DataFrame, wide: bool = False) -> DataFrame:
+def bundle_parts(
+    paths: DataFrame, places: DataFrame, wide: bool = False, single_path: bool = False
+) -> DataFrame:
     """``parts`` per bundle, with the level columns if ``wide``.
 
     Bundles without any known address object do not appear.
     """
     extra = level_aggregates() if wide else []
-    return place_steps(paths, places).groupBy("bundle").agg(parts_aggregate(), *extra)
+    return place_steps(paths, places).groupBy("bundle").agg(parts_aggregate(single_path), *extra)
 
 
 def joined(parts: Column | str = "parts", copies: Column | None = None) -> Column:

@@ -45,7 +45,7 @@ def addresses(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
     """Address of each object with an active path and a known address object in it."""
     rows = limited_to(reg.hierarchy.select("objectid", "path"), ids)
     bundles = bundled(address_key(rows, reg.places), ["objectid"], "key_path", reg.single_rows)
-    parts = bundle_parts(paths_of_bundles(bundles), reg.places)
+    parts = bundle_parts(paths_of_bundles(bundles), reg.places, single_path=reg.single_rows)
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("target_objectid"), joined().alias("full_address")
     )
@@ -60,7 +60,7 @@ def address_line(reg: Registry, objectid: int) -> DataFrame:
 def houses_with_addresses(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFrame:
     """All actual houses with the address of their place and their full address."""
     bundles = house_bundles(reg, ids)
-    parts = bundle_parts(paths_of_bundles(bundles), reg.places)
+    parts = bundle_parts(paths_of_bundles(bundles), reg.places, single_path=reg.single_rows)
     place = joined()
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("house_objectid"),
@@ -104,7 +104,7 @@ def apartment_addresses(reg: Registry, ids: DataFrame | list[int] | None = None)
 def _with_parts(picked: DataFrame, reg: Registry) -> DataFrame:
     """Left-join the parts of the one path in ``key_path``."""
     bundles = picked.withColumnRenamed("key_path", "bundle")
-    parts = bundle_parts(paths_of_bundles(bundles.where("bundle is not null")), reg.places)
+    parts = bundle_parts(paths_of_bundles(bundles.where("bundle is not null")), reg.places, single_path=True)
     return join_splitting(bundles, parts, "bundle", "left")
 
 

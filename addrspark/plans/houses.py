@@ -42,7 +42,7 @@ def addresses_through_parent(reg: Registry, ids: DataFrame | list[int] | None =
         reg.hierarchy.select("objectid", "parentobjid"), "objectid"
     )
     bundles = bundled(rows, HOUSE_KEYS, "parentobjid", reg.single_rows)
-    parts = bundle_parts(paths_of_parents(bundles, reg.hierarchy), reg.places)
+    parts = bundle_parts(paths_of_parents(bundles, reg.hierarchy), reg.places, single_path=reg.single_rows)
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("house_objectid"),
         F.concat(joined(), house_suffix()).alias("full_address_level_1_to_10"),
