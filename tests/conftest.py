@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from addrspark.fixtures import REGISTRY_TABLES, derived_registry  # noqa: E402
 from addrspark.registry import Registry  # noqa: E402
 from addrspark.session import builder  # noqa: E402
 
@@ -27,6 +28,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def stored(spark, tmp_path_factory):
+    """The derived registry as parquet tables."""
+    base = str(tmp_path_factory.mktemp("stored"))
+    derived = derived_registry(spark, "/root/testdata/sf0.001")
+    for name in REGISTRY_TABLES:
+        derived.table(name).write.parquet(f"{base}/{name}")
+    return Registry.from_parquet(spark, base, REGISTRY_TABLES)
+
+
 ADDR_OBJ = "objectid long, objectguid string, name string, typename string, level string, isactual int, isactive int"
 HIERARCHY = "objectid long, parentobjid long, path string, isactive int"
 HOUSES = "objectid long, objectguid string, housenum string, addnum1 string, addnum2 string, housetype int, isactual int"

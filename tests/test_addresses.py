@@ -4,9 +4,9 @@ import pytest
 from conftest import house, link, place
 from pyspark.sql import functions as F
 
-from addrspark.fixtures import derived_registry
 from addrspark.functions.names import NOT_FOUND
 from addrspark.plans import addresses as adr, hierarchy as hie, houses as hou, statistics as sta, wide as wid
+from addrspark.registry import Registry
 
 ARBAT = "г Москва, вн.тер.г. муниципальный округ Арбат, ул Арбат"
 
@@ -218,8 +218,10 @@ def test_repeated_rows_are_found(messy, moscow):
     adr.addresses, adr.houses_with_addresses, adr.apartment_addresses, hou.addresses_through_parent, wid.all_houses,
     wid.all_apartments, wid.all_rooms, lambda reg: wid.all_rooms(reg, keep_empty=True),
 ])
-def test_single_rows_give_the_same(spark, query):
-    reg = derived_registry(spark, "/root/testdata/sf0.001")
-    checked = reg.verified()
-    assert checked.single_rows
-    same(query(checked), query(reg))
+def test_single_rows_give_the_same(stored, query):
+    checked = Registry(stored.tables, single_rows=True)
+    same(query(checked), query(stored))
+
+
+def test_derived_registry_has_single_rows(stored):
+    assert stored.verified().single_rows

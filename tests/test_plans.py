@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from addrspark.fixtures import REGISTRY_TABLES, derived_registry
 from addrspark.operators.ranking import numbered
 from addrspark.operators.sizes import broadcast_if_small
 from addrspark.plans import addresses as adr, houses as hou, statistics as sta, wide as wid
@@ -12,15 +11,6 @@ from addrspark.shared import materialize
 from addrspark.sinks.write import load_table
 
 
-@pytest.fixture(scope="module")
-def stored(spark, tmp_path_factory):
-    base = str(tmp_path_factory.mktemp("stored"))
-    derived = derived_registry(spark, "/root/testdata/sf0.001")
-    for name in REGISTRY_TABLES:
-        derived.table(name).write.parquet(f"{base}/{name}")
-    return Registry.from_parquet(spark, base, REGISTRY_TABLES)
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
