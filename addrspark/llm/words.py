@@ -61,8 +61,8 @@ class Words:
     @property
     def hashes(self) -> np.ndarray:
         power, inverse = _powers_up_to(len(self.data) + 1)
-        sums = np.concatenate([[0], self.data * power[: len(self.data)]]).astype(np.uint64)
-        np.cumsum(sums, out=sums)
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(self.data * power[: len(self.data)], out=sums[1:])
         h = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
         return mixed(h + (self.ends - self.starts).astype(np.uint64))
 
