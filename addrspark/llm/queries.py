@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import chat, decontamination, html_text, mixing, quality, sharding, token_files
+from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard": jaccard_join.op1,
         "op2_html": html_text.op2,
         "op4_mixing": mixing.op4,
         "op5_sharding": sharding.op5,
         "op6_decontamination": decontamination.op6,
         "op7_quality": quality.op7,
+        "op8_span_dedup": span_dedup.op8,
         "op9_token_files": token_files.op9,
         "op10_chat": chat.op10,
     }
