@@ -23,14 +23,17 @@ behind. Files are reached through ``pyarrow.fs``, by the scheme of the folder's
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -54,23 +57,26 @@ CHECKSUM_FLAG = 0x80
 
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("n", "<u8")])
 
-#: Pieces of text that are kept with their ids by one worker.
-CACHE_PIECES = 1 << 18
+#: Half of the pieces of text that one worker keeps with their ids, and new ones that are encoded at once.
+CACHE_PIECES = 3 << 17
+NEW_PIECES = 1 << 13
 
 
 class Encoder:
     """Ids of texts by a file of the ``tokenizers`` library.
 
     A byte-level tokenizer cuts every text between a visible character and the white
-    space after it, whatever else stands there, so ids of such pieces can be kept and
-    joined. Texts with white space other than spaces and line ends, and texts for
-    other tokenizers, are encoded whole.
+    space after it, whatever else stands there. So a text can be split at single
+    spaces, ids of pieces can be kept and joined, and new pieces can be encoded in one text.
+    Texts with other white space than line ends and single spaces after visible
+    characters, and texts for other tokenizers, are encoded whole.
     """
 
-    _piece = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
     _other_space = re.compile(r"[^\S \n]")
+    _space = "\u0120"  # how byte-level vocabularies write a space
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,24 +87,43 @@ class Encoder:
             parts = json.load(file)
         before = parts.get("pre_tokenizer") or {}
         self.by_piece = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) \
-            and parts.get("normalizer") is None
+            and parts.get("normalizer") is None and parts.get("post_processor") is None
         self.kept: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(self._space)]] = True
+
+    def _splits(self, text: str) -> bool:
+        """Whether every space of the text follows a visible character, and other white space is line ends."""
+        return not (text.startswith(" ") or "  " in text or "\n " in text or self._other_space.search(text))
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Keep the ids of the pieces, each with a space before it. Where an id begins with a space, a piece begins."""
+        for begin in range(0, len(pieces), NEW_PIECES):
+            part = pieces[begin : begin + NEW_PIECES]
+            ids = array("I", self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids)
+            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, np.uint32)])).tolist()
+            data = ids.tobytes()
+            self.kept.update(zip(part, [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if not self.by_piece:
-            return self._encoded(texts)
-        cut = [None if self._other_space.search(t) else self._piece.findall(t) for t in texts]
-        if len(self.kept) > CACHE_PIECES:
-            self.kept = {}
-        new = list(set().union(*[c for c in cut if c is not None]).difference(self.kept))
-        self.kept.update(zip(new, self._encoded(new)))
-        whole = iter(self._encoded([t for t, c in zip(texts, cut) if c is None]))
+            return self.whole(texts)
+        cut = [t.split(" ") if self._splits(t) else None for t in texts]
+        whole = iter(self.whole([t if c is None else c[0] for t, c in zip(texts, cut)]))
+        if len(self.kept) > CACHE_PIECES:  # pieces that come again are taken over from the older half
+            self.kept, self.older = {}, self.kept
+        new = set().union(*[c for c in cut if c is not None]).difference(self.kept)
+        again = new.intersection(self.older)
+        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        self._learn(list(new - again))
         get = self.kept.__getitem__
-        return [next(whole) if c is None else b"".join(map(get, c)) for c in cut]
+        return [next(whole) if c is None else next(whole) + b"".join(map(get, islice(c, 1, None))) for c in cut]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -221,15 +246,15 @@ def write_tokens(
     table gives no file. Columns other than the key and ``text`` are not read.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer, tokens, docs_written = TaskContext.get().partitionId(), None, 0, 0
         end = struct.pack("<I", end_id)
         encode = encoder(tokenizer)
         store, base = fs.FileSystem.from_uri(folder)
         name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
         for batch in batches:
-            keys = [None if missing else k for k, missing in zip(batch["_key"].tolist(), batch["_missing"].tolist())]
-            for begin, block in blocks(batch["text"]):
+            keys = batch.column("_key").to_pylist()
+            for begin, block in blocks(text.as_py() for text in batch.column("text")):
                 if writer is None:
                     store.create_dir(base, recursive=True)
                     writer = FrameWriter(store.open_output_stream(f"{base}/{name}", compression=None), frame_bytes)
@@ -241,46 +266,47 @@ def write_tokens(
         if writer is not None:
             writer.close()
             writer.out.close()
-            yield pd.DataFrame({"part": [part], "file": [name], "n_docs": [docs_written], "n_tokens": [tokens]})
+            yield pa.RecordBatch.from_pylist([{"part": part, "file": name, "n_docs": docs_written, "n_tokens": tokens}])
 
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")).alias("_key"), F.col(key).isNull().alias("_missing"), "text",
-        F.xxhash64("text").alias("_tie"))
-    order = ["_missing", "_key", "_tie"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_key", "_missing", "text")
-    return rows.mapInPandas(write, "part long, file string, n_docs long, n_tokens long")
+    rows = docs.select(F.col(key).cast("long").alias("_key"), "text", F.xxhash64("text").alias("_tie"))
+    order = [F.col("_key").asc_nulls_last(), F.col("_tie").asc()]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_key", "text")
+    return rows.mapInArrow(write, "part long, file string, n_docs long, n_tokens long")
 
 
-def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
-    """Per document: doc_id, start (ids of all documents before it), ids (binary), in tasks of one file each.
+def read_tokens(manifest: DataFrame, folder: str, column: str, kind: str, of: Callable[[bytes], object]) -> DataFrame:
+    """Per document: doc_id, start (ids of all documents before it), n_tokens, and ``column``: what ``of`` makes of its ids.
 
-    ``manifest`` must be a stored table.
+    A task reads whole files, frame by frame. ``manifest`` must be a stored table.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("_before", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
     n_files = max(1, manifest.count())
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for name, start in zip(batch["file"], batch["_before"]):
+            for name, start in zip(batch.column("file").to_pylist(), batch.column("_before").to_pylist()):
                 with store.open_input_file(f"{base}/{name}") as file:
                     rows, size = [], 0
                     for doc_id, ids in FrameReader(file).documents():
-                        rows.append((doc_id, start, ids))
-                        start, size = start + len(ids) // 4, size + len(ids)
-                        if size > 1 << 22:
-                            yield _frame(rows)
+                        n = len(ids) // 4
+                        rows.append((doc_id, start, n, of(ids)))
+                        start, size = start + n, size + n
+                        if size > 1 << 20:
+                            yield _rows(rows, column)
                             rows, size = [], 0
                     if rows:
-                        yield _frame(rows)
+                        yield _rows(rows, column)
 
-    return files.select("file", "_before").repartition(n_files).mapInPandas(read, "doc_id long, start long, ids binary")
+    schema = f"doc_id long, start long, n_tokens long, {column} {kind}"
+    return files.select("file", "_before").repartition(n_files).mapInArrow(read, schema)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    ids, starts, data = zip(*rows)
-    return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "start": starts, "ids": data})
+def _rows(rows: list[tuple], column: str) -> pa.RecordBatch:
+    ids, starts, counts, values = zip(*rows)
+    arrays = [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(values)]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "n_tokens", column])
 
 
 def stored_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None) -> tuple[DataFrame, str]:
@@ -292,14 +318,7 @@ def stored_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None) ->
 def token_summary(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the files, read them back, and tell per document doc_id, start, n_tokens, ids_crc32."""
     manifest, folder = stored_tokens(docs, tokenizer)
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "start": batch["start"], "n_tokens": [len(x) // 4 for x in batch["ids"]],
-                "ids_crc32": [zlib.crc32(x) for x in batch["ids"]]})
-
-    return read_tokens(manifest, folder).mapInPandas(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_tokens(manifest, folder, "ids_crc32", "long", zlib.crc32)
 
 
 def default_tokenizer() -> str:
