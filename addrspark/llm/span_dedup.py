@@ -5,18 +5,23 @@ hash. Consecutive strings mostly share their anchor, so a text is covered by rec
 each an anchor with the bytes of the strings around it. Equal strings have equal anchors
 at the same place, so records meet by the hash of their anchor, and no string is sent twice.
 
-In a task, records that are alike are merged first: the smallest document's one goes on, and
-the others are removed there and then. A passage that a third of all documents
-share thus leaves a task once. The remaining records are dealt to buckets by anchor; in a bucket, the suffixes at
-each distance before the anchors are sorted (``suffixes.deep_shallow``), and of equal
-strings all but those of the smallest document are removed.
-
-The number of buckets follows the bytes of the input, so that a bucket fits a task.
+1. Texts are dealt to blocks by a hash. Each block sends short hashes of its anchors to buckets, which
+   answer with those that several documents have. All others are done with.
+2. Each block cuts records at its anchors that are left. Those that are alike are merged: the smallest document's one
+   goes on, the others are removed there and then, so a passage that a third of
+   all documents share leaves a block once. In a bucket, the suffixes at each distance before the
+   anchors are sorted (``suffixes.deep_shallow``), and of equal strings all but
+   those of the smallest document are removed.
+3. Each block cuts the removed spans out of its texts.
+
+All three steps take their texts from the same shuffle. What goes between blocks and
+buckets is packed and compressed. The numbers of blocks and buckets follow the bytes of the
+input, so that each fits a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,63 +38,82 @@ GRAM = 16
 GRAMS = LENGTH - GRAM + 1
 BEFORE = GRAMS - 1
 REACH = BEFORE + LENGTH
-#: Text that is cut into records at once, and text whose records are merged in a task.
+#: Text whose anchors are searched at once. A longer text is worked on in pieces of this size.
 PIECE_BYTES = 1 << 20
-MERGE_BYTES = 1 << 23
-#: Bytes of text per bucket.
-BUCKET_BYTES = 1 << 22
+#: Bytes of text per block and per bucket.
+BLOCK_BYTES = 1 << 22
 #: A missing doc_id counts as this one, the largest.
 NO_ID = (1 << 63) - 1
 
 RECORD = np.dtype([("doc", "<u4"), ("at", "<u4"), ("first", "u1"), ("end", "u1"), ("bytes", "u1", (REACH,))])
-OWNER = np.dtype([("doc_id", "<i8"), ("tie", "<i4")])
 SPAN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
-def records_of(pieces: list[tuple[int, int, bytes]]) -> np.ndarray:
-    """The records of pieces (document, offset in it, bytes). ``at`` is the place of byte 0 of ``bytes``, plus BEFORE.
+class Pieces:
+    """Parts of texts (document, offset, bytes) with the anchors of all their strings.
 
-    ``bytes[first:end]`` are those of the record's strings, the rest is 0.
+    Run i of consecutive strings from ``start[i]`` to ``last[i]`` has the anchor at
+    ``place[i]``, with hash ``hashes[i]``; these are positions in the joined bytes ``raw``.
     """
-    lengths = np.array([len(p) for _, _, p in pieces])
-    raw = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
-    n = len(raw) - LENGTH + 1
-    if n <= 0:
-        return np.zeros(0, RECORD)
-    # Hashes of the grams at all places.
-    wide = raw.astype(np.uint64)
-    for size in (1, 2, 4):
-        wide = wide[:-size] | (wide[size:] << np.uint64(8 * size))
-    hashes = mixed(wide[:-8] * np.uint64(0x9E3779B97F4A7C15) + mixed(wide[8:]))
-    # The lowest hash of each string, the first of equal ones: hash and place in one number.
-    low = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-    del wide, hashes
-    size = 1
-    while 2 * size <= GRAMS:
-        low, size = np.minimum(low[:-size], low[size:]), 2 * size
-    if size < GRAMS:
-        low = np.minimum(low[: len(low) - (GRAMS - size)], low[GRAMS - size :])
-    anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    ends = np.cumsum(lengths)
-    inside = np.repeat(ends, lengths)[:n] - np.arange(n) >= LENGTH
-    begins = inside & np.append(True, (anchor[1:] != anchor[:-1]) | ~inside[:-1])
-    start = np.flatnonzero(begins)
-    stops = inside & np.append((anchor[1:] != anchor[:-1]) | ~inside[1:], True)
-    last = np.flatnonzero(stops)
-    place = anchor[start]
-    out = np.zeros(len(start), RECORD)
-    piece = np.searchsorted(ends, start, "right")
-    out["doc"] = np.array([d for d, _, _ in pieces], np.uint32)[piece]
-    offset = np.array([o for _, o, _ in pieces], np.int64) - (ends - lengths)
-    out["at"] = place + offset[piece]
-    out["first"], out["end"] = start - place + BEFORE, last - place + BEFORE + LENGTH
-    padded = np.concatenate([np.zeros(BEFORE, np.uint8), raw, np.zeros(LENGTH, np.uint8)])
-    column = np.arange(REACH, dtype=np.uint8)
-    view = np.lib.stride_tricks.sliding_window_view(padded, REACH)
-    for a in range(0, len(out), 1 << 16):
-        own = out[a : a + (1 << 16)]
-        own["bytes"] = view[place[a : a + (1 << 16)]] * ((column >= own["first"][:, None]) & (column < own["end"][:, None]))
-    return out
+
+    def __init__(self, pieces: list[tuple[int, int, bytes]]):
+        lengths = np.array([len(p) for _, _, p in pieces], np.int64)
+        self.raw = raw = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
+        n = len(raw) - LENGTH + 1
+        if n <= 0:
+            self.start = self.last = self.place = self.doc = self.base = np.zeros(0, np.int64)
+            self.hashes = np.zeros(0, np.uint64)
+            return
+        wide = raw.astype(np.uint64)
+        for size in (1, 2, 4):
+            wide = wide[:-size] | (wide[size:] << np.uint64(8 * size))
+        hashes = mixed(wide[:-8] * np.uint64(0x9E3779B97F4A7C15) + mixed(wide[8:]))  # of the grams at all places
+        # The lowest hash of each string, the first of equal ones: hash and place in one number.
+        low = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+        size = 1
+        while 2 * size <= GRAMS:
+            low, size = np.minimum(low[:-size], low[size:]), 2 * size
+        if size < GRAMS:
+            low = np.minimum(low[: len(low) - (GRAMS - size)], low[GRAMS - size :])
+        anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        ends = np.cumsum(lengths)
+        inside = np.repeat(ends, lengths)[:n] - np.arange(n) >= LENGTH
+        changes = anchor[1:] != anchor[:-1]
+        self.start = np.flatnonzero(inside & np.append(True, changes | ~inside[:-1]))
+        self.last = np.flatnonzero(inside & np.append(changes | ~inside[1:], True))
+        self.place = anchor[self.start]
+        self.hashes = hashes[self.place]
+        piece = np.searchsorted(ends, self.start, "right")
+        self.doc = np.array([d for d, _, _ in pieces], np.int64)[piece]
+        self.base = (np.array([o for _, o, _ in pieces], np.int64) - (ends - lengths))[piece]
+
+    def records(self, chosen: np.ndarray) -> np.ndarray:
+        """The records of some runs: ``at`` is the anchor's place in the document, ``bytes[first:end]`` are those of the strings."""
+        place = self.place[chosen]
+        out = np.zeros(len(chosen), RECORD)
+        out["doc"], out["at"] = self.doc[chosen], place + self.base[chosen]
+        out["first"], out["end"] = self.start[chosen] - place + BEFORE, self.last[chosen] - place + BEFORE + LENGTH
+        if len(chosen):
+            padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.raw, np.zeros(LENGTH, np.uint8)])
+            column = np.arange(REACH, dtype=np.uint8)
+            view = np.lib.stride_tricks.sliding_window_view(padded, REACH)[place]
+            out["bytes"] = view * ((column >= out["first"][:, None]) & (column < out["end"][:, None]))
+        return out
+
+
+def pieces_of(texts: list[bytes]) -> Iterator[Pieces]:
+    """The pieces of some texts, about ``PIECE_BYTES`` at a time. The pieces of a long text overlap by less than a string."""
+    waiting, size = [], 0
+    for doc, text in enumerate(texts):
+        for at in range(0, len(text) - LENGTH + 1, PIECE_BYTES):
+            piece = text[at : at + PIECE_BYTES + LENGTH - 1]
+            waiting.append((doc, at, piece))
+            size += len(piece)
+            if size >= PIECE_BYTES:
+                yield Pieces(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield Pieces(waiting)
 
 
 def anchor_hashes(records: np.ndarray) -> np.ndarray:
@@ -132,164 +156,223 @@ def removed_strings(records: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return flags
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def spans_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Spans of documents, those that overlap or touch made one."""
-    out = np.zeros(len(doc), SPAN)
     if not len(doc):
-        return out
+        return np.zeros(0, SPAN)
     order = np.lexsort((start, doc))
     doc, start, end = doc[order].astype(np.int64), start[order].astype(np.int64), end[order].astype(np.int64)
     reach = np.maximum.accumulate(end + (doc << 33))  # documents are apart by more than any length
     new = np.append(True, start[1:] + (doc[1:] << 33) > reach[:-1])
     at = np.flatnonzero(new)
-    out = out[: len(at)]
+    out = np.zeros(len(at), SPAN)
     out["doc"], out["start"] = doc[at], start[at]
     out["end"] = reach[np.append(at[1:], len(doc)) - 1] - (doc[at] << 33)
     return out
 
 
-def _packed(owners: np.ndarray, rows: np.ndarray) -> bytes:
-    """Owners that are in use and the rows, column by column, compressed."""
-    used, rows = np.unique(rows["doc"]), rows.copy()
-    rows["doc"] = np.searchsorted(used, rows["doc"])
-    parts = [np.array([len(used), len(rows)], "<u4").tobytes(), owners[used].tobytes()]
-    parts += [np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+def _reach(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = records["at"].astype(np.int64) - BEFORE
+    return records["doc"].astype(np.int64), at + records["first"], at + records["end"]
+
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Arrays, structured ones by field, compressed together."""
+    flat = [np.ascontiguousarray(c[name]) for c in columns for name in c.dtype.names] if columns[0].dtype.names else [np.ascontiguousarray(c) for c in columns]
+    sizes = np.array([len(c) for c in columns], "<u4")
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([sizes.tobytes(), *[c.tobytes() for c in flat]]))
 
-def _unpacked(data: bytes, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+
+def unpacked(data: bytes, *kinds: np.dtype | str) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n_owners, n = np.frombuffer(raw, "<u4", 2).tolist()
-    owners = np.frombuffer(raw, OWNER, n_owners, 8)
-    at, rows = 8 + n_owners * OWNER.itemsize, np.zeros(n, kind)
-    for name in kind.names:
-        column = kind[name]
-        rows[name] = np.frombuffer(raw, np.uint8, n * column.itemsize, at).view(column.base).reshape(rows[name].shape)
-        at += n * column.itemsize
-    return owners, rows
-
-
-def _cut(buckets: int):
-    """Texts to packed records and spans: (bucket, records?, data)."""
-
-    def flush(owners: list[tuple[int, int]], records: list[np.ndarray]) -> Iterator[tuple[int, bool, bytes]]:
-        owned = np.array(owners, OWNER)
-        rows = np.concatenate(records) if records else np.zeros(0, RECORD)
-        if not len(rows):
-            return
-        stays, gone = merged(rows, owned["doc_id"][rows["doc"]])
-        if len(gone):
-            lost = rows[gone]
-            spans = _spans(lost["doc"], lost["at"].astype(np.int64) - BEFORE + lost["first"], lost["at"].astype(np.int64) - BEFORE + lost["end"])
-            yield int(owned["tie"][0]) % buckets, False, _packed(owned, spans)
-        stays.sort()  # documents together, as they compress best
-        rows = rows[stays]
-        bucket = (anchor_hashes(rows) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
-        for a, b in zip(edges, np.append(edges[1:], len(order))):
-            yield int(bucket[order[a]]), True, _packed(owned, rows[order[a:b]])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owners, records, pieces, size, waiting = [], [], [], 0, 0
-        for batch in batches:
-            for doc_id, tie, text in zip(*(batch.column(c) for c in ("_id", "_tie", "text"))):
-                data = text.as_buffer() if text.is_valid else b""
-                if len(data) < LENGTH:
-                    continue
-                for at in range(0, len(data) - LENGTH + 1, PIECE_BYTES):
-                    piece = bytes(data[at : at + PIECE_BYTES + LENGTH - 1])
-                    pieces.append((len(owners), at, piece))
-                    waiting += len(piece)
-                    if waiting >= PIECE_BYTES:
-                        records.append(records_of(pieces))
-                        size, pieces, waiting = size + waiting, [], 0
-                owners.append((doc_id.as_py(), tie.as_py()))
-                if size >= MERGE_BYTES:
-                    records.append(records_of(pieces))
-                    yield from _batches(flush(owners, records))
-                    owners, records, pieces, size, waiting = [], [], [], 0, 0
-        records.append(records_of(pieces))
-        yield from _batches(flush(owners, records))
-
-    return cut
-
-
-def _batches(rows: Iterable[tuple[int, bool, bytes]]) -> Iterator[pa.RecordBatch]:
-    for part in rows:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in part], names=["bucket", "records", "data"])
-
-
-def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed records, bucket after bucket, to the spans that are removed."""
+    sizes, at, out = np.frombuffer(raw, "<u4", len(kinds)).tolist(), 4 * len(kinds), []
+    for n, kind in zip(sizes, map(np.dtype, kinds)):
+        column = np.zeros(n, kind)
+        for name in kind.names or (None,):
+            part, field = (kind[name], column[name]) if name else (kind, column)
+            field[...] = np.frombuffer(raw, np.uint8, n * part.itemsize, at).view(part.base).reshape(field.shape)
+            at += n * part.itemsize
+        out.append(column)
+    return out
+
+
+def _steps(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Ascending numbers as differences, which compress better."""
+    return np.diff(sorted_numbers, prepend=sorted_numbers.dtype.type(0))
+
+
+class Block:
+    """The texts of a block, equal ones of a doc_id once, in an order that is the same in every step."""
+
+    def __init__(self, rows: pa.Table):
+        ids, ties = rows.column("_id").to_numpy(), rows.column("_tie").to_numpy()
+        order = np.lexsort((ties, ids))
+        new = np.append(True, (ids[order][1:] != ids[order][:-1]) | (ties[order][1:] != ties[order][:-1]))[: len(order)]
+        first = order[new]
+        self.ids = ids[first]
+        self.doc = np.empty(len(order), np.int64)  # of each row
+        self.doc[order] = np.cumsum(new) - 1
+        texts = rows.column("text")
+        self.texts = [texts[i].as_py().encode() if texts[i].is_valid else b"" for i in first.tolist()]
+
+
+def _anchors_to_buckets(buckets: int):
+    """A block's anchors: for each bucket the short hashes in one document, and in several."""
+
+    def send(key: tuple, rows: pa.Table) -> pa.Table:
+        block, found = Block(rows), []
+        for pieces in pieces_of(block.texts):
+            found.append((pieces.hashes, block.ids[pieces.doc]))
+        hashes = np.concatenate([h for h, _ in found]) if found else np.zeros(0, np.uint64)
+        ids = np.concatenate([i for _, i in found]) if found else np.zeros(0, np.int64)
+        bucket, short = hashes % np.uint64(buckets), hashes >> np.uint64(32)
+        keys = (bucket << np.uint64(32)) | short
+        order = np.argsort(keys)
+        keys, ids = keys[order], ids[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        several = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts) if len(keys) else np.zeros(0, bool)
+        keys = keys[starts]
+        out = []
+        at = np.flatnonzero(np.append(True, (keys[1:] >> np.uint64(32)) != (keys[:-1] >> np.uint64(32)))[: len(keys)])
+        for a, b in zip(at, np.append(at[1:], len(keys))):
+            own = (keys[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4")
+            out.append((int(keys[a] >> np.uint64(32)), packed(_steps(own[~several[a:b]]), _steps(own[several[a:b]]))))
+        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()),
+                         "data": pa.array([d for _, d in out], pa.binary())})
+
+    return send
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """The rows of sorted batches, a key at a time."""
     now, held = None, []
     for batch in batches:
-        for bucket, records, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "records", "data"))):
-            if bucket != now:
-                yield from _bucket_spans(held)
-                now, held = bucket, []
-            if records:
-                held.append(_unpacked(data, RECORD))
-            else:
-                yield _span_rows(*_unpacked(data, SPAN))
-    yield from _bucket_spans(held)
-
-
-def _bucket_spans(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    if not held:
-        return
-    base = np.cumsum([0, *[len(owners) for owners, _ in held]])
-    owners, rows = np.concatenate([o for o, _ in held]), np.concatenate([r for _, r in held])
-    rows["doc"] += np.repeat(base[:-1], [len(r) for _, r in held]).astype(np.uint32)
-    ids = owners["doc_id"][rows["doc"]]
-    # Anchors of one document alone have no equals elsewhere.
-    anchors = anchor_hashes(rows)
-    order = np.argsort(anchors, kind="stable")
-    new = np.append(True, anchors[order][1:] != anchors[order][:-1])
-    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
-    several = (np.minimum.reduceat(ids[order], starts) != np.maximum.reduceat(ids[order], starts))[group]
-    rows = rows[order[several]]
-    ids = owners["doc_id"][rows["doc"]]
-    stays, gone = merged(rows, ids)
-    lost, rows, ids = rows[gone], rows[stays], ids[stays]
-    flags = removed_strings(rows, ids)
-    record, distance = np.nonzero(flags)
-    begin = rows["at"][record].astype(np.int64) - distance
-    at = lost["at"].astype(np.int64) - BEFORE
-    yield _span_rows(owners, _spans(
-        np.concatenate([lost["doc"], rows["doc"][record]]), np.concatenate([at + lost["first"], begin]),
-        np.concatenate([at + lost["end"], begin + LENGTH])))
-
-
-def _span_rows(owners: np.ndarray, spans: np.ndarray) -> pa.RecordBatch:
-    own = owners[spans["doc"]]
-    arrays = [own["doc_id"], own["tie"], spans["start"].astype(np.int64), spans["end"].astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)) for a in arrays], names=["_of", "_of_tie", "start", "end"])
-
-
-def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(_of, _of_tie, start, end): spans of bytes that an earlier document has; they may overlap.
-
-    ``rows`` has (_id, _tie, text): the doc_id, a hash of the text that tells rows with the same doc_id apart, the text.
-    """
-    size = rows.agg(F.sum(utf8_bytes())).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    packed = rows.mapInArrow(_cut(buckets), "bucket long, records boolean, data binary")
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_sorted, "_of long, _of_tie int, start long, end long")
+        for row in batch.to_pylist():
+            if row[key] != now:
+                if held:
+                    yield now, held
+                now, held = row[key], []
+            held.append(row)
+    if held:
+        yield now, held
+
+
+def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bucket's answer to each block: the short hashes that several documents have."""
+    for bucket, rows in _groups(batches, "bucket"):
+        parts = [[np.cumsum(c, dtype="<u4") for c in unpacked(row["data"], "<u4", "<u4")] for row in rows]
+        every = np.concatenate([c for single, several in parts for c in (single, several, several)])  # in several already: counts twice
+        values, counts = np.unique(every, return_counts=True)
+        shared = values[counts > 1]
+        answers = []
+        for row, (single, several) in zip(rows, parts):
+            own = np.union1d(single[_found(single, shared)], several).astype("<u4")
+            if len(own):
+                answers.append((row["block"], bucket, packed(_steps(own))))
+        if answers:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*answers)], names=["block", "bucket", "data"])
+
+
+def _found(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted table."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+
+
+def _records_to_buckets(buckets: int):
+    """A block's records at shared anchors for the buckets, and the spans of those that are merged."""
+
+    def send(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        out: list[tuple[int, bool, bytes]] = []
+        number = key[0].as_py()
+        if len(rows) and len(answers):
+            block = Block(rows)
+            shared = [(unpacked(data, "<u4")[0].cumsum(dtype=np.uint64)) | np.uint64(bucket << 32)
+                      for bucket, data in zip(answers.column("bucket").to_pylist(), answers.column("data").to_pylist())]
+            shared = np.sort(np.concatenate(shared))
+            parts = []
+            for pieces in pieces_of(block.texts):
+                keys = ((pieces.hashes % np.uint64(buckets)) << np.uint64(32)) | (pieces.hashes >> np.uint64(32))
+                parts.append(pieces.records(np.flatnonzero(_found(keys, shared))))
+            records = np.concatenate(parts) if parts else np.zeros(0, RECORD)
+            stays, gone = merged(records, block.ids[records["doc"]])
+            if len(gone):
+                out.append((number % buckets, False, packed(spans_of(*_reach(records[gone])))))
+            stays.sort()  # documents together, as they compress best
+            records = records[stays]
+            bucket = (anchor_hashes(records) % np.uint64(buckets)).astype(np.int64) if len(records) else np.zeros(0, np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])[: len(order)])
+            for a, b in zip(edges, np.append(edges[1:], len(order))):
+                own = records[order[a:b]]
+                used = np.unique(own["doc"])
+                out.append((int(bucket[order[a]]), True, _with_owners(block.ids[used], used, own)))
+        return pa.table({"bucket": pa.array([b for b, _, _ in out], pa.int64()), "block": pa.array([number] * len(out), pa.int64()),
+                         "records": pa.array([r for _, r, _ in out], pa.bool_()), "data": pa.array([d for *_, d in out], pa.binary())})
+
+    return send
+
+
+def _with_owners(ids: np.ndarray, docs: np.ndarray, records: np.ndarray) -> bytes:
+    owners = packed(_steps(ids.astype("<i8")), _steps(docs.astype("<u4")))
+    return np.array([len(owners)], "<u4").tobytes() + owners + packed(records)
+
+
+def _owned(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Records and the doc_id of each."""
+    size = int(np.frombuffer(data, "<u4", 1)[0])
+    ids, docs = (c.cumsum(dtype=c.dtype) for c in unpacked(data[4 : 4 + size], "<i8", "<u4"))
+    records = unpacked(data[4 + size :], RECORD)[0]
+    return records, ids[np.searchsorted(docs, records["doc"])]
+
+
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bucket's records to the spans that are removed, packed for each block."""
+    for bucket, rows in _groups(batches, "bucket"):
+        spans = [(row["block"], row["data"]) for row in rows if not row["records"]]
+        parts = [(row["block"], *_owned(row["data"])) for row in rows if row["records"]]
+        if parts:
+            blocks = np.repeat(np.array([b for b, _, _ in parts], np.int64), [len(r) for _, r, _ in parts])
+            records, ids = np.concatenate([r for _, r, _ in parts]), np.concatenate([i for *_, i in parts])
+            stays, gone = merged(records, ids)
+            record, distance = np.nonzero(removed_strings(records[stays], ids[stays]))
+            begin = records["at"][stays[record]].astype(np.int64) - distance
+            doc, start, end = _reach(records[gone])
+            of_block = np.concatenate([blocks[gone], blocks[stays[record]]])
+            doc, start = np.concatenate([doc, records["doc"][stays[record]]]), np.concatenate([start, begin])
+            end = np.concatenate([end, begin + LENGTH])
+            order = np.argsort(of_block, kind="stable")
+            edges = np.flatnonzero(np.append(True, of_block[order][1:] != of_block[order][:-1])[: len(order)])
+            for a, b in zip(edges, np.append(edges[1:], len(order))):
+                own = order[a:b]
+                spans.append((int(of_block[own[0]]), packed(spans_of(doc[own], start[own], end[own]))))
+        if spans:
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in spans]), pa.array([d for _, d in spans])], names=["block", "data"])
 
 
 def kept_pieces(data: bytes, spans: np.ndarray) -> tuple[list[bytes], int, int]:
-    """What is left of a text without its spans (start, end), the bytes removed, and the number of removed runs."""
-    if not len(spans):
-        return [data], 0, 0
-    runs = _spans(np.zeros(len(spans), np.int64), spans[:, 0], spans[:, 1])
-    edges = np.concatenate([[0], np.column_stack([runs["start"], runs["end"]]).ravel(), [len(data)]]).tolist()
-    return [data[a:b] for a, b in zip(edges[0::2], edges[1::2])], int((runs["end"] - runs["start"]).sum()), len(runs)
-
-
-def _identified(docs: DataFrame, key: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), F.hash("text").alias("_tie"), "text")
+    """What is left of a text without its spans (apart, ascending), the bytes removed, and the number of removed runs."""
+    edges = np.concatenate([[0], np.column_stack([spans["start"], spans["end"]]).ravel(), [len(data)]]).astype(np.int64).tolist()
+    kept = [data[a:b] for a, b in zip(edges[0::2], edges[1::2])]
+    return kept, len(data) - sum(map(len, kept)), len(spans)
+
+
+def _cut_out(key: tuple, rows: pa.Table, removed: pa.Table) -> pa.Table:
+    """The rows of a block without their spans."""
+    block = Block(rows)
+    parts = [unpacked(data, SPAN)[0] for data in removed.column("data").to_pylist()]
+    spans = np.concatenate(parts) if parts else np.zeros(0, SPAN)
+    spans = spans_of(spans["doc"], spans["start"], spans["end"])
+    bounds = np.searchsorted(spans["doc"], np.arange(len(block.texts) + 1))
+    done = []
+    for i, text in enumerate(block.texts):
+        kept, gone, runs = kept_pieces(text, spans[bounds[i] : bounds[i + 1]])
+        done.append((len(text), gone, runs, b"".join(kept)))
+    columns = list(zip(*[done[i] for i in block.doc.tolist()])) or [(), (), (), ()]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table({"_id": rows.column("_id"), **{
+        name: pa.array(c, k) for name, c, k in zip(("n_bytes", "n_removed", "n_spans", "kept"), columns, kinds)}})
 
 
 def without_repeats(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
@@ -297,29 +380,21 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
 
     Defined cases: null texts are empty; texts under ``LENGTH`` bytes keep everything; documents with the same key don't remove
     from each other, nor does a document from itself; a null key counts as the largest;
-    repeated rows get equal results; an empty table gives an empty result. A text of any length is cut into records a piece
+    repeated rows get equal results; an empty table gives an empty result. A text of any length is searched whole, a piece
     at a time. Columns other than the key and ``text`` are not read.
     """
-    rows = _identified(docs, key)
-    spans = repeated_spans(rows).groupBy("_of", "_of_tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = rows.join(spans, (F.col("_id") == F.col("_of")) & (F.col("_tie") == F.col("_of_tie")), "left").select("_id", "text", "spans")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, spans in zip(batch.column("text"), batch.column("spans")):
-                data = text.as_py().encode() if text.is_valid else b""
-                pairs = np.zeros((0, 2), np.int64)
-                if spans.is_valid:
-                    pairs = np.column_stack([spans.values.field(c).to_numpy() for c in ("start", "end")])
-                pieces, removed, runs = kept_pieces(data, pairs)
-                out.append((len(data), removed, runs, b"".join(pieces)))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]], names=["_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    kept = joined.mapInArrow(keep, "_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    size = docs.agg(F.sum(utf8_bytes())).first()[0] or 0
+    n = max(1, -(-size // BLOCK_BYTES))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), F.hash("text").alias("_tie"), "text")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("_id", "_tie"), F.lit(n)))
+    blocks = rows.groupBy("block")
+    anchors = blocks.applyInArrow(_anchors_to_buckets(n), "bucket long, block long, data binary")
+    anchors = anchors.repartition("bucket").sortWithinPartitions("bucket")
+    answers = anchors.mapInArrow(_shared_anchors, "block long, bucket long, data binary")
+    records = blocks.cogroup(answers.groupBy("block")).applyInArrow(_records_to_buckets(n), "bucket long, block long, records boolean, data binary")
+    records = records.repartition("bucket").sortWithinPartitions("bucket")
+    spans = records.mapInArrow(_removed, "block long, data binary")
+    kept = blocks.cogroup(spans.groupBy("block")).applyInArrow(_cut_out, "_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return kept.select(F.nullif("_id", F.lit(NO_ID)).alias(key), "n_bytes", "n_removed", "n_spans", "kept")
 
 
