@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files
+from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard": jaccard_join.op1,
         "op2_html": html_text.op2,
+        "op3_toxicity": toxicity.op3,
         "op4_mixing": mixing.op4,
         "op5_sharding": sharding.op5,
         "op6_decontamination": decontamination.op6,
