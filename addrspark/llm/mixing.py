@@ -59,7 +59,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
     level = (F.sum("source_size").over(everything) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_weight").over(onwards)
     leveled = capped.withColumn("_level", level)
     stands = F.col("_level") <= F.col("_cap") / F.col("_weight")
-    common = F.min(F.when(stands, F.col("_level"))).over(everything)
+    common = F.max(F.when(stands, F.col("_level"))).over(everything)  # of the first that stands: levels fall from there
     leveled = leveled.withColumn("_common", common)
     target = F.least(F.col("_cap"), F.coalesce(F.col("_common") * F.col("_weight"), F.col("_cap")))
     return leveled.select("source", "source_size", target.alias("target"))
@@ -186,7 +186,7 @@ leveled AS (
     FROM weighted),
 plan AS (
     SELECT source, source_size, least(cap, coalesce(
-        (min(CASE WHEN level <= cap / weight THEN level END) OVER ()) * weight, cap)) AS target FROM leveled),
+        (max(CASE WHEN level <= cap / weight THEN level END) OVER ()) * weight, cap)) AS target FROM leveled),
 expected AS (
     SELECT s.doc_id, s.source, s.size, p.source_size, p.target,
         coalesce(p.target / nullif(p.source_size, 0)::DOUBLE, 0) AS times,
