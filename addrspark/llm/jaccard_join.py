@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from addrspark.llm.components import components
 from addrspark.llm.tables import table
@@ -175,7 +175,7 @@ def verified(pairs: DataFrame, described: DataFrame, docs: DataFrame, key: str =
         pairs.select(F.col("hub").alias("of"), "part", F.col("hub").alias("of_node"), F.lit(0).alias("turn")).distinct())
     nodes = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
     one = described.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row"))
-    texts = docs.select(F.xxhash64(key, "text").alias("row"), "text").join(one, "row").select("node", "text").dropDuplicates(["node"])
+    texts = docs.select(_row(key).alias("row"), "text").join(one, "row").select("node", "text").dropDuplicates(["node"])
     rows = wanted.join(texts, wanted["of_node"] == texts["node"]).select("of", "part", "turn", "of_node", "text")
     rows = rows.repartition("of", "part").sortWithinPartitions("of", "part", "turn")
     return rows.mapInArrow(_compare, "u long, v long")
@@ -207,9 +207,22 @@ def linked_documents(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     rows get equal results; a null key is in its component but never its smallest, and alone it has a null component;
     an empty table gives an empty result. Columns other than the key and ``text`` are not read.
     """
+    placed = _placed(docs, key)
+    smallest = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("_key").alias("component_id"))
+    placed = join_splitting(placed, smallest, "component", "left")
+    return placed.select(
+        F.col("_key").alias(key), "n_shingles", F.when(F.col("n_shingles") == 0, F.col("_key")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _row(key: str) -> Column:
+    """Tells rows apart; equal for rows with the same key and text."""
+    return F.xxhash64(F.col(key), F.col("text"))
+
+
+def _placed(docs: DataFrame, key: str) -> DataFrame:
+    """(_key, n_shingles, row, component) of each row; the component is a node, null without shingles."""
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("_key"), "text")
-    described = rows.select("_key", F.xxhash64("_key", "text").alias("row"), "text")
+    described = docs.select(F.col(key).alias("_key"), _row(key).alias("row"), "text")
     described = materialize(_with_row(described, kind), "jaccard-sets")
     keyed = materialize(candidate_blocks(docs), "jaccard-blocks")
     tested = materialize(first_pairs(keyed), "jaccard-pairs")
@@ -219,11 +232,7 @@ def linked_documents(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     if not more.isEmpty():
         links = links.unionByName(materialize(verified(more, described, docs, key), "jaccard-links"))
         linked = materialize(components(links), "jaccard-components")
-    placed = join_splitting(described, linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("_key").alias("component_id"))
-    placed = join_splitting(placed, smallest, "component", "left")
-    return placed.select(
-        F.col("_key").alias(key), "n_shingles", F.when(F.col("n_shingles") == 0, F.col("_key")).otherwise(F.col("component_id")).alias("component_id"))
+    return join_splitting(described, linked, "node", "left").select("_key", "n_shingles", "row", F.coalesce("component", "node").alias("component"))
 
 
 def _with_row(rows: DataFrame, kind: str) -> DataFrame:
@@ -239,19 +248,18 @@ def _with_row(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, with their columns, that are the first of their component by key; one of equal keys.
-
-    Rows without shingles are all kept.
-    """
+    """The first row of each component by key (null last), with its columns; rows without shingles are all kept."""
     names = docs.columns
-    placed = linked_documents(docs, key=key)
-    kept = placed.where((F.col("n_shingles") == 0) | F.col(key).eqNullSafe(F.col("component_id")) | F.col("component_id").isNull())
-    kept = kept.select(F.col(key).alias("_key"), (F.col("n_shingles") > 0).alias("_full")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(key).alias("_of"))
-    rows = rows.join(kept, F.col("_of").eqNullSafe(F.col("_key"))).drop("_key")
-    again = Window.partitionBy("_of").orderBy(F.xxhash64("_row.text"))
-    rows = rows.withColumn("_n", F.when(F.col("_full"), F.row_number().over(again)).otherwise(1)).where("_n = 1")
-    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    placed = _placed(docs, key)
+    order = F.struct(F.col("_key").isNull().alias("missing"), F.col("_key"), F.col("row"))
+    first = placed.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first")).select("first.row", F.lit(True).alias("full"))
+    bare = placed.where("component IS NULL").select("row", F.lit(False).alias("full")).distinct()
+    kept = first.unionByName(bare).withColumnRenamed("row", "_of")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), _row(key).alias("_row"))
+    rows = rows.join(kept, F.col("_row") == F.col("_of"))
+    again = F.row_number().over(Window.partitionBy("_row").orderBy("full"))  # of equal rows one
+    rows = rows.withColumn("_n", again).where("NOT full OR _n = 1")
+    return rows.select(*[F.col(f"_doc.`{c}`").alias(c) for c in names])
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files, toxicity
 
 
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_span_dedup": span_dedup.op8,
         "op9_token_files": token_files.op9,
         "op10_chat": chat.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -27,8 +27,8 @@ from addrspark.llm.words import Words, blocks, mixed
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES, CLEAN_WINDOWS = 1200, 2000, 1 << 16, 6
 TOXIC_WINDOWS = 8
 ROUNDS, RATE = 3, 0.01
-#: Lengths of the byte strings looked up, and how much more frequent they must be in toxic texts.
-STRINGS, RATIO = (4, 5, 6), 20.0
+#: Lengths of the byte strings looked up, how much more frequent they must be in toxic texts, and in what share of them.
+STRINGS, RATIO, SUPPORT = (4, 5, 6), 20.0, 0.015
 THRESHOLD = 0.3
 BLOCK_BYTES = 1 << 22
 FOLDS, HELD_OUT = 4, 2
@@ -99,7 +99,7 @@ def marked_tokens(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
         if len(own):
             counts[int(toxic[i]), np.unique(np.concatenate([string[bounds[t] : bounds[t + 1]] for t in own]))] += 1
     rate = counts / np.maximum(1, [[(~toxic).sum()], [toxic.sum()]])
-    needed = max(2, 0.004 * toxic.sum())
+    needed = max(2, SUPPORT * toxic.sum())
     marks = (counts[1] >= needed) & (rate[1] >= RATIO * (rate[0] + 0.25 / max(1, (~toxic).sum())))
     flags = np.zeros(len(tokens.chars), bool)
     flags[owners[order][marks[string]]] = True
