@@ -4,7 +4,7 @@ A log has one row per event: ``conv_id``, ``seq`` (order of the events of a
 conversation), ``kind``, ``turn`` (the message it is about), ``role`` and ``text``.
 
 ========== ==================================================================
-start      begins message ``turn`` of ``role``, without text
+start      begins message ``turn`` of ``role``, without text; a message may begin again
 delta      appends ``text`` to the message
 edit       replaces the message's text by ``text``
 regenerate empties the message, and drops the later turns that began before it
@@ -62,14 +62,14 @@ def folded(events: DataFrame) -> DataFrame:
     rank = F.when(F.col("kind") == "start", 0).when(F.col("kind") == "edit", 1).when(F.col("kind") == "regenerate", 2).when(F.col("kind") == "delta", 3)
     log = events.where(rank.isNotNull()).select(
         "conv_id", "turn", F.struct("seq", rank.alias("rank"), F.coalesce("role", F.lit("")).alias("role"), text_or_empty().alias("text")).alias("e"))
-    # Of each message: its events in order, when it began, and when it was last emptied.
+    # Of each message: its events in order, when it last began, and when it was last regenerated.
     message = log.groupBy("conv_id", "turn").agg(
         F.sort_array(F.collect_list("e")).alias("log"),
-        F.min(F.when(F.col("e.rank") == 0, F.col("e.seq"))).alias("began"), F.max(F.when(F.col("e.rank") == 2, F.col("e.seq"))).alias("emptied"))
-    last = F.coalesce(F.array_max(F.transform("log", lambda e, i: F.when(e["rank"].isin(1, 2), i))), F.lit(0))
+        F.max(F.when(F.col("e.rank") == 0, F.col("e.seq"))).alias("began"), F.max(F.when(F.col("e.rank") == 2, F.col("e.seq"))).alias("emptied"))
+    last = F.coalesce(F.array_max(F.transform("log", lambda e, i: F.when(e["rank"] < 3, i))), F.lit(0))
     live = F.expr("slice(log, _last + 1, size(log))")
     text = F.array_join(F.transform(F.filter(live, lambda e: e["rank"].isin(1, 3)), lambda e: e["text"]), "")
-    role = F.coalesce(F.element_at(F.transform(F.filter("log", lambda e: e["rank"] == 0), lambda e: e["role"]), -1), F.lit(""))
+    role = F.coalesce(F.try_element_at(F.transform(F.filter("log", lambda e: e["rank"] == 0), lambda e: e["role"]), F.lit(-1)), F.lit(""))
     message = message.withColumn("_last", last).select(
         "conv_id", F.struct("turn", role.alias("role"), text.alias("text"), "began", "emptied").alias("m"))
     # A turn is dropped if an earlier turn was emptied after it began. Sorted by turn, that is a running maximum.

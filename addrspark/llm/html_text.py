@@ -1,7 +1,7 @@
 """Main text of web pages by the distribution of text over lines.
 
 A page is cut into lines at its block elements, and its markup is stripped. A line
-weighs as much as it has text outside of links; lines inside menus, headers, footers,
+weighs as much as it has text; lines of links outside of articles, and lines inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments weigh nothing. The
 weights of ``WINDOW`` consecutive lines are summed. Where the sums rise from nothing
 beyond the surge level the text begins, and where they fall to nothing it ends. Of these stretches
@@ -157,10 +157,12 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) ->
     kept = [(line, t) for line, t in zip(lines, texts) if t]
     inside = any(line.main and not line.boilerplate for line, _ in kept)
     good = np.array([not line.boilerplate and (line.main or not inside) for line, _ in kept], bool)
-    weights = np.array([len(t) if inside else max(0, len(t) - line.linked) for line, t in kept], np.int64) * good
+    # Without article markup, lines that are mostly links are menus.
+    weights = np.array([len(t) if inside or 2 * line.linked <= len(t) else 0 for line, t in kept], np.int64) * good
     if not len(kept) or not weights.any():
         return []
     sums = np.convolve(weights, np.ones(window, np.int64))[window - 1 :]  # of the lines i to i + window - 1
+    good &= inside | (weights > 0)
     level = 0 if inside else surge * sums.max()
     out: list[str] = []
     i = 0

@@ -2,8 +2,8 @@
 
 The network (``gru``) is trained on a bounded sample of labelled rows. Labels are of whole texts, so the
 windows of toxic texts are labelled first: byte strings of words that are much more
-frequent in toxic texts than in others are looked up, and windows with one of them are
-taken as toxic; other windows of toxic texts are left out. All windows of clean texts are clean. A text's
+frequent in toxic texts than in others are looked up, and windows with a text's strongest ones are
+taken as toxic, as are clean windows with such a word put in; other windows of toxic texts are left out. All windows of clean texts are clean. A text's
 score is that of its worst window, brought to a probability by a logistic fit
 on sample rows that the network has not seen.
 
@@ -12,6 +12,7 @@ Every text is scored whole, where it is: a narrow pass without a shuffle.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,9 +27,10 @@ from addrspark.llm.words import Words, blocks, mixed
 #: Most labelled rows of each kind that the network is fitted on, the most bytes of such a text, and windows of a clean one.
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES, CLEAN_WINDOWS = 1200, 2000, 1 << 16, 6
 TOXIC_WINDOWS = 8
-ROUNDS, RATE = 3, 0.01
-#: Lengths of the byte strings looked up, how much more frequent they must be in toxic texts, and in what share of them.
-STRINGS, RATIO, SUPPORT = (4, 5, 6), 20.0, 0.015
+#: Clean windows with a marked word put in, rounds and epochs of training.
+IMPLANTS, ROUNDS, EPOCHS, RATE = 4000, 2, 3, 0.01
+#: Lengths of the byte strings looked up, anywhere and at the beginning of words, how much more frequent they must be in toxic texts, and in what share of them.
+STRINGS, BEGINNINGS, RATIO, SUPPORT = (4, 5, 6), (4, 5, 6, 7, 8), 20.0, 0.015
 THRESHOLD = 0.3
 BLOCK_BYTES = 1 << 22
 FOLDS, HELD_OUT = 4, 2
@@ -75,20 +77,21 @@ class Tokens:
 
 
 def _strings(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the byte strings of each token, and the token of each."""
+    """Hashes of the byte strings and beginnings of the tokens, and the token of each."""
     hashes, owners = [], []
-    for n in STRINGS:
-        h = np.full((len(chars), gru.TOKEN_BYTES - n + 1), n, np.uint64)
+    for n, anchored in [(n, False) for n in STRINGS] + [(n, True) for n in BEGINNINGS]:
+        places = 1 if anchored else gru.TOKEN_BYTES - n + 1
+        h = np.full((len(chars), places), 2 * n + anchored, np.uint64)
         for k in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + chars[:, k : k + h.shape[1]]
-        real = chars[:, n - 1 :] > 0
+            h = h * np.uint64(0x9E3779B97F4A7C15) + chars[:, k : k + places]
+        real = chars[:, n - 1 : n - 1 + places] > 0
         hashes.append(mixed(h[real]))
         owners.append(np.nonzero(real)[0])
     return np.concatenate(hashes), np.concatenate(owners)
 
 
 def marked_tokens(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
-    """A flag for each distinct token: it has a string that is much more frequent in toxic texts."""
+    """For each distinct token, the number of toxic texts with a string of it that is much more frequent there; 0 if it has none."""
     hashes, owners = _strings(tokens.chars)
     names, string = np.unique(hashes, return_inverse=True)
     order = np.argsort(owners, kind="stable")
@@ -101,9 +104,9 @@ def marked_tokens(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     rate = counts / np.maximum(1, [[(~toxic).sum()], [toxic.sum()]])
     needed = max(2, SUPPORT * toxic.sum())
     marks = (counts[1] >= needed) & (rate[1] >= RATIO * (rate[0] + 0.25 / max(1, (~toxic).sum())))
-    flags = np.zeros(len(tokens.chars), bool)
-    flags[owners[order][marks[string]]] = True
-    return flags
+    strength = np.zeros(len(tokens.chars))
+    np.maximum.at(strength, owners[order], np.where(marks, counts[1], 0)[string])
+    return strength
 
 
 @dataclass
@@ -140,18 +143,27 @@ def fit(texts: list[bytes], toxic: np.ndarray, seed: int = 5) -> Model:
     tokens, labels = Tokens([texts[i] for i in own]), toxic[own]
     windows, text = tokens.windows()
     marked = marked_tokens(tokens, labels)
-    has = (marked[windows] & (windows >= 0)).any(1)
-    if not (has & labels[text]).any():
-        has = np.ones(len(windows), bool)
-    toxic_at = _some(np.flatnonzero(labels[text] & has), text, rng.random(len(text)), TOXIC_WINDOWS)
+    found = np.where(windows >= 0, marked[windows], 0)
+    most = np.zeros(len(own))
+    np.maximum.at(most, text, found.max(1))
+    strong = (found > 0) & (2 * found >= most[text][:, None])  # a text's strongest marks
+    if not (strong.any(1) & labels[text]).any():
+        strong = windows >= 0
+    toxic_at = _some(np.flatnonzero(labels[text] & strong.any(1)), text, rng.random(len(text)), TOXIC_WINDOWS)
     clean_at = np.flatnonzero(~labels[text])
-    model = Model(gru.initial(seed))
-    rank, start = rng.random(len(text)), None
+    # Marked words alone in clean windows: only they are what toxic windows have in common.
+    source, base = rng.choice(toxic_at, IMPLANTS), windows[rng.choice(clean_at, IMPLANTS)].copy()
+    row, place = np.arange(IMPLANTS), np.argmax(strong[source] * rng.random((IMPLANTS, gru.WINDOW)), 1)
+    base[row, (rng.random(IMPLANTS) * (base >= 0).sum(1)).astype(np.int64)] = windows[source, place]
+    toxic_windows = np.concatenate([windows[toxic_at], base])
+    model, rank, start = Model(gru.initial(seed)), rng.random(len(text)), None
+    per_text = max(CLEAN_WINDOWS, 2 * IMPLANTS // max(1, int((~labels).sum())))
     for _ in range(ROUNDS):  # first on any windows of clean texts, then on those that look worst
-        at = np.concatenate([toxic_at, _some(clean_at, text, rank, CLEAN_WINDOWS)])
-        epochs = int(np.clip(30_000 // max(1, len(at)), 3, 40))
+        clean = windows[_some(clean_at, text, rank, per_text)]
+        target = np.append(np.ones(len(toxic_windows)), np.zeros(len(clean)))
         model.weights = start = gru.trained(
-            tokens.chars, tokens.buckets, windows[at], labels[text[at]], epochs=epochs, rate=RATE if start is None else RATE / 2, seed=seed, start=start)
+            tokens.chars, tokens.buckets, np.concatenate([toxic_windows, clean]), target, epochs=EPOCHS, rate=RATE if start is None else RATE / 2,
+            seed=seed, start=start)
         inputs = gru.token_inputs(start, tokens.chars, tokens.buckets)
         rank = np.zeros(len(text))
         rank[clean_at] = -gru.window_logits(start, inputs, np.where(windows[clean_at] < 0, len(inputs) - 1, windows[clean_at]))
@@ -204,8 +216,15 @@ def fitted(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: st
     chosen = parts[0].unionByName(parts[1])  # a bounded table
     rows = docs.select(F.col(key).alias("_key"), "text").where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "_key")
     rows = rows.orderBy(F.xxhash64("_key"), "_key", F.xxhash64("text")).limit(TOXIC_ROWS + CLEAN_ROWS)
-    found = rows.select("text", "_label").collect()
-    return fit([row["text"].encode() for row in found], np.array([row["_label"] == 1 for row in found], bool))
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, pa.schema([("text", pa.string()), ("toxic", pa.bool_())]))
+        model = fit([t.encode() for t in table.column("text").to_pylist()], np.array(table.column("toxic").to_pylist(), bool))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # One task trains on the bounded sample; the model, some hundred KB, comes to the driver.
+    rows = rows.select("text", (F.col("_label") == 1).alias("toxic")).repartition(1)
+    return pickle.loads(rows.mapInArrow(train, "model binary").first()["model"])
 
 
 def scored(docs: DataFrame, model: Model, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
