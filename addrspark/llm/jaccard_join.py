@@ -14,9 +14,11 @@ blocks of common passages out without losing a link, whatever their number.
 
 Candidates are verified on the texts. A first round compares each set with the
 most connected set of each block only, which makes one component of a group of copies
-with as many comparisons as members. A second round compares all candidates that are
-still in different components. So every link between different components is seen,
-and pairs within a component are not listed.
+with as many comparisons as members. In a second round, the sets of a block that are still in
+different components are laid side by side in one task, or in parts of bounded size: their bit sketches, one
+parity bit per shingle flipped, have a Hamming distance that is at most the number of
+differing shingles, and only pairs whose distance allows a link are listed and verified. So every link
+between different components is seen, and pairs within a component are not listed.
 
 Equal sets are one node throughout: a task sends the sketch of a set once.
 """
@@ -41,6 +43,10 @@ WIDTH = 5
 PERCENT = 80
 #: Sizes of a band lie within this factor, the square of the largest factor between linked sizes.
 BAND = 1.5625
+#: Sets of a block that are compared in one task; more are dealt into parts, and each two parts are a task's work.
+PART = 2048
+#: Pairs that a task remembers so as not to tell them again.
+TOLD = 1 << 18
 
 _bands: list[tuple[int, int]] = []
 
@@ -85,6 +91,56 @@ def sketch_keys(own: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     return keys >> np.uint64(16), needed  # 48 bits are enough for candidates, and shorter in a shuffle
 
 
+def bit_sketch(own: np.ndarray) -> bytes:
+    """Parity bits of a set, about three to eight times as many as shingles: each shingle flips one of them."""
+    bits = 1 << int(3 * _bands[band_of(len(own))][1] + 63).bit_length()
+    return np.packbits(np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def near_in_group(nodes: np.ndarray, components: np.ndarray, sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of different components whose sizes and sketches allow a link."""
+    order = np.argsort(components, kind="stable")
+    nodes, components, sizes = nodes[order], components[order], sizes[order].astype(np.int64)
+    width = min(map(len, sketches))
+    folded = np.zeros((len(order), width), np.uint8)
+    for row, i in enumerate(order.tolist()):  # a sketch of twice as many bits is folded by a parity of its halves
+        bits = np.frombuffer(sketches[i], np.uint8)
+        folded[row] = np.bitwise_xor.reduce(bits.reshape(-1, width), 0)
+    words, ends, out = folded.view(np.uint64), np.searchsorted(components, components, "right"), []
+    for i in range(int(np.searchsorted(components, components[-1]))):
+        rest = slice(int(ends[i]), None)
+        distance = np.bitwise_count(words[rest] ^ words[i]).sum(1, dtype=np.int64)
+        both = sizes[rest] + sizes[i]
+        near = (distance * (100 + PERCENT) <= both * (100 - PERCENT)) & (100 * np.minimum(sizes[rest], sizes[i]) >= PERCENT * np.maximum(sizes[rest], sizes[i]))
+        out += [(int(nodes[i]), int(n)) for n in nodes[rest][near]]
+    return out
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, i, j) to the pairs of each group that may be links, each pair once per task."""
+    told: set[tuple[int, int]] = set()
+    now, held = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if len(held) > 1:
+            nodes, components, sizes, sketches = zip(*held)
+            pairs = [p for p in near_in_group(np.array(nodes), np.array(components), np.array(sizes), list(sketches)) if p not in told]
+            if pairs:
+                if len(told) > TOLD:
+                    told.clear()
+                told.update(pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["hub", "node"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "component", "size", "sketch")]
+        for key, i, j, *row in zip(*columns):
+            if (key, i, j) != now:
+                yield from close()
+                now, held = (key, i, j), []
+            held.append(tuple(row))
+    yield from close()
+
+
 def _sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     words = Words(texts)
     hashes = words.hashes
@@ -102,7 +158,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = list(_sets(texts))
             yield pa.RecordBatch.from_arrays([
                 batch.column("_key").slice(begin, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_node(s) if len(s) else None for s in sets], pa.int64())], names=["_key", "n_shingles", "node"])
+                pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([bit_sketch(s) if len(s) else None for s in sets], pa.binary())], names=["_key", "n_shingles", "node", "sketch"])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,13 +209,17 @@ def first_pairs(keyed: DataFrame) -> DataFrame:
     return join_splitting(keyed, hubs, "key").where("hub <> node").select("hub", "node").distinct()
 
 
-def second_pairs(keyed: DataFrame, linked: DataFrame, tested: DataFrame) -> DataFrame:
-    """(hub, node): the candidates whose sets are in different components and have not been compared."""
+def second_pairs(keyed: DataFrame, linked: DataFrame, tested: DataFrame, described: DataFrame) -> DataFrame:
+    """(hub, node): the candidates in different components that may be links by their sketches and have not been compared."""
     rows = join_splitting(keyed, linked, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rows = join_splitting(rows, open_keys, "key")
-    left, right = (rows.select("key", F.col("node").alias(name), F.col("component").alias(f"_{name}")) for name in ("hub", "node"))
-    pairs = left.join(right, "key").where("_hub < _node").select("hub", "node").distinct()
+    open_keys = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).where("a <> b")
+    rows = join_splitting(rows, open_keys.select("key", "n"), "key")
+    sketches = described.join(rows.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s"))
+    rows = join_splitting(rows, sketches.select("node", F.col("s.n_shingles").alias("size"), "s.sketch"), "node")
+    parts = F.ceil(F.col("n") / PART)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    rows = rows.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "component", "size", "sketch")
+    pairs = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near, "hub long, node long").distinct()
     seen = tested.select("hub", "node").unionByName(tested.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     return pairs.join(seen, ["hub", "node"], "left_anti")
 
@@ -228,7 +289,7 @@ def _placed(docs: DataFrame, key: str) -> DataFrame:
     tested = materialize(first_pairs(keyed), "jaccard-pairs")
     links = materialize(verified(tested, described, docs, key), "jaccard-links")
     linked = materialize(components(links), "jaccard-components")
-    more = materialize(second_pairs(keyed, linked, tested), "jaccard-pairs")
+    more = materialize(second_pairs(keyed, linked, tested, described), "jaccard-pairs")
     if not more.isEmpty():
         links = links.unionByName(materialize(verified(more, described, docs, key), "jaccard-links"))
         linked = materialize(components(links), "jaccard-components")
@@ -241,10 +302,10 @@ def _with_row(rows: DataFrame, kind: str) -> DataFrame:
             at = 0
             for out in _describe(iter([batch])):
                 yield pa.RecordBatch.from_arrays(
-                    [*out.columns, batch.column("row").slice(at, out.num_rows)], names=["_key", "n_shingles", "node", "row"])
+                    [*out.columns, batch.column("row").slice(at, out.num_rows)], names=["_key", "n_shingles", "node", "sketch", "row"])
                 at += out.num_rows
 
-    return rows.mapInArrow(describe, f"_key {kind}, n_shingles long, node long, row long")
+    return rows.mapInArrow(describe, f"_key {kind}, n_shingles long, node long, sketch binary, row long")
 
 
 def one_per_component(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:

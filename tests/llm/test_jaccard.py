@@ -107,6 +107,30 @@ def test_short_texts_are_no_prefixes_of_longer_ones():
     assert [len(s) for s in sets] == [1, 1, 1, 0] and len(set().union(*sets)) == 3
 
 
+def test_bit_sketches_bound_the_difference_and_miss_no_link():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[rng.integers(0, 60) :], rng.integers(0, 2**64, rng.integers(0, 40), dtype=np.uint64)])) for _ in range(60)]
+    sketches = [j.bit_sketch(s) for s in sets]
+    group = rng.integers(0, 20, 60)
+    near = {frozenset(p) for p in j.near_in_group(np.arange(60), group, np.array([len(s) for s in sets]), sketches)}
+    links = set()
+    for a in range(60):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if group[a] != group[b] and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                links.add(frozenset((a, b)))
+    assert links and links <= near and len(near) < 2 * len(links) + 20
+    assert all(group[min(p)] != group[max(p)] for p in near)
+
+
+@pytest.mark.parametrize("part", [1, 3])
+def test_parts_do_not_matter(documents, monkeypatch, part):
+    monkeypatch.setattr(j, "PART", part)
+    rows = corpus(5)
+    assert found(j.linked_documents(documents(rows))) == sorted(map(str, plain(rows)))
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(500, 600 + i) for i in range(100)]
