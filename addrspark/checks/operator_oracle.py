@@ -205,6 +205,7 @@ def sinks() -> dict[str, str]:
         "k6_per_table": sql(mysql.format('t AS "table",')),
         "k6_per_region": sql(mysql.format("region,")),
         "k6_direct": sql(mysql.format("")),
+        "k6_scanned_tables": sql(mysql.format("region,")),
         "k8_load": sql(by_region.format("count(*)")),
         "k8_load_append": sql(by_region.format("2 * count(*)")),
     }
@@ -221,7 +222,10 @@ def sources() -> dict[str, str]:
         "s2_table_files": sql(f"{found} UNION ALL SELECT 'OBJECT_LEVELS', NULL"),
         "s3_file_problems": sql(f"""SELECT 'ROOMS' AS "table", region, CAST(0 AS BIGINT) AS n_files FROM ({roots})
             UNION ALL SELECT 'ROOM_TYPES', NULL, 0"""),
+        "s3_empty_region": """SELECT t AS "table", '98' AS region, CAST(0 AS BIGINT) AS n_files
+            FROM (VALUES ('ADDR_OBJ'), ('MUN_HIERARCHY'), ('HOUSES')) v(t)""",
         "s4_regions": sql(roots),
+        "s4_region_folders": sql(f"{roots} UNION ALL SELECT '98'"),
         "s5_missing_regions": sql(f"SELECT region FROM {asked} WHERE region NOT IN ({roots})"),
         "s5_selected_regions": sql(f"SELECT region FROM {asked} WHERE region IN ({roots})"),
         "s6_multi_region_scan": sql("SELECT *, string_split(path, '.')[1] AS region FROM mun_hierarchy"),

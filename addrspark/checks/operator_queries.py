@@ -263,6 +263,20 @@ def loaded(append: bool) -> Query:
     return query
 
 
+def dumped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables read from XML, written as they come, without keys."""
+    folder = new_folder(spark, "dump")
+    tables = xml_tables.scan_registry(spark, registry_folder(spark, sf_dir), ["OBJECT_LEVELS", "HOUSES"], _regions(spark, sf_dir))
+    write_dump({name.upper(): df for name, df in tables.items()}, folder, "mysql", "per_region")
+    lines = spark.read.option("lineSep", ";\n").text(folder).withColumnRenamed("value", "line")
+    return lines.select("line", F.col("region").cast("string").alias("region"))
+
+
+def _regions(spark: SparkSession, sf_dir: str) -> list[str]:
+    found = files.list_regions(files.list_files(spark, registry_folder(spark, sf_dir)))
+    return [row["region"] for row in found.collect()]  # one row per region
+
+
 def sinks() -> dict[str, Query]:
     return {
         "k1_csv_lines": rendered(render.CSV),
@@ -275,6 +289,7 @@ def sinks() -> dict[str, Query]:
         "k6_per_table": dumped("mysql", "per_table"),
         "k6_per_region": dumped("mysql", "per_region"),
         "k6_direct": dumped("mysql", "direct"),
+        "k6_scanned_tables": dumped_scan,
         "k8_load": loaded(False),
         "k8_load_append": loaded(True),
     }
@@ -299,6 +314,11 @@ def problems(found: DataFrame, spark: SparkSession) -> DataFrame:
     return files.file_problems(found, tables, files.list_regions(found))
 
 
+def folder_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = registry_folder(spark, sf_dir)
+    return files.file_problems(files.list_files(spark, folder), REGION_TABLES, files.region_folders(spark, folder))
+
+
 def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = registry_folder(spark, sf_dir)
     tables = xml_tables.scan_registry(spark, folder, ["OBJECT_LEVELS", *REGION_TABLES], ["1", "15"])
@@ -312,6 +332,8 @@ def sources() -> dict[str, Query]:
         "s2_table_files": listed(lambda found, spark: found.select("table", "region")),
         "s3_file_problems": listed(problems),
         "s4_regions": listed(lambda found, spark: files.list_regions(found)),
+        "s3_empty_region": folder_problems,
+        "s4_region_folders": lambda spark, sf_dir: files.region_folders(spark, registry_folder(spark, sf_dir)),
         "s5_missing_regions": listed(lambda found, spark: files.missing_regions(found, requested(spark))),
         "s5_selected_regions": listed(lambda found, spark: files.selected_regions(found, requested(spark))),
         "s6_multi_region_scan": scanned("MUN_HIERARCHY"),

@@ -10,6 +10,7 @@ from addrspark.shared import materialize, new_folder
 from addrspark.sources.xml_tables import ROW_TAGS
 
 DATE = "20250131"
+EMPTY_REGION = "98"
 REGION_TABLES = ["ADDR_OBJ", "MUN_HIERARCHY", "HOUSES"]
 
 _folders: dict[tuple[str, str], str] = {}
@@ -33,5 +34,10 @@ def registry_folder(spark: SparkSession, sf_dir: str) -> str:
             tagged = materialize(reg.table(table.lower()).join(regions, "objectid"), "tagged")
             for root in roots:
                 _write(tagged.where(F.col("region") == str(root)).drop("region"), f"{folder}/{root}", table)
+        # What a listing must leave out, and a region without files.
+        _write(reg.table("object_levels"), f"{folder}/backup", "OBJECT_LEVELS")
+        _write(reg.table("object_levels"), f"{folder}/backup/1", "HOUSES")
+        empty = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{EMPTY_REGION}")
+        empty.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(empty)
         _folders[key] = folder
     return _folders[key]

@@ -30,8 +30,7 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "num")
     the sizes of the pieces before it. ``order`` must be unique in a group. The
     ranged rows are written once, because both uses must see the same ranges.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *by, *ascending(*order)).withColumn("_piece", F.spark_partition_id())
+    ranged = df.repartitionByRange(*by, *ascending(*order)).withColumn("_piece", F.spark_partition_id())
     ranged = materialize(ranged, "numbered")
     pieces = ranged.groupBy(*by, "_piece").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,6 @@ from addrspark.operators.addresses import (
 )
 from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import ascending, listed
-from addrspark.operators.sizes import broadcast_if_small
 from addrspark.registry import Registry
 
 HOUSE_KEYS = ["objectid", "housenum", "addnum1", "addnum2"]
@@ -87,9 +86,11 @@ def apartment_addresses(reg: Registry, ids: DataFrame | list[int] | None = None)
         F.col("objectid").alias("apartment_objectid"), F.col("parentobjid").alias("objectid")
     )
     keys = ["apartment_objectid", "number", "housenum", "addnum1", "addnum2"]
-    houses = house_bundles(reg)
+    rows = apartments.join(links, "apartment_objectid")
+    # Of some apartments only the houses above them are read.
+    houses = house_bundles(reg) if ids is None else house_bundles(reg, rows.select("objectid").distinct())
     bundles = (
-        join_splitting(apartments.join(links, "apartment_objectid"), houses, "objectid")
+        join_splitting(rows, houses, "objectid")
         .groupBy(*keys)
         .agg(bundle_of("bundle"))
     )
@@ -146,7 +147,7 @@ def on_street(reg: Registry, street: Column) -> DataFrame:
         F.col("typename").alias("street_type"),
     )
     children = reg.hierarchy.withColumnRenamed("parentobjid", "street_objectid")
-    rows = children.join(broadcast_if_small(streets), "street_objectid")
+    rows = children.join(streets, "street_objectid")
     return reg.houses.join(rows, "objectid")
 
 

@@ -35,14 +35,17 @@ def dump_lines(
 ) -> DataFrame:
     """All tables as ``(table, region, line)``.
 
-    Tables without a ``region`` column are common ones. ``keys`` names unique
-    columns where they are not the primary key.
+    Tables without a ``region`` column are common ones. Rows are batched in order of
+    ``keys``, else of the primary key, else, if it was not read, of all columns; rows
+    that are equal in all columns are alike.
     """
     dialect, lines = DIALECTS[platform], []
     for name, df in tables.items():
         df = df if "region" in df.columns else df.withColumn("region", F.lit(COMMON))
         if dialect.inserts:
-            order = keys.get(name, [primary_key(name)])
+            columns = [c for c in df.columns if c != "region"]
+            key = primary_key(name)
+            order = keys.get(name) or ([key] if key in columns else columns)
             text = insert_statements(df, name, dialect, order, ("region",), batch_size)
             rows = text.select("region", F.rtrim(F.col("statement"), F.lit("\n")).alias("line"))
         else:

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from addrspark.sources.schemas import COMMON_TABLES, REGION_TABLES
 
-# The path of a table file, with folders and table name, and the
-# region's folder in the path of a file or of a part of it.
-TABLE_FILE = r"(?i)^(.*/)?AS_([A-Z_]+?)(?:_\d[^/]*)?\.xml"
+# The path of a table file in the base or in a region's folder, and the
+# region's folder in the path of a file or of a part of it. Files elsewhere, as in copies
+# of the folder within it, are no table files.
+TABLE_FILE = r"(?i)^(?:(\d+)/)?AS_([A-Z_]+?)(?:_\d[^/]*)?\.xml(?=$|/[^/]+$)"
 REGION_FOLDER = r"/(\d+)/AS_[^/]+(?:/[^/]+)?$"
 XML = "[xX][mM][lL]"
 
@@ -33,7 +34,7 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     )
     return sizes.select(
         F.upper(F.regexp_extract("file", TABLE_FILE, 2)).alias("table"),
-        F.nullif(F.regexp_extract("file", r"(?:^|/)(\d+)/[^/]+$", 1), F.lit("")).alias("region"),
+        F.nullif(F.regexp_extract("file", TABLE_FILE, 1), F.lit("")).alias("region"),
         "file",
         "bytes",
     )
@@ -44,9 +45,22 @@ def list_regions(files: DataFrame) -> DataFrame:
     return files.where("region is not null").select("region").distinct().orderBy("region")
 
 
-def missing_regions(files: DataFrame, requested: DataFrame) -> DataFrame:
-    """Requested regions without any file."""
-    return requested.select("region").distinct().join(list_regions(files), "region", "left_anti").orderBy("region")
+def region_folders(spark: SparkSession, base: str) -> DataFrame:
+    """The regions that have a folder directly below the base, also an empty one, in order.
+
+    One folder is listed, by the file system of its address.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    regions = [(name,) for name in names if name.isascii() and name.isdigit()]
+    return spark.createDataFrame(regions, "region string").orderBy("region")
+
+
+def missing_regions(files: DataFrame, requested: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """Requested regions that are not among ``regions``, by default those with files."""
+    regions = list_regions(files) if regions is None else regions
+    return requested.select("region").distinct().join(regions, "region", "left_anti").orderBy("region")
 
 
 def selected_regions(files: DataFrame, requested: DataFrame) -> DataFrame:

@@ -23,12 +23,24 @@ COMMON_TABLES = {
 }
 # Tables with one file per region; all parameter tables share an entity.
 REGION_TABLES = {
-    name: "PARAM" if name.endswith("_PARAMS") else name
-    for name in (
-        "ADDR_OBJ ADDR_OBJ_DIVISION ADDR_OBJ_PARAMS ADM_HIERARCHY APARTMENTS APARTMENTS_PARAMS CARPLACES "
-        "CARPLACES_PARAMS CHANGE_HISTORY HOUSES HOUSES_PARAMS MUN_HIERARCHY NORMATIVE_DOCS REESTR_OBJECTS ROOMS "
-        "ROOMS_PARAMS STEADS STEADS_PARAMS"
-    ).split()
+    "ADDR_OBJ": "ADDR_OBJ",
+    "ADDR_OBJ_DIVISION": "ADDR_OBJ_DIVISION",
+    "ADDR_OBJ_PARAMS": "PARAM",
+    "ADM_HIERARCHY": "ADM_HIERARCHY",
+    "APARTMENTS": "APARTMENTS",
+    "APARTMENTS_PARAMS": "PARAM",
+    "CARPLACES": "CARPLACES",
+    "CARPLACES_PARAMS": "PARAM",
+    "CHANGE_HISTORY": "CHANGE_HISTORY",
+    "HOUSES": "HOUSES",
+    "HOUSES_PARAMS": "PARAM",
+    "MUN_HIERARCHY": "MUN_HIERARCHY",
+    "NORMATIVE_DOCS": "NORMATIVE_DOCS",
+    "REESTR_OBJECTS": "REESTR_OBJECTS",
+    "ROOMS": "ROOMS",
+    "ROOMS_PARAMS": "PARAM",
+    "STEADS": "STEADS",
+    "STEADS_PARAMS": "PARAM",
 }
 TABLES = COMMON_TABLES | REGION_TABLES
 # Primary keys other than ID.

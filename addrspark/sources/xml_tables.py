@@ -10,8 +10,8 @@ from addrspark.sources.files import (
     REGION_FOLDER,
     file_problems,
     list_files,
-    list_regions,
     missing_regions,
+    region_folders,
     table_glob,
 )
 from addrspark.sources.schemas import COMMON_TABLES, entity_of, lower_names, query_schema, select_tables
@@ -108,10 +108,10 @@ def scan_registry(
     """
     files = list_files(spark, base).cache()
     try:
-        available = list_regions(files)
+        available = region_folders(spark, base)
         if regions is not None:
             requested = spark.createDataFrame([(region,) for region in regions], "region string")
-            _raise_first(missing_regions(files, requested), "requested regions not found")
+            _raise_first(missing_regions(files, requested, available), "requested regions not found")
             available = available.join(requested, "region", "left_semi")
         tables = select_tables(tables)
         _raise_first(file_problems(files, tables, available), "not exactly one file for")
@@ -129,10 +129,11 @@ def scan_registry(
 
 
 def _raise_first(problems: DataFrame, message: str, shown: int = 20) -> None:
-    rows = problems.limit(shown).collect()
+    rows = problems.limit(shown + 1).collect()
     if rows:
-        named = ", ".join(" ".join(str(value) for value in row) for row in rows)
-        raise FileNotFoundError(f"{message}: {named}")
+        named = ", ".join(" ".join(str(value) for value in row) for row in rows[:shown])
+        more = f" and others, {problems.count()} in all" if len(rows) > shown else ""
+        raise FileNotFoundError(f"{message}: {named}{more}")
 
 
 def loaded_schema(table: str) -> T.StructType:

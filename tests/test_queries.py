@@ -15,10 +15,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert sorted(QUERIES) == sorted(SQL)
+    assert set(SQL) <= set(QUERIES)
+    assert all(key in SQL or key == "pipeline" or key.startswith("op") for key in QUERIES)
 
 
-@pytest.mark.parametrize("key", list(QUERIES))
+@pytest.mark.parametrize("key", list(SQL))
 def test_equal_to_sql(spark, con, key):
     diff, _ = difference(QUERIES[key](spark, SF_DIR), con, SQL[key])
     assert not diff

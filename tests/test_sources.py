@@ -147,7 +147,7 @@ def test_file_listing(spark, folder):
     listing = files.list_files(spark, folder)
     found = sorted((row["table"], row["region"] or "") for row in listing.collect())
     assert found == [
-        ("ADDR_OBJ", ""), ("ADDR_OBJ", "01"), ("ADDR_OBJ", "77"), ("ADDR_OBJ_PARAMS", "01"), ("ADDR_OBJ_PARAMS", "77"),
+        ("ADDR_OBJ", "01"), ("ADDR_OBJ", "77"), ("ADDR_OBJ_PARAMS", "01"), ("ADDR_OBJ_PARAMS", "77"),
         ("HOUSES", "77"), ("HOUSES", "77"), ("OBJECT_LEVELS", ""),
     ]
     assert [row[0] for row in files.list_regions(listing).collect()] == ["01", "77"]
@@ -167,6 +167,29 @@ def test_scan_registry(spark, folder):
         xml_tables.scan_registry(spark, folder, ["HOUSES"], ["77"])
 
 
+def test_copies_and_empty_regions(spark, folder, tmp_path):
+    """Only the base and the regions' folders hold table files; a region without files is a problem."""
+    for copy in ("backup/77", "77/old", "old"):
+        (tmp_path / copy).mkdir(parents=True)
+        for name in ("AS_ADDR_OBJ_20250131.XML", "AS_OBJECT_LEVELS_20250131.XML"):
+            (tmp_path / copy / name).write_text(ROWS, encoding="utf-8")
+    schemas, tags = read_schemas(spark, folder, ["ADDR_OBJ"])
+    tables = xml_tables.scan_registry(spark, folder, ["ADDR_OBJ", "OBJECT_LEVELS"], None, schemas, tags)
+    assert tables["addr_obj"].count() == 6 and tables["object_levels"].count() == 1
+    (tmp_path / "50").mkdir()
+    assert [row["region"] for row in files.region_folders(spark, folder).collect()] == ["01", "50", "77"]
+    with pytest.raises(FileNotFoundError, match="ADDR_OBJ 50 0"):
+        xml_tables.scan_registry(spark, folder, ["ADDR_OBJ"], None, schemas, tags)
+
+
+def test_all_problems_are_counted(spark, tmp_path):
+    for region in range(30):
+        (tmp_path / f"{region + 10}").mkdir()
+    (tmp_path / "AS_OBJECT_LEVELS.XML").write_text("<OBJECTLEVELS></OBJECTLEVELS>")
+    with pytest.raises(FileNotFoundError, match="30 in all"):
+        xml_tables.scan_registry(spark, str(tmp_path), ["HOUSES"])
+
+
 def test_tables():
     assert len(select_tables()) == 28 and len({entity_of(name) for name in select_tables()}) == 22
     assert select_tables(["houses", "OBJECT_LEVELS"]) == ["OBJECT_LEVELS", "HOUSES"]
