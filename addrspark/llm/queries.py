@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +13,32 @@ import corpus_pipeline
 from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files, toxicity
 
 
+ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        archive = Path(tempfile.mkdtemp(prefix="addrspark-")) / "addrspark.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in (*sorted((ROOT / "addrspark").rglob("*.py")), ROOT / "corpus_pipeline.py"):
+                out.write(path, path.relative_to(ROOT))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
+def shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         "op1_jaccard": jaccard_join.op1,
         "op2_html": html_text.op2,
         "op3_toxicity": toxicity.op3,
@@ -24,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_chat": chat.op10,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: shipping(query) for name, query in own.items()}
 
 
 def oracle_sql() -> dict[str, str]:
