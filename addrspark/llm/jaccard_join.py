@@ -15,9 +15,10 @@ blocks of common passages out without losing a link, whatever their number.
 Candidates are verified on the texts. A first round compares each set with the
 most connected set of each block only, which makes one component of a group of copies
 with as many comparisons as members. In a second round, the sets of a block that are still in
-different components are laid side by side in one task, or in parts of bounded size: their bit sketches, one
+different components are compared: the few pairs of small blocks are listed, and the sets of large blocks are laid
+side by side in a task, or in parts of bounded size. Their bit sketches, one
 parity bit per shingle flipped, have a Hamming distance that is at most the number of
-differing shingles, and only pairs whose distance allows a link are listed and verified. So every link
+differing shingles, and only pairs whose distance allows a link are listed. What is listed is verified. So every link
 between different components is seen, and pairs within a component are not listed.
 
 Equal sets are one node throughout: a task sends the sketch of a set once.
@@ -43,6 +44,8 @@ WIDTH = 5
 PERCENT = 80
 #: Sizes of a band lie within this factor, the square of the largest factor between linked sizes.
 BAND = 1.5625
+#: Sets of a block whose pairs are listed; of more, only pairs that may be links are.
+LISTED = 24
 #: Sets of a block that are compared in one task; more are dealt into parts, and each two parts are a task's work.
 PART = 2048
 #: Pairs that a task remembers so as not to tell them again.
@@ -213,13 +216,19 @@ def second_pairs(keyed: DataFrame, linked: DataFrame, tested: DataFrame, describ
     """(hub, node): the candidates in different components that may be links by their sketches and have not been compared."""
     rows = join_splitting(keyed, linked, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_keys = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).where("a <> b")
-    rows = join_splitting(rows, open_keys.select("key", "n"), "key")
+    rows = materialize(join_splitting(rows, open_keys.select("key", "n"), "key"), "jaccard-open")
+    # Pairs of small groups are listed; the sets of large ones are compared in tasks, where a list would be quadratic.
+    small = rows.where(F.col("n") <= LISTED)
+    left, right = (small.select("key", F.col("node").alias(name), F.col("component").alias(f"_{name}")) for name in ("hub", "node"))
+    listed = left.join(right, "key").where("_hub < _node").select("hub", "node")
+    rows = rows.where(F.col("n") > LISTED)
     sketches = described.join(rows.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s"))
     rows = join_splitting(rows, sketches.select("node", F.col("s.n_shingles").alias("size"), "s.sketch"), "node")
     parts = F.ceil(F.col("n") / PART)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     rows = rows.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "component", "size", "sketch")
-    pairs = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near, "hub long, node long").distinct()
+    pairs = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near, "hub long, node long")
+    pairs = listed.unionByName(pairs).distinct()
     seen = tested.select("hub", "node").unionByName(tested.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     return pairs.join(seen, ["hub", "node"], "left_anti")
 

@@ -127,6 +127,7 @@ def test_bit_sketches_bound_the_difference_and_miss_no_link():
 @pytest.mark.parametrize("part", [1, 3])
 def test_parts_do_not_matter(documents, monkeypatch, part):
     monkeypatch.setattr(j, "PART", part)
+    monkeypatch.setattr(j, "LISTED", 2)
     rows = corpus(5)
     assert found(j.linked_documents(documents(rows))) == sorted(map(str, plain(rows)))
 
