@@ -20,6 +20,8 @@ from addrspark.functions.paths import last_step, parent_path, path_ids
 SEPARATOR = ", "
 # The levels that get columns of their own in the wide tables.
 WIDE_LEVELS = [1, 3, 5, 6, 7, 8]
+#: Steps between an object's parent and its nearest place that are taken off: apartment and house of a room.
+STEPS_BELOW = 2
 LEVEL_ATTRIBUTES = ["objectid", "objectguid", "typename", "name"]
 
 
@@ -111,6 +113,30 @@ def bundle_parts(
     return place_steps(paths, places).groupBy("bundle").agg(parts_aggregate(single_path), *extra)
 
 
+def place_paths(paths: DataFrame, places: DataFrame) -> DataFrame:
+    """``(bundle, path, place_path)``: each path without the steps below its nearest place.
+
+    Rooms of an apartment, apartments of a house and houses of a street then meet in one path. Each round
+    takes off a last step that is no place; the steps left out add nothing to an address.
+    """
+    known = places.select(F.col("objectid").alias("_place")).distinct()
+    rows = paths.withColumn("place_path", F.col("path"))
+    for _ in range(STEPS_BELOW):
+        joined_rows = rows.join(known, last_step("place_path").try_cast("bigint") == F.col("_place"), "left")
+        below = F.col("_place").isNull() & F.col("place_path").contains(".")
+        rows = joined_rows.withColumn("place_path", F.when(below, parent_path("place_path")).otherwise(F.col("place_path"))).drop("_place")
+    return rows
+
+
+def nearest_parts(paths: DataFrame, places: DataFrame) -> DataFrame:
+    """``parts`` per bundle as of ``bundle_parts``; bundles of one path are taken apart once per nearest place."""
+    single = place_paths(paths.where("bundle = path"), places).select("bundle", "place_path")
+    once = single.select(F.col("place_path").alias("bundle"), F.col("place_path").alias("path")).distinct()
+    parts = bundle_parts(once, places, single_path=True).withColumnRenamed("bundle", "place_path")
+    several = bundle_parts(paths.where("bundle <> path"), places)
+    return single.join(parts, "place_path").select("bundle", "parts").unionByName(several)
+
+
 def joined(parts: Column | str = "parts", copies: Column | None = None) -> Column:
     """The parts as text, each repeated ``copies`` times; NULL without parts."""
     parts = F.col(parts) if isinstance(parts, str) else parts

@@ -11,6 +11,7 @@ from addrspark.operators.addresses import (
     bundled,
     bundle_parts,
     joined,
+    nearest_parts,
     parts_aggregate,
     paths_of_bundles,
     place_steps,
@@ -44,7 +45,7 @@ def addresses(reg: Registry, ids: DataFrame | list[int] | None = None) -> DataFr
     """Address of each object with an active path and a known address object in it."""
     rows = limited_to(reg.hierarchy.select("objectid", "path"), ids)
     bundles = bundled(address_key(rows, reg.places), ["objectid"], "key_path", reg.single_rows)
-    parts = bundle_parts(paths_of_bundles(bundles), reg.places, single_path=reg.single_rows)
+    parts = nearest_parts(paths_of_bundles(bundles), reg.places)
     return join_splitting(bundles, parts, "bundle").select(
         F.col("objectid").alias("target_objectid"), joined().alias("full_address")
     )

@@ -229,3 +229,14 @@ def test_single_rows_give_the_same(stored, query):
 
 def test_derived_registry_has_single_rows(stored):
     assert stored.verified().single_rows
+
+
+def test_addresses_are_taken_apart_once_per_place(stored):
+    """Apartments and rooms do not add paths of their own."""
+    from addrspark.operators.addresses import address_key, bundled, paths_of_bundles, place_paths
+
+    rows = address_key(stored.hierarchy.select("objectid", "path"), stored.places)
+    paths = paths_of_bundles(bundled(rows, ["objectid"], "key_path", False))
+    places = stored.hierarchy.join(stored.places.select("objectid"), "objectid").select("path").distinct().count()
+    found = place_paths(paths.where("bundle = path"), stored.places).select("place_path").distinct().count()
+    assert found < 2 * places < paths.count() / 5
