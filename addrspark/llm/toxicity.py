@@ -224,7 +224,8 @@ def fitted(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: st
 
     # One task trains on the bounded sample; the model, some hundred KB, comes to the driver.
     rows = rows.select("text", (F.col("_label") == 1).alias("toxic")).repartition(1)
-    return pickle.loads(rows.mapInArrow(train, "model binary").first()["model"])
+    found = rows.mapInArrow(train, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit([], np.zeros(0, bool))  # without rows there may be no task
 
 
 def scored(docs: DataFrame, model: Model, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
