@@ -1,11 +1,12 @@
 """Find benchmark passages in documents by spaced seeds.
 
-A seed is a mask over ``SPAN`` consecutive words: positions marked 1 are hashed, the
+A seed is a mask over a few consecutive words: positions marked 1 are hashed, the
 others are ignored, so a changed word at an ignored position leaves the hash as it is. The masked
 hashes of all documents' words are joined to those of the benchmark. Around each hit
 the document and the benchmark item are laid over each other, word by word; the best
 stretch (a match counts 1, a changed word -2) is verified: it must hold ``MIN_MATCHES`` equal words, or
-``WHOLE`` percent of a shorter item.
+``WHOLE`` percent of a shorter item. The masks are chosen so that each stretch that passes holds
+one of them whole, however many of its words are changed.
 
 The benchmark is the smaller side. It is read in blocks of at most ``BLOCK_WORDS``
 words, each checked to be that small before it is sent to the tasks; a larger benchmark takes more passes
@@ -23,15 +24,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from addrspark.llm.tables import n_words, table
 from addrspark.llm.words import Words, blocks, mixed
 
-SPAN = 12
-#: Eight of twelve words each; every one or two changed words leave one of them whole at some place of a passage.
-MASKS = ("110110110011", "111011001011", "101100111011", "111111110000")
+#: Masks of items of ``LONG`` words or more, and of shorter ones. Every pattern of equal and changed words that passes the check
+#: has a place where one of them meets equal words only; tests/llm/test_decontamination.py goes through all patterns.
+MASKS = ("111010011", "111010100001", "11101100001", "11110101")
+SHORT_MASKS = ("111011", "11111")
+LONG = 10
 MIN_MATCHES = 13
 WHOLE = 80
 MISMATCH = 2
 #: Items with fewer words say too little and are not searched for.
 MIN_ITEM = 6
 BLOCK_WORDS = 1 << 20
+#: Hits, and words laid over each other, that are worked on at once.
+HITS, WORDS = 1 << 20, 1 << 22
 
 
 def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -57,7 +62,7 @@ class Benchmark:
         for i, (a, b) in enumerate(zip(self.first[:-1], self.first[1:])):
             if b - a < MIN_ITEM:
                 continue
-            for mask in MASKS if b - a >= SPAN else ("1" * int(b - a),):
+            for mask in MASKS if b - a >= LONG else SHORT_MASKS:
                 found.setdefault(mask, []).append((seed_hashes(self.hashes[a:b], mask), i))
         for mask, parts in found.items():
             keys = np.concatenate([h for h, _ in parts])
@@ -75,7 +80,7 @@ class Benchmark:
         """(text, item_id, first word in the text, length, equal words) of each verified overlap; the best per pair."""
         words = Words(texts)
         hashes, doc = words.hashes, words.doc
-        hits: set[tuple[int, int, int]] = set()
+        found = [np.zeros((0, 3), np.int64)]
         for mask, (keys, places, seen) in self.seeds.items():
             own = seed_hashes(hashes, mask)
             if not len(own):
@@ -83,11 +88,14 @@ class Benchmark:
             shift = np.uint64(64 - (len(seen).bit_length() - 1))
             at = np.flatnonzero(seen[(own >> shift).astype(np.int64)] & (doc[: len(own)] == doc[len(mask) - 1 :]))
             low, high = np.searchsorted(keys, own[at], "left"), np.searchsorted(keys, own[at], "right")
-            for i in np.flatnonzero(high > low).tolist():
-                for item, offset in places[low[i] : high[i]].tolist():
-                    hits.add((int(doc[at[i]]), item, int(at[i]) - offset))
+            for begin, end in _parts(high - low, HITS):
+                row, n = _ragged(high[begin:end] - low[begin:end])
+                item, offset = places[low[begin:end][row] + n].T
+                place = at[begin:end][row]
+                found.append(_distinct(np.column_stack([doc[place], item, place - offset])))
+        hits = _distinct(np.concatenate(found))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for text, item, place in hits:
+        for text, item, place in hits[self._may_pass(hits, hashes, words.first)].tolist():
             a, b = int(self.first[item]), int(self.first[item + 1])
             begin, end = max(place, int(words.first[text])), min(place + b - a, int(words.first[text + 1]))
             equal = hashes[begin:end] == self.hashes[a + begin - place : a + end - place]
@@ -97,6 +105,40 @@ class Benchmark:
                 best[key] = max(best.get(key, value), value)
         return [(text, int(self.ids[item]), first, length, matches) for (text, item), (matches, first, length) in sorted(best.items())]
 
+    def _may_pass(self, hits: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Whether text and item have enough equal words, in one stretch or not, as each hit lays them over each other."""
+        text, item, place = hits.T
+        a, size = self.first[item], self.first[item + 1] - self.first[item]
+        begin, end = np.maximum(place, first[text]), np.minimum(place + size, first[text + 1])
+        equal = np.zeros(len(hits), np.int64)
+        for low, high in _parts(end - begin, WORDS):
+            row, n = _ragged(end[low:high] - begin[low:high])
+            at = begin[low:high][row] + n
+            same = hashes[at] == self.hashes[at + (a - place)[low:high][row]]
+            equal[low:high] = np.bincount(row[same], minlength=high - low)
+        return (equal >= MIN_MATCHES) | (100 * equal >= WHOLE * size)
+
+
+def _parts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with a sum of ``sizes`` of at most ``limit``; a larger row is a range of its own."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    begin = 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(sums, sums[begin] + limit, "right")) - 1)
+        yield begin, end
+        begin = end
+
+
+def _ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of ``sizes`` entries: the row of each entry, and its number in the row."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    rows = rows[np.lexsort(rows.T)]
+    return rows[np.append(True, (rows[1:] != rows[:-1]).any(1))[: len(rows)]]
+
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     """Start, length and matches of the stretch with the largest score."""

@@ -1,7 +1,9 @@
 """Planted passages, whole and with changed words, against a plain search."""
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 
 from addrspark.llm import decontamination as d
@@ -71,3 +73,43 @@ def test_nulls_empty_and_repeats(spark, documents, planted):
         (None, 0, 0), (3, 0, 0), (3, 0, 0), (4, 0, 100000)]))
     assert d.contaminations(docs, odd.limit(0)).count() == 0 and d.clean(docs, odd.limit(0)).count() == 6
     assert d.contaminations(documents([]), odd).count() == 0
+
+
+def passing(equal, size):
+    """The best stretch of a pattern if the check takes it for an item of ``size`` words."""
+    first, length, matches = d.best_stretch(np.array(equal, bool))
+    return equal[first : first + length] if matches >= d.MIN_MATCHES or 100 * matches >= d.WHOLE * size else None
+
+
+def meets(mask, pattern):
+    return any(all(p or bit == "0" for bit, p in zip(mask, pattern[k:])) for k in range(len(pattern) - len(mask) + 1))
+
+
+def test_masks_meet_all_patterns_that_pass():
+    for size in range(d.MIN_ITEM, 16):
+        masks = d.MASKS if size >= d.LONG else d.SHORT_MASKS
+        for equal in itertools.product((0, 1), repeat=size):
+            if 100 * sum(equal) >= d.WHOLE * size and (stretch := passing(equal, size)):
+                assert any(meets(mask, stretch) for mask in masks), equal
+    # From 16 words on, 13 equal words are asked for. A best stretch has sums above 0 up to each of its words: up to the 13th equal one
+    # it is one of the patterns here, whatever comes after.
+    starts = [((1,), 1)]
+    while starts:
+        pattern, total = starts.pop()
+        if sum(pattern) == d.MIN_MATCHES:
+            assert any(meets(mask, pattern) for mask in d.MASKS), pattern
+            continue
+        starts.append(((*pattern, 1), total + 1))
+        if total > d.MISMATCH:
+            starts.append(((*pattern, 0), total - d.MISMATCH))
+
+
+@pytest.mark.parametrize("size", range(6, 21))
+def test_one_and_two_changed_words(size):
+    rng = random.Random(size)
+    item = words(rng, size)
+    bench = d.Benchmark([1], [" ".join(item).encode()])
+    changes = [c for n in (0, 1, 2) for c in itertools.combinations(range(size), n)]
+    texts = [" ".join(words(rng, 3) + ["changed" if k in c else w for k, w in enumerate(item)] + words(rng, 3)).encode() for c in changes]
+    found = {text for text, *_ in bench.overlaps(texts)}
+    assert found == {i for i, c in enumerate(changes) if passing([k not in c for k in range(size)], size)}
