@@ -1,12 +1,15 @@
 """Main text of web pages by the distribution of text over lines.
 
-A page is cut into lines at its block elements, and its markup is stripped. A line
-weighs as much as it has text; lines of links outside of articles, and lines inside menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments weigh nothing. The
-weights of ``WINDOW`` consecutive lines are summed. Where the sums rise from nothing
-beyond the surge level the text begins, and where they fall to nothing it ends. Of these stretches
-the ones that hold the article are kept, with every line in them that is not
-boilerplate, however short.
+A page is cut into lines at its block elements, and its markup is stripped. Lines inside
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out. A line
+weighs as much as it has text, a line of links nothing. The weights of ``WINDOW`` consecutive lines
+are summed. Where the sums rise beyond the surge level a stretch of text begins, and where
+they fall to nothing it ends.
+
+The heaviest stretch tells what article markup is worth on a page. If half of it lies in
+``article`` or ``main``, these hold the text, and their lines are taken, however short. If less
+than a quarter does, they are cards beside the text and weigh nothing. Otherwise the text is
+the lines of the stretches.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 
 import numpy as np
@@ -24,7 +28,7 @@ from addrspark.llm.tables import table
 
 #: Lines in a window.
 WINDOW = 3
-#: A page without article markup begins its text where a window reaches this share of the largest window.
+#: A stretch of text begins where a window reaches this share of the largest window.
 SURGE = 0.1
 
 # Elements of HTML, fixed by its standard.
@@ -60,6 +64,7 @@ class Line:
     main: bool
     linked: int = 0
 
+    @cached_property
     def text(self) -> str:
         return " ".join(unescape("".join(self.parts)).split())
 
@@ -151,33 +156,43 @@ def lines_of(html: str) -> list[Line]:
     return out
 
 
-def main_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) -> list[str]:
-    """The texts of the lines between surge and dive points."""
-    texts = [line.text() for line in lines]
-    kept = [(line, t) for line, t in zip(lines, texts) if t]
-    inside = any(line.main and not line.boilerplate for line, _ in kept)
-    good = np.array([not line.boilerplate and (line.main or not inside) for line, _ in kept], bool)
-    # Without article markup, lines that are mostly links are menus.
-    weights = np.array([len(t) if inside or 2 * line.linked <= len(t) else 0 for line, t in kept], np.int64) * good
-    if not len(kept) or not weights.any():
-        return []
+def _stretches(weights: np.ndarray, window: int, surge: float) -> list[tuple[int, int]]:
+    """First line and end of each stretch between a surge and a dive."""
     sums = np.convolve(weights, np.ones(window, np.int64))[window - 1 :]  # of the lines i to i + window - 1
-    good &= inside | (weights > 0)
-    level = 0 if inside else surge * sums.max()
-    out: list[str] = []
-    i = 0
-    while i < len(kept):
+    out: list[tuple[int, int]] = []
+    i, level = 0, surge * sums.max()
+    while i < len(weights):
         if weights[i] and sums[i] > level:  # a surge: the text goes on until a window is empty
             end = i
-            while end < len(kept) and sums[end] > 0:
+            while end < len(weights) and sums[end] > 0:
                 end += 1
-            out += [t for (_, t), g in zip(kept[i:end], good[i:end]) if g]
+            out.append((i, end))
             i = end
         else:
             i += 1
     return out
 
 
+def main_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) -> list[str]:
+    """The texts of the lines between surge and dive points, or of the article markup that holds them."""
+    kept = [line for line in lines if line.text and not line.boilerplate]
+    main = np.array([line.main for line in kept], bool)
+    weights = np.array([0 if 2 * line.linked > len(line.text) else len(line.text) for line in kept], np.int64)
+    if not weights.any():
+        return [line.text for line in kept if line.main]  # links only
+    begin, end = max(_stretches(weights, window, surge), key=lambda s: weights[s[0] : s[1]].sum())
+    shares = [weights[a:b][main[a:b]].sum() / weights[a:b].sum() for a, b in ((begin, end), (0, len(kept)))]
+    if max(shares) >= 0.5:
+        return [line.text for line in kept if line.main]
+    if max(shares) < 0.25:
+        weights = weights * ~main
+    stretches = _stretches(weights, window, surge)
+    good = np.zeros(len(kept), bool)
+    for begin, end in stretches:
+        good[begin:end] = weights[begin:end] > 0
+    return [line.text for line, g in zip(kept, good) if g]
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by line ends; empty for a missing or empty page."""
     return "\n".join(main_lines(lines_of(html))) if html else ""

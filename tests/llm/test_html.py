@@ -2,7 +2,7 @@
 
 import pytest
 
-from addrspark.llm.html_text import extracted, main_text
+from addrspark.llm.html_text import extracted, lines_of, main_lines, main_text
 
 ARTICLE = "<article><h1>A &amp; B</h1><p>First <b>bold</b>  text\n with lines.</p><p>Of.</p><p>Last one&nbsp;here.</article>"
 
@@ -43,3 +43,31 @@ def test_table(spark):
     assert sorted(map(str, ((r.page_id, r.url, r.n_chars, r.text[:6]) for r in got.collect()))) == sorted(map(str, [
         (1, "u", 249999, "long l"), (2, None, 0, ""), (None, "u", 1, "x"), (None, "u", 1, "x")]))
     assert extracted(pages.limit(0)).count() == 0
+
+
+PARAGRAPHS = [f"Paragraph number {i} with quite some words in it." for i in range(6)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+TEXT = "\n".join(PARAGRAPHS)
+LINKS = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+
+
+def test_the_heaviest_stretch_tells_whether_articles_hold_the_text():
+    card = "<article><h3><a href=x>Next story</a></h3><p>Teaser of it.</p></article>"
+    assert main_text(f"<div class='post'>{BODY}</div>{card}") == TEXT
+    assert main_text(f"{card}<div class='post'>{BODY}</div>{LINKS}") == TEXT
+    assert main_text(f"<article>{BODY}</article>{card}").startswith(TEXT)
+
+
+def test_articles_of_half_the_text_are_no_cards():
+    assert main_text(f"<div>{BODY}</div><article>{PARAGRAPHS[0]}{PARAGRAPHS[1]}</article>").startswith(TEXT + "\nParagraph number 0")
+    assert main_text(f"<article>{BODY}</article><div><p>Imprint of the site.</p></div>") == TEXT
+
+
+def test_windows_decide():
+    lines = lines_of(f"<p>Short.</p>{LINKS}{BODY}{LINKS}<p>Imprint.</p>")
+    assert main_lines(lines) == PARAGRAPHS
+    assert main_lines(lines, window=5) == main_lines(lines, surge=0.01) == ["Short.", *PARAGRAPHS, "Imprint."]
+    # An article of a quarter of the text is a stretch as others are: its one window is two thirds of the largest.
+    lines = lines_of(f"<article>{PARAGRAPHS[0]} {PARAGRAPHS[1]}</article>{LINKS}{BODY}")
+    assert main_lines(lines) == [f"{PARAGRAPHS[0]} {PARAGRAPHS[1]}", *PARAGRAPHS]
+    assert main_lines(lines, surge=0.8) == PARAGRAPHS
