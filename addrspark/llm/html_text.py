@@ -1,7 +1,8 @@
 """Main text of web pages by the distribution of text over lines.
 
 A page is cut into lines at its block elements, and its markup is stripped. Lines inside
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out. A line
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out, unless such an
+element is known by a class or id name only and holds most of the page's text. A line
 weighs as much as it has text, a line of links nothing. The weights of ``WINDOW`` consecutive lines
 are summed. Where the sums rise beyond the surge level a stretch of text begins, and where
 they fall to nothing it ends.
@@ -47,6 +48,10 @@ MARKS = frozenset(
     "modal newsletter subscribe subscription signup login sidebar side menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
     "topbar toolbar comment comments commentlist disqus reply replies respond discussion related recommended share sharing social widget pagination pager "
     "legal copyright disclaimer skip hidden".split())
+#: Those of what readers write, which may be longer than the article.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
+#: Words beside which a mark tells of the layout, and beside which a header is that of the text.
+LAYOUT, OF_TEXT = frozenset("no not with without has have hide hides category tag type format status".split()), frozenset("post entry article story".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 
 _TOKEN = re.compile(
@@ -57,50 +62,67 @@ _WORDS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+PLAIN, NAMED, COMMENT, MARKED = range(4)
+
+
 @dataclass
 class Line:
     parts: list[str]
-    boilerplate: bool
+    mark: int
     main: bool
+    heading: bool = False
     linked: int = 0
+    boilerplate: bool = False
 
     @cached_property
     def text(self) -> str:
         return " ".join(unescape("".join(self.parts)).split())
 
 
-def _marked(tag: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element's tag or names say that it is boilerplate."""
+def _marked(tag: str, attributes: str, in_main: bool) -> int:
+    """Whether an element is boilerplate: ``MARKED`` by its tag, role or as hidden, or by its names, as a ``COMMENT`` or otherwise ``NAMED``."""
     if tag in BOILERPLATE or tag == "header" and not in_main:
-        return True
-    if not attributes or tag in MAIN or tag in ("html", "body"):
-        return False
+        return MARKED
+    if not attributes or tag in ("html", "body"):
+        return PLAIN
+    out = PLAIN
     for name, *values in _NAMES.findall(attributes):
         value, name = "".join(values), name.lower()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return MARKED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return MARKED
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and not MARKS.isdisjoint(_WORDS.findall(_CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+            return MARKED
+        if name in ("class", "id"):
+            out = max(out, PLAIN, *(_named(_WORDS.findall(_CAMEL.sub(" ", one).lower()), in_main) for one in value.split()))
+    return out
+
+
+def _named(words: list[str], in_main: bool) -> int:
+    """What one class or id says."""
+    marks = MARKS.intersection(words)
+    if in_main or not OF_TEXT.isdisjoint(words):
+        marks -= {"header"}
+    if not marks or words[0] in LAYOUT:
+        return PLAIN
+    return NAMED if marks.isdisjoint(COMMENTS) else COMMENT
 
 
 def lines_of(html: str) -> list[Line]:
     """The page's lines in order. Unclosed elements end with the element around them."""
     out: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, inside boilerplate, inside the article
-    boiler = main = False
+    stack: list[tuple[str, int, bool, bool]] = []  # tag, innermost mark, inside article markup, inside a heading
+    marks = [(PLAIN, 0, False, False)]  # kind, mark around it, inside article markup, on article markup
+    mark, main, heading = 0, False, False
     links = at = 0
-    line = Line([], False, False)
+    line = Line([], 0, False)
 
     def cut() -> None:
         nonlocal line
         if line.parts:
             out.append(line)
-        line = Line([], boiler, main)
+        line = Line([], mark, main, heading)
 
     def text(begin: int, end: int) -> None:
         if end > begin:
@@ -117,14 +139,14 @@ def lines_of(html: str) -> list[Line]:
         if match[0][1] == "/":
             if tag == "a":
                 links = max(0, links - 1)
-            if tag in BLOCKS or any(t == tag and (b, m) != (boiler, main) for t, b, m in stack):
+            if tag in BLOCKS or any(t == tag and (b, m) != (mark, main) for t, b, m, _ in stack):
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
                         cut()
-                        _, boiler, main = stack[k]
+                        _, mark, main, heading = stack[k]
                         del stack[k:]
                         links = 0
-                        line = Line([], boiler, main)
+                        line = Line([], mark, main, heading)
                         break
             continue
         if tag == "br":
@@ -142,20 +164,56 @@ def lines_of(html: str) -> list[Line]:
             if tag in BLOCKS:
                 cut()
             continue
-        marked = _marked(tag, match[2] or "", main)
-        if tag in BLOCKS or marked:
+        kind = _marked(tag, match[2] or "", main)
+        if tag in BLOCKS or kind:
             if stack and stack[-1][0] in CLOSED_BY_BLOCK and tag in BLOCKS:
-                _, boiler, main = stack.pop()
+                _, mark, main, heading = stack.pop()
                 links = 0
             cut()
-            stack.append((tag, boiler, main))
-            boiler, main = boiler or marked, main or tag in MAIN
-            line = Line([], boiler, main)
+            stack.append((tag, mark, main, heading))
+            if kind:
+                marks.append((kind, mark, main, tag in MAIN))
+                mark = len(marks) - 1
+            main, heading = main or tag in MAIN, heading or tag == "h1"
+            line = Line([], mark, main, heading)
     text(at, len(html))
     cut()
+    _judge(out, marks)
     return out
 
 
+def _judge(lines: list[Line], marks: list[tuple[int, int, bool, bool]]) -> None:
+    """Tell which lines are boilerplate. A name does not make one of an element that holds most of the page's text."""
+    whole = [PLAIN] * len(marks)  # kind with those around
+    size, main, comments = ([0] * len(marks) for _ in range(3))  # characters inside: of text, of that in article markup, of comments
+    for i, (kind, around, *_) in enumerate(marks[1:], 1):
+        whole[i] = max(kind, whole[around])
+    for line in lines:
+        if whole[line.mark] == COMMENT:
+            comments[line.mark] += len(line.text)
+        elif whole[line.mark] != MARKED:
+            size[line.mark] += len(line.text)
+            main[line.mark] += len(line.text) * line.main
+    outside = main[0]  # in article markup without a mark
+    for i in range(len(marks) - 1, 0, -1):
+        for counts in (size, main, comments):
+            counts[marks[i][1]] += counts[i]
+    boilerplate = [False] * len(marks)
+    for named_articles in (True, False):  # their names do not count if hardly any text is left, as in a list of them
+        for i, (_, around, in_main, on_main) in enumerate(marks[1:], 1):
+            most = 3 * size[i] > 2 * size[0] or 2 * size[i] > size[0] and 2 * main[i] > size[i] and not in_main
+            stays = (most or on_main and not named_articles) and outside <= SURGE * size[i]
+            boilerplate[i] = boilerplate[around] or whole[i] != NAMED or not stays
+        left = sum(len(line.text) for line in lines if not boilerplate[line.mark])
+        if left >= SURGE * size[0]:
+            break
+    for i, (kind, around, *_) in enumerate(marks[1:], 1):  # comments alone are the text
+        if kind == whole[i] == COMMENT and not boilerplate[around]:
+            boilerplate[i] = whole[around] != COMMENT and left >= SURGE * comments[i]
+    for line in lines:
+        line.boilerplate = boilerplate[line.mark]
+
+
 def _stretches(weights: np.ndarray, window: int, surge: float) -> list[tuple[int, int]]:
     """First line and end of each stretch between a surge and a dive."""
     sums = np.convolve(weights, np.ones(window, np.int64))[window - 1 :]  # of the lines i to i + window - 1
@@ -190,6 +248,9 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) ->
     good = np.zeros(len(kept), bool)
     for begin, end in stretches:
         good[begin:end] = weights[begin:end] > 0
+    before = np.flatnonzero(weights[: stretches[0][0]])[-1:].tolist()
+    if before and kept[before[0]].heading:  # a title that links cut off
+        good[before] = True
     return [line.text for line, g in zip(kept, good) if g]
 
 
@@ -202,7 +263,7 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     """The rows of ``pages`` with ``text`` and ``n_chars`` (code points) of the main text.
 
     Defined cases: null and empty pages have an empty text; a page without markup is one block;
-    a page without text outside of boilerplate has an empty text; unclosed and
+    a page without text outside of boilerplate has an empty text, but names alone do not make boilerplate of most of a page; unclosed and
     nested elements end with the element around them; repeated rows give repeated rows; an
     empty table gives an empty result. A column of the input named text or n_chars is replaced.
     """

@@ -49,20 +49,55 @@ PARAGRAPHS = [f"Paragraph number {i} with quite some words in it." for i in rang
 BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
 TEXT = "\n".join(PARAGRAPHS)
 LINKS = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+AD = "<div class=ad><p>Buy</p><p>this</p><p>now</p><p>please</p></div>"
 
 
-def test_the_heaviest_stretch_tells_whether_articles_hold_the_text():
-    card = "<article><h3><a href=x>Next story</a></h3><p>Teaser of it.</p></article>"
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "page sidebar-right", "cols hasSidebar"])
+def test_names_of_the_layout_do_not_lose_the_article(name):
+    side = "<div class=sidebar><p>Beside the text.</p></div>"
+    assert main_text(f"<div class='{name}'><nav>menu</nav>{side}<article>{BODY}</article></div><footer>f</footer>") == TEXT
+    assert main_text(f"<p>Top.</p><div class='{name}'>{side}{BODY}</div><footer>f</footer>") == "Top.\n" + TEXT
+    assert main_text(f"<main class='{name}'>{side}{BODY}</main><section id=comments>{BODY}{BODY}</section>") == TEXT
+
+
+def test_header_of_the_text_stays():
+    assert main_text(f"<div class='post-header'><h1>Title</h1></div>{BODY}") == "Title\n" + TEXT
+    assert main_text(f"<article><div class=header><h1>Title</h1></div>{BODY}</article>") == "Title\n" + TEXT
+    assert main_text(f"<div class=site-header><p>Site</p></div>{BODY}") == TEXT
+
+
+def test_boilerplate_that_is_long_stays_out():
+    long = "<p>" + "We use cookies for many things. " * 9 + "</p>"
+    assert main_text(f"<div class='cookie-notice'>{long}</div><article>{BODY}</article>") == TEXT
+    assert main_text(f"<div class='cookie-notice'>{long}</div>{BODY}") == TEXT
+    assert main_text(f"<div>{BODY}</div><div class=comments>{BODY}{BODY}{BODY}</div>") == TEXT
+
+
+@pytest.mark.parametrize("card", [
+    "<article class='comment'><p>I disagree with all that.</p></article>", "<article><h3><a href=x>Next story</a></h3><p>Teaser of it.</p></article>",
+    "<article class='comment'>" + BODY + "</article>", "<article hidden>" + BODY + "</article>"])
+def test_the_heaviest_stretch_tells_whether_articles_hold_the_text(card):
     assert main_text(f"<div class='post'>{BODY}</div>{card}") == TEXT
     assert main_text(f"{card}<div class='post'>{BODY}</div>{LINKS}") == TEXT
     assert main_text(f"<article>{BODY}</article>{card}").startswith(TEXT)
 
 
+def test_lists_of_named_articles_stay():
+    cards = "".join(f"<article class='card promo tag-news category-newsletter'><p>{p}</p></article>" for p in PARAGRAPHS)
+    assert main_text(f"<nav>menu</nav><main>{cards}</main>") == main_text(f"<nav>menu</nav>{cards}") == TEXT
+
+
 def test_articles_of_half_the_text_are_no_cards():
     assert main_text(f"<div>{BODY}</div><article>{PARAGRAPHS[0]}{PARAGRAPHS[1]}</article>").startswith(TEXT + "\nParagraph number 0")
     assert main_text(f"<article>{BODY}</article><div><p>Imprint of the site.</p></div>") == TEXT
 
 
+def test_gaps_are_bridged():
+    assert main_text(f"<h1>Title</h1>{AD}{BODY}{AD}<p>The end.</p>") == f"Title\n{TEXT}\nThe end."
+    assert main_text(f"<div><h1>Title</h1></div>{LINKS}{BODY}") == "Title\n" + TEXT
+    assert main_text(f"<article><p>First.</p>{LINKS}{BODY}{AD}<p>Of.</p></article>") == f"First.\nOne\nTwo\nThree\n{TEXT}\nOf."
+
+
 def test_windows_decide():
     lines = lines_of(f"<p>Short.</p>{LINKS}{BODY}{LINKS}<p>Imprint.</p>")
     assert main_lines(lines) == PARAGRAPHS
