@@ -208,14 +208,17 @@ def fitted(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: st
     """A model from the labelled rows outside the held-out fold, at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them.
 
     They are those with the lowest hashes of their keys. Null keys and labels are left out, of several labels of a key
-    the highest counts, and texts over ``SAMPLE_BYTES`` are not learned from.
+    the highest counts, of several rows of a key the one with the lowest hash of its text, and texts over ``SAMPLE_BYTES`` are
+    not learned from.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (fold(F.col(key)) != HELD_OUT))
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     parts = [known.where(kind).orderBy(F.xxhash64("_key"), "_key").limit(n) for kind, n in (("_label = 1", TOXIC_ROWS), ("_label <> 1", CLEAN_ROWS))]
     chosen = parts[0].unionByName(parts[1])  # a bounded table
     rows = docs.select(F.col(key).alias("_key"), "text").where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "_key")
-    rows = rows.orderBy(F.xxhash64("_key"), "_key", F.xxhash64("text")).limit(TOXIC_ROWS + CLEAN_ROWS)
+    # A key may stand in many rows of docs: one counts, so that the keys alone bound the rows and none displaces others.
+    rows = rows.groupBy("_key").agg(F.min(F.struct(F.xxhash64("text").alias("_hash"), "text", "_label")).alias("_row")).select("_key", "_row.*")
+    rows = rows.orderBy(F.xxhash64("_key"), "_key").limit(TOXIC_ROWS + CLEAN_ROWS)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches, pa.schema([("text", pa.string()), ("toxic", pa.bool_())]))

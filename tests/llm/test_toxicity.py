@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from addrspark.llm import gru, toxicity as t
 
@@ -75,3 +76,14 @@ def test_nothing_to_learn_from(spark, documents):
     docs, labels = documents([(1, "a b")]), spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.predicted for r in t.scored(docs, t.fitted(docs, labels)).collect()] == [0]
     assert t.scored(documents([]), t.fitted(documents([]), labels)).count() == 0
+
+
+def test_copies_of_a_key_displace_no_other_rows(spark, documents):
+    rows = corpus(120)
+    table = documents([r[:2] for r in rows])
+    first = table.where((t.fold(F.col("doc_id")) != t.HELD_OUT) & (F.col("doc_id") % 4 != 0)).orderBy(F.xxhash64("doc_id")).first()
+    lowest = table.where(t.fold(F.col("doc_id")) != t.HELD_OUT).orderBy(F.xxhash64("doc_id")).first()
+    copies = table.where(F.col("doc_id").isin(first.doc_id, lowest.doc_id)).crossJoin(spark.range(t.TOXIC_ROWS + t.CLEAN_ROWS)).drop("id")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    plain, hot = (t.fitted(docs, labels) for docs in (table, table.unionByName(copies)))
+    assert hot.slope == pytest.approx(plain.slope) and hot.slope > 0 and hot.shift == pytest.approx(plain.shift)
