@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from addrspark.fixtures import REGISTRY_TABLES, derived_registry  # noqa: E402
 from addrspark.registry import Registry  # noqa: E402
 from addrspark.session import builder  # noqa: E402
+from rows import house, link, place  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -59,19 +60,6 @@ def make_registry(spark):
     return make
 
 
-def place(objectid, name, typename, level, actual=1):
-    return (objectid, f"guid-{objectid}", name, typename, str(level), actual, 1)
-
-
-def house(objectid, housenum, addnum1=None, addnum2=None, housetype=2, actual=1):
-    return (objectid, f"guid-{objectid}", housenum, addnum1, addnum2, housetype, actual)
-
-
-def link(path, active=1):
-    ids = [int(step) for step in path.split(".")]
-    return (ids[-1], ids[-2] if len(ids) > 1 else None, path, active)
-
-
 @pytest.fixture(scope="session")
 def moscow(make_registry):
     """The documented sample: a city, a district, a street, houses, a district with a town."""

@@ -1,7 +1,7 @@
 """Documented results and the special cases of addresses."""
 
 import pytest
-from conftest import house, link, place
+from rows import house, link, place
 from pyspark.sql import functions as F
 
 from addrspark.functions.names import NOT_FOUND
