@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from addrspark.llm import chat, decontamination, html_text, jaccard_join, mixing, quality, sharding, span_dedup, token_files, toxicity
+from addrspark.llm import (
+    chat, decontamination, html_text, jaccard_join, mixing, periodic_runs, quality, sharding, span_dedup, token_files, toxicity)
 
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -49,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_span_dedup": span_dedup.op8,
         "op9_token_files": token_files.op9,
         "op10_chat": chat.op10,
+        "op11_periodic_runs": periodic_runs.op11,
         "pipeline": corpus_pipeline.run,
     }
     return {name: shipping(query) for name, query in own.items()}
