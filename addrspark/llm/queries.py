@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from addrspark.llm import (
-    chat, decontamination, html_text, jaccard_join, mixing, periodic_runs, quality, sharding, span_dedup, token_files, toxicity)
+    chat, decontamination, html_text, jaccard_join, mixing, periodic_runs, quality, sharding, simhash, span_dedup, token_files, toxicity)
 
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -51,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_files": token_files.op9,
         "op10_chat": chat.op10,
         "op11_periodic_runs": periodic_runs.op11,
+        "op12_simhash": simhash.op12,
         "pipeline": corpus_pipeline.run,
     }
     return {name: shipping(query) for name, query in own.items()}
