@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from addrspark.llm import (
-    chat, decontamination, html_text, jaccard_join, mixing, periodic_runs, quality, sharding, simhash, span_dedup, token_files, toxicity)
+    chat, decontamination, html_text, jaccard_join, mixing, periodic_runs, prefix_trie, quality, sharding, simhash, span_dedup,
+    token_files, toxicity)
 
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -52,10 +53,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_chat": chat.op10,
         "op11_periodic_runs": periodic_runs.op11,
         "op12_simhash": simhash.op12,
+        "op13_prefix_trie": prefix_trie.op13,
         "pipeline": corpus_pipeline.run,
     }
     return {name: shipping(query) for name, query in own.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.OP4_SQL, "op10_chat": chat.OP10_SQL}
+    return {"op4_mixing": mixing.OP4_SQL, "op10_chat": chat.OP10_SQL, "op13_prefix_trie": prefix_trie.OP13_SQL}
