@@ -30,7 +30,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -57,19 +56,85 @@ CHECKSUM_FLAG = 0x80
 
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("n", "<u8")])
 
-#: Half of the pieces of text that one worker keeps with their ids, and new ones that are encoded at once.
-CACHE_PIECES = 3 << 17
-NEW_PIECES = 1 << 13
+#: Pieces of text in each of the two parts of what a worker keeps, and new ones that are encoded as one text.
+CACHE_PIECES = 1 << 19
+NEW_PIECES = 1 << 7
+#: Bytes of text that are encoded at once; a longer text is worked on alone.
+ENCODE_BYTES = 1 << 23
+
+
+def _classes() -> np.ndarray:
+    """Of each byte: 1 for ASCII letters and digits, 2 for ASCII punctuation, 4 for a line end, 8 for a space."""
+    kinds = np.zeros(256, np.uint8)
+    for b in range(33, 127):
+        kinds[b] = 1 if chr(b).isalnum() else 2
+    kinds[10], kinds[32] = 4, 8
+    return kinds
+
+
+_CLASSES = _classes()
+
+
+def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where pieces of the joined texts begin; ``texts`` are the texts' first bytes.
+
+    A piece begins with a text, at a space, at punctuation or a line end after a letter or digit (an ASCII one, or one of the
+    letters U+00C0 to U+024F in UTF-8), and after a line end between two visible characters.
+    """
+    kind = _CLASSES[data]
+    word_end = kind == 1
+    lead, trail = data[:-1], data[1:]
+    letter = (lead >= 0xC3) & (lead <= 0xC8) & (trail >= 0x80) & ~((lead == 0xC3) & ((trail == 0x97) | (trail == 0xB7)))
+    word_end[1:] |= letter | ((lead == 0xC9) & (trail >= 0x80) & (trail < 0x90))
+    begins = kind == 8
+    begins[1:] |= ((kind[1:] == 2) | (kind[1:] == 4)) & word_end[:-1]
+    begins[2:] |= (kind[1:-1] == 4) & (kind[:-2] < 4) & (kind[2:] < 4)
+    begins[texts[texts < len(data)]] = True
+    return np.flatnonzero(begins)
+
+
+class Pieces:
+    """Pieces of text and their ids, one after the other."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
+
+    def add(self, pieces: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        n, size = len(self.number), self.used + len(ids)
+        while n + len(pieces) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths))
+        while size > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.number.update(zip(pieces, range(n, n + len(pieces))))
+        self.lengths[n : n + len(pieces)] = lengths
+        self.starts[n : n + len(pieces)] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : size] = ids
+        self.used = size
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; -1 where it is not kept."""
+        get = self.number.get
+        return np.fromiter([get(p, -1) for p in pieces], np.int64, len(pieces))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids the pieces have, and all the ids."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self.starts[numbers] - ends + lengths, lengths)
+        places += np.arange(len(places))
+        return lengths, self.ids[places]
 
 
 class Encoder:
-    """Ids of texts by a file of the ``tokenizers`` library.
+    """Ids of texts by a file of the ``tokenizers`` library, as its ``encode`` gives them without special tokens added.
 
-    A byte-level tokenizer cuts every text between a visible character and the white
-    space after it, whatever else stands there. So a text can be split at single
-    spaces, ids of pieces can be kept and joined, and new pieces can be encoded in one text.
-    Texts with other white space than line ends and single spaces after visible
-    characters, and texts for other tokenizers, are encoded whole.
+    A byte-level tokenizer always cuts a text at the places of ``piece_starts``, if its spaces are single ones after
+    visible characters and it has no white space other than these and line ends. So such texts are cut
+    there, and the library encodes each different piece once while it is kept; a block's pieces are told
+    apart, looked up and put together as arrays. Other texts, texts with a special string, and all
+    texts for tokenizers of other kinds are encoded whole.
     """
 
     _other_space = re.compile(r"[^\S \n]")
@@ -80,7 +145,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
@@ -88,42 +152,64 @@ class Encoder:
         before = parts.get("pre_tokenizer") or {}
         self.by_piece = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) \
             and parts.get("normalizer") is None and parts.get("post_processor") is None
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kept, self.older = Pieces(), Pieces()
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith(self._space)]] = True
 
     def _splits(self, text: str) -> bool:
-        """Whether every space of the text follows a visible character, and other white space is line ends."""
-        return not (text.startswith(" ") or "  " in text or "\n " in text or self._other_space.search(text))
+        """Whether every space of the text follows a visible character, other white space is line ends, and no string is special."""
+        return not (text.startswith(" ") or "  " in text or "\n " in text or any(s in text for s in self.special) or self._other_space.search(text))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Keep the ids of the pieces, each with a space before it. Where an id begins with a space, a piece begins."""
-        for begin in range(0, len(pieces), NEW_PIECES):
-            part = pieces[begin : begin + NEW_PIECES]
-            ids = array("I", self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids)
-            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, np.uint32)])).tolist()
-            data = ids.tobytes()
-            self.kept.update(zip(part, [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        if not self.by_piece:
-            return self.whole(texts)
-        cut = [t.split(" ") if self._splits(t) else None for t in texts]
-        whole = iter(self.whole([t if c is None else c[0] for t, c in zip(texts, cut)]))
-        if len(self.kept) > CACHE_PIECES:  # pieces that come again are taken over from the older half
-            self.kept, self.older = {}, self.kept
-        new = set().union(*[c for c in cut if c is not None]).difference(self.kept)
-        again = new.intersection(self.older)
-        self.kept.update(zip(again, map(self.older.__getitem__, again)))
-        self._learn(list(new - again))
-        get = self.kept.__getitem__
-        return [next(whole) if c is None else next(whole) + b"".join(map(get, islice(c, 1, None))) for c in cut]
+        """Keep the ids of new pieces. Those with a space before them are encoded together: where an id begins with a space, a piece begins."""
+        spaced = [p for p in pieces if p[0] == " "]
+        bare = [p for p in pieces if p[0] != " "]
+        joined = ["".join(spaced[at : at + NEW_PIECES]) for at in range(0, len(spaced), NEW_PIECES)]
+        found = self.tokenizer.encode_batch_fast(joined + bare, add_special_tokens=False)
+        own = [e.ids for e in found[len(joined) :]]
+        ids = np.array([i for e in found[: len(joined)] for i in e.ids], np.uint32)
+        lengths = np.diff(np.flatnonzero(self.opens[ids]), append=len(ids))
+        self.kept.add(spaced + bare, np.concatenate([lengths, np.fromiter(map(len, own), np.int64, len(own))]),
+                      np.concatenate([ids, np.array([i for e in own for i in e], np.uint32)]))
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of different pieces among those kept, which they all are afterwards."""
+        if len(self.kept.number) > CACHE_PIECES:
+            self.kept, self.older = Pieces(), self.kept
+        numbers = self.kept.numbers(pieces)
+        missing = [pieces[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        if missing:
+            before = self.older.numbers(missing)  # pieces that come again are taken over
+            again = np.flatnonzero(before >= 0)
+            self.kept.add([missing[i] for i in again.tolist()], *self.older.of(before[again]))
+            self._learn([missing[i] for i in np.flatnonzero(before < 0).tolist()])
+            numbers = self.kept.numbers(pieces)
+        return numbers
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text (in UTF-8) as little-endian 32-bit integers."""
+        strings = [t.decode() for t in texts]
+        cut = [self.by_piece and t != "" and self._splits(t) for t in strings]
+        whole = iter(self.whole([t for t, c in zip(strings, cut) if not c]))
+        chosen = [t for t, c in zip(texts, cut) if c]
+        if not chosen:
+            return list(whole)
+        data = b"".join(chosen)
+        ends = np.cumsum(np.fromiter(map(len, chosen), np.int64, len(chosen)))
+        begins = np.concatenate([[0], ends[:-1]])
+        starts = piece_starts(np.frombuffer(data, np.uint8), begins)
+        buffers = [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
+        numbers = self._numbers(pieces.dictionary.to_pylist())
+        lengths, ids = self.kept.of(numbers[pieces.indices.to_numpy()])
+        at = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, np.append(begins, len(data)))].tolist()
+        parts = iter([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])])
+        return [next(parts) if c else next(whole) for c in cut]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -254,11 +340,11 @@ def write_tokens(
         name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
         for batch in batches:
             keys = batch.column("_key").to_pylist()
-            for begin, block in blocks(text.as_py() for text in batch.column("text")):
+            for begin, block in blocks((text.as_py() for text in batch.column("text")), ENCODE_BYTES):
                 if writer is None:
                     store.create_dir(base, recursive=True)
                     writer = FrameWriter(store.open_output_stream(f"{base}/{name}", compression=None), frame_bytes)
-                for i, ids in enumerate(encode.ids([t.decode() for t in block])):
+                for i, ids in enumerate(encode.ids(block)):
                     ids += end
                     writer.add(keys[begin + i], ids)
                     tokens += len(ids) // 4

@@ -17,10 +17,38 @@ def encoder():
     return tf.encoder(tf.default_tokenizer())
 
 
-@settings(max_examples=300, deadline=None)
-@given(texts=st.lists(st.text(alphabet=" \n\tab1é'.日\x1c\xa0", max_size=16) | st.sampled_from(["<|endoftext|> a", "it's  we'll"]), max_size=4))
-def test_pieces_encode_as_whole_texts(encoder, texts):
-    assert encoder.ids(texts) == encoder.whole(texts)
+@pytest.fixture(scope="module")
+def library():
+    """The library's own call, text by text."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tf.default_tokenizer())
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+ALPHABET = " \n\tab1\u00e9\u00d7\u00f7\u024f\u0250'.,(\u65e5\u0301\x1c\xa0\U0001f600"
+
+
+@settings(max_examples=500, deadline=None)
+@given(texts=st.lists(st.text(alphabet=ALPHABET, max_size=16) | st.lists(st.sampled_from(
+    ["<|endoftext|> a", "it's  we'll", "a.\n", "\n\n", " x'", "l\u00e9.", "12,", "\n'", " ", "B"]), max_size=6).map("".join), max_size=4))
+def test_ids_are_those_of_the_library(encoder, library, texts):
+    assert encoder.ids([t.encode() for t in texts]) == [library(t) for t in texts]
+
+
+def test_pieces_are_forgotten_and_learnt_again(library, monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_PIECES", 20)
+    encoder = tf.Encoder(tf.default_tokenizer())
+    for k in range(40):
+        texts = [" ".join(f"word{(i * k) % 31}{c}" for i in range(12)) for c in ("", ".", "\n", "\u00e9")]
+        assert encoder.ids([t.encode() for t in texts]) == [library(t) for t in texts]
+    assert len(encoder.kept.number) + len(encoder.older.number) < 200
+
+
+def test_special_strings_and_empty_texts(encoder, library):
+    texts = ["say <|endoftext|> now", "", "\n", "<|endoftext|>", " lead", "x  y"]
+    assert encoder.ids([t.encode() for t in texts]) == [library(t) for t in texts]
+    assert 50256 in np.frombuffer(encoder.ids([texts[0].encode()])[0], "<u4")
 
 
 def written(docs, frame_bytes):
@@ -67,10 +95,10 @@ def test_no_documents():
     assert list(tf.FrameReader(io.BytesIO(written([], 100))).documents()) == []
 
 
-def test_summary(documents, encoder):
+def test_summary(documents, library):
     rows = [(i * 3 % 50, f"word{i} text  é\n" * (i % 5)) for i in range(50)] + [(7, None), (None, "last"), (2000, "x " * 30000), (7, "tie")]
     got = tf.token_summary(documents(rows), tf.default_tokenizer()).collect()
-    ids = lambda t: encoder.whole([t or ""])[0] + b"\0\0\0\0"
+    ids = lambda t: library(t or "") + b"\0\0\0\0"
     got = sorted(got, key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((d for d, _ in rows if d is not None)) + [None]
     at = 0
