@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from addrspark.llm.suffixes import as_words, deep_shallow
 from addrspark.llm.tables import table, utf8_bytes
@@ -206,14 +206,20 @@ class Block:
 
     def __init__(self, rows: pa.Table):
         ids, ties = rows.column("_id").to_numpy(), rows.column("_tie").to_numpy()
-        order = np.lexsort((ties, ids))
-        new = np.append(True, (ids[order][1:] != ids[order][:-1]) | (ties[order][1:] != ties[order][:-1]))[: len(order)]
+        order, column = np.lexsort((ties, ids)), rows.column("text")
+        alike = (ids[order][1:] == ids[order][:-1]) & (ties[order][1:] == ties[order][:-1])
+        a, b = column.take(pa.array(order[:-1][alike])), column.take(pa.array(order[1:][alike]))
+        new = np.append(True, ~alike)[: len(order)]
+        if not a.equals(b):  # different texts of one id and hash: these are told apart by themselves
+            texts = column.to_pylist()
+            order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], ties[i], texts[i] is not None, texts[i] or "")), np.int64)
+            names = [(ids[i], ties[i], texts[i]) for i in order.tolist()]
+            new = np.array([k == 0 or names[k] != names[k - 1] for k in range(len(names))], bool)
         first = order[new]
         self.ids = ids[first]
         self.doc = np.empty(len(order), np.int64)  # of each row
         self.doc[order] = np.cumsum(new) - 1
-        texts = rows.column("text")
-        self.texts = [texts[i].as_py().encode() if texts[i].is_valid else b"" for i in first.tolist()]
+        self.texts = [column[i].as_py().encode() if column[i].is_valid else b"" for i in first.tolist()]
 
 
 def _anchors_to_buckets(buckets: int):
@@ -375,6 +381,11 @@ def _cut_out(key: tuple, rows: pa.Table, removed: pa.Table) -> pa.Table:
         name: pa.array(c, k) for name, c, k in zip(("n_bytes", "n_removed", "n_spans", "kept"), columns, kinds)}})
 
 
+def text_hash() -> Column:
+    """Tells most texts of one key apart; those that it doesn't are compared."""
+    return F.xxhash64("text")
+
+
 def without_repeats(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: key, n_bytes, n_removed, n_spans, kept (the bytes that are left).
 
@@ -385,7 +396,7 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """
     size = docs.agg(F.sum(utf8_bytes())).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), F.hash("text").alias("_tie"), "text")
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), text_hash().alias("_tie"), "text")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("_id", "_tie"), F.lit(n)))
     blocks = rows.groupBy("block")
     anchors = blocks.applyInArrow(_anchors_to_buckets(n), "bucket long, block long, data binary")

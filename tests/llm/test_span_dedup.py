@@ -52,6 +52,15 @@ def test_equal_to_all_strings(documents, monkeypatch, block, piece):
     assert found(s.without_repeats(documents(rows))) == plain(rows)
 
 
+def test_texts_of_one_key_and_hash(documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = corpus()
+    rows += [(key, f"text number {n} of some length that is over fifty bytes long") for key in (None, 1) for n in (69100, 274934, 69100)]
+    monkeypatch.setattr(s, "text_hash", lambda: F.lit(1).cast("long"))
+    assert found(s.without_repeats(documents(rows))) == plain(rows)
+
+
 def test_empty_table(documents):
     assert s.without_repeats(documents([])).count() == 0
 
