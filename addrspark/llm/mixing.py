@@ -14,7 +14,7 @@ and unequal probabilities.
 
 No source is gathered anywhere. The ranks of a source fall into bins by their
 leading bits; sums of the bins, made before any shuffle, tell in which bin the cut
-lies, and only the rows of that bin are put in order. The cut is one row per source, so
+lies, and only the rows of that bin, those that are alike as one, are put in order. The cut is one row per source, so
 documents are decided where they are, and texts are never shuffled.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from addrspark.llm.running import running
 from addrspark.llm.tables import n_words, table
 from addrspark.shared import materialize
 
@@ -88,7 +89,8 @@ def _place() -> Column:
 def mix_plan(
     rows: DataFrame, *, seed: int = 17, max_copies: int = MAX_COPIES, weights: tuple[int, ...] = WEIGHTS, bins: int = BINS,
 ) -> DataFrame:
-    """One row per source: source_size, target, and ``_cut``, the place of the last document with one more copy.
+    """One row per source: source_size, target, ``_cut``, the place of the last documents with one more copy, and of the
+    ``_alike`` rows in that place ``_in``, the number that get one.
 
     ``rows`` has (_key, source, size, _w) for every document.
     """
@@ -108,12 +110,14 @@ def mix_plan(
     back = Window.partitionBy("source").orderBy(F.col("_bin").desc())
     near = in_bin.withColumn("_back", F.row_number().over(back)).where("_back <= 2")
     near = near.select(F.col("source").alias("_source"), F.col("_bin").alias("_of_bin"), "_before", "_rest")
-    in_order = Window.partitionBy("source", "_bin").orderBy(*[F.col(c).asc() for c in ("_rank", "_key", "size")])
-    rows_near = ranked.select("source", "_bin", "_rank", "_key", "size").join(
-        near, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bin") == F.col("_of_bin")))
-    rows_near = rows_near.withColumn("_upto", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    cuts = rows_near.where(F.col("_before") + F.col("_upto") - F.col("size") / 2 <= F.col("_rest"))
-    cuts = cuts.groupBy("source").agg(F.max(_place()).alias("_cut"))
+    # Rows that are alike are one group, however many they are.
+    groups = ranked.groupBy("source", "_bin", "_rank", "_key", "size").agg(F.count("*").alias("_n"))
+    groups = groups.join(near, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bin") == F.col("_of_bin")))
+    earlier = Window.partitionBy("source", "_bin").orderBy(*[F.col(c).asc() for c in ("_rank", "_key", "size")]).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_rest") - F.col("_before") - F.coalesce(F.sum(F.col("size") * F.col("_n")).over(earlier), F.lit(0))
+    groups = groups.withColumn("_in", F.least(F.floor(left / F.col("size") + 0.5), F.col("_n")))
+    cuts = groups.where("_in > 0").groupBy("source").agg(F.max(F.struct(_place().alias("cut"), "_in", F.col("_n").alias("_alike"))).alias("_last"))
+    cuts = cuts.select("source", F.col("_last.cut").alias("_cut"), "_last._in", "_last._alike")
     return materialize(_with(plan, cuts, "left"), "mix-plan")
 
 
@@ -131,9 +135,20 @@ def _sized(docs: DataFrame, key: str, source: str, size: Column | None, weight:
 
 
 def _decided(rows: DataFrame, plan: DataFrame, seed: int, max_copies: int) -> DataFrame:
-    rows = _ranked(_with(rows, plan), seed, max_copies)
-    more = F.coalesce(F.col("_rank").isNotNull() & (_place() <= F.col("_cut")), F.lit(False))
-    return rows.withColumn("copies", F.when(F.col("size") > 0, F.col("_whole") + more.cast("long")).otherwise(F.lit(0).cast("long")))
+    """With ``copies``. Where only some of the rows in the last place get one more, these rows alone are stored and numbered."""
+    joined = _ranked(_with(rows, plan), seed, max_copies)
+
+    def copies(more: Column) -> Column:
+        return F.when(F.col("size") > 0, F.col("_whole") + F.coalesce(more, F.lit(False)).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    ranked = F.col("_rank").isNotNull()
+    decided = joined.withColumn("copies", copies(ranked & (_place() <= F.col("_cut"))))
+    if plan.where("_in < _alike").isEmpty():
+        return decided
+    some = F.coalesce(ranked & (F.col("_in") < F.col("_alike")) & _place().eqNullSafe(F.col("_cut")), F.lit(False))
+    alike = materialize(joined.where(some).withColumn("_of", F.xxhash64("source")).withColumn("_n", F.monotonically_increasing_id()), "mix-alike")
+    numbered = running(alike, "_of", [F.col("_n")], [], 1, "mix-numbered")
+    return decided.where(~some).unionByName(numbered.withColumn("copies", copies(F.col("at") < F.col("_in"))).drop("at", "_of", "_n"))
 
 
 def mixed(
@@ -145,8 +160,8 @@ def mixed(
     ``size`` is the number of words of ``text`` unless given. Defined cases: a null
     text has size 0 and, as any document without words, is taken 0 times; null sources
     are one source, last in order; rows with the same key have the same random number
-    and are ranked by size, and equal rows at the cut are all in or all out; a null
-    key is a key of its own; an empty table gives an empty result. Columns other than
+    and are ranked by size, and of rows that are alike in key and size as many as are wanted get
+    one more copy; a null key is a key of its own; an empty table gives an empty result. Columns other than
     key, source and text are not read. ``weight`` must not be negative; what the limit
     of ``max_copies`` cuts off is not given to other documents of the source.
     """

@@ -110,3 +110,23 @@ def test_empty_ties_and_repeats(documents):
     assert mixing.mixed(documents([])).count() == 0 and mixing.repeated(documents([])).count() == 0
     got = mixing.mixed(documents([(1, words(3)), (1, words(3)), (1, words(3)), (2, None)])).collect()
     assert sorted((r.size, r.taken) for r in got) == [(0, 0), (3, 3), (3, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_rows_that_are_alike_share_the_target(documents, key):
+    """A key with a thousand rows: the mix comes as near to the targets as with a thousand keys, in sizes and in rows."""
+    rows = [(key, words(4), "a")] * 1000 + [(10 + i, words(6), "b") for i in range(500)] + [(7, words(2000), "c")]
+    docs = documents(rows)
+    got = mixing.mixed(docs).collect()
+    assert len(got) == len(rows)
+    for source, largest in (("a", 4), ("b", 6), ("c", 2000)):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= largest and all(r.taken <= 3 * r.size for r in own)
+    assert 0 < own[0].target
+    repeated = mixing.repeated(docs).groupBy("source").count().collect()
+    assert {r.source: r["count"] for r in repeated} == {s: sum(r.copies for r in got if r.source == s) for s in "abc" if any(r.copies for r in got if r.source == s)}
+
+
+def test_very_long_texts(documents):
+    got = {r.doc_id: r for r in mixing.mixed(documents([(1, words(300_000)), (2, words(3)), (3, "x" * 1_000_000)])).collect()}
+    assert (got[1].size, got[2].size, got[3].size) == (300_000, 3, 1) and got[1].taken == 300_000

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from addrspark.llm import prefix_trie as pt
+from addrspark.llm import prefix_trie as pt, running as run
 from addrspark.llm.queries import oracle_sql, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,8 +103,8 @@ def test_running_folds(spark):
     rng = random.Random(4)
     rows = [(rng.choice([1, 1, 1, 2, 3]), i, rng.randrange(-(1 << 62), 1 << 62), 1) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, i long, x long, one long").repartition(7)
-    for base in (1, pt.BASE):
-        got = {(r.k, r.i): r for r in pt.running(df, "k", [F.col("i")], ["x", "one"], base, "test").collect()}
+    for base in (1, run.BASE):
+        got = {(r.k, r.i): r for r in run.running(df, "k", [F.col("i")], ["x", "one"], base, "test").collect()}
         state = {}
         for k, i, x, _ in sorted(rows):
             at, fold, ones = state.get(k, (0, 0, 0))
@@ -116,7 +116,7 @@ def test_running_folds(spark):
 
 
 def powers_are_right():
-    return pt.powers(np.array([0, 1, 2, 70])).tolist() == [pow(pt.BASE, e, 1 << 64) for e in (0, 1, 2, 70)]
+    return run.powers(np.array([0, 1, 2, 70])).tolist() == [pow(run.BASE, e, 1 << 64) for e in (0, 1, 2, 70)]
 
 
 @pytest.mark.parametrize("sf", ["sf0.001"])
