@@ -6,21 +6,24 @@ not share the shape of the Spark plans.
 
 from __future__ import annotations
 
+import re
+
 from addrspark.fixtures import oracle_ctes
 
-COMMON = """
-live AS (SELECT * FROM mun_hierarchy WHERE isactive = 1),
-place AS (
+COMMON = {
+    "live": "SELECT * FROM mun_hierarchy WHERE isactive = 1",
+    "place": """
   SELECT objectid, objectguid, name, typename, level, CAST(level AS BIGINT) AS level_num,
     CASE WHEN coalesce(typename, '') = '' THEN name ELSE typename || ' ' || name END AS label
-  FROM addr_obj WHERE isactual = 1),
-step AS (
+  FROM addr_obj WHERE isactual = 1""",
+    "step": """
   SELECT path, CAST(unnest(string_split(path, '.')) AS BIGINT) AS element,
     generate_subscripts(string_split(path, '.'), 1) AS pos
-  FROM (SELECT DISTINCT path FROM mun_hierarchy)),
-placed AS (SELECT path, pos, element, place.* FROM step JOIN place ON element = objectid),
-house AS (SELECT * FROM houses WHERE isactual = 1),
-level_name AS (SELECT CAST(level AS BIGINT) AS level_num, name AS level_name FROM object_levels)"""
+  FROM (SELECT DISTINCT path FROM mun_hierarchy)""",
+    "placed": "SELECT path, pos, element, place.* FROM step JOIN place ON element = objectid",
+    "house": "SELECT * FROM houses WHERE isactual = 1",
+    "level_name": "SELECT CAST(level AS BIGINT) AS level_num, name AS level_name FROM object_levels",
+}
 
 LABELS = "string_agg(label, ', ' ORDER BY pos)"
 HOUSE_SUFFIX = (
@@ -28,10 +31,29 @@ HOUSE_SUFFIX = (
 )
 
 
+def needed(body: str, tables: dict[str, str]) -> list[str]:
+    """The tables that a text names, and those that they are made of, each after its own."""
+    found: list[str] = []
+    for name in reversed(tables):
+        if any(re.search(rf"\b{name}\b", text) for text in (body, *[tables[f] for f in found])):
+            found.append(name)
+    return found[::-1]
+
+
 def sql(body: str, recursive: bool = False) -> str:
-    """``body`` after the registry tables; it may go on with more CTEs."""
+    """``body`` after the registry tables that it needs; it may go on with more CTEs."""
+    derived = oracle_ctes()
+    tables = derived | COMMON
+    ctes = [f"{name} AS {'MATERIALIZED ' if name in derived else ''}({tables[name]})" for name in needed(body, tables)]
+    text = body.lstrip()
+    if text.startswith(","):
+        ctes.append(text[1:].lstrip())
+        text = ""
+    if not ctes:
+        return text
     keyword = "WITH RECURSIVE" if recursive else "WITH"
-    return f"{keyword} {oracle_ctes()},{COMMON}\n{body}"
+    separator = ",\n"
+    return f"{keyword} {separator.join(ctes)}\n{text}"
 
 
 HOUSE_VIEW = f"""house_view AS (
@@ -197,12 +219,23 @@ def statistics() -> dict[str, str]:
     }
 
 
-HOUSE_TYPE_SQL = "CASE housetype " + " ".join(
-    f"WHEN {code} THEN '{name}'"
-    for code, name in enumerate(
-        "Дом Домовладение Гараж Здание Шахта Строение Сооружение Литера Корпус Подвал Котельная Погреб".split(), 1
-    )
-) + " WHEN 13 THEN 'Объект незавершенного строительства' ELSE 'Другое' END"
+# The house types by code.
+HOUSE_TYPE_NAMES = {
+    1: "Дом",
+    2: "Домовладение",
+    3: "Гараж",
+    4: "Здание",
+    5: "Шахта",
+    6: "Строение",
+    7: "Сооружение",
+    8: "Литера",
+    9: "Корпус",
+    10: "Подвал",
+    11: "Котельная",
+    12: "Погреб",
+    13: "Объект незавершенного строительства",
+}
+HOUSE_TYPE_SQL = "CASE housetype " + " ".join(f"WHEN {code} THEN '{name}'" for code, name in HOUSE_TYPE_NAMES.items()) + " ELSE 'Другое' END"
 
 
 def houses() -> dict[str, str]:

@@ -109,7 +109,7 @@ def derived_registry(spark: SparkSession, sf_dir: str) -> Registry:
     return Registry({name: frames[name] for name in REGISTRY_TABLES})
 
 
-def oracle_ctes() -> str:
-    """The same tables as a list of CTEs over the base views."""
+def oracle_ctes() -> dict[str, str]:
+    """The same tables as CTEs over the base views, each after those that it reads."""
     names = {name: name for name in [*BASE_TABLES, *DERIVED]}
-    return ",\n".join(f"{name} AS MATERIALIZED ({text.format(**names)})" for name, text in DERIVED.items())
+    return {name: text.format(**names) for name, text in DERIVED.items()}
