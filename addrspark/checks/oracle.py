@@ -305,5 +305,17 @@ def wide() -> dict[str, str]:
     }
 
 
+def searches() -> dict[str, str]:
+    plain = addresses() | hierarchy()
+    same = ["aq9_find_houses", "at4_search_view", "at5_search_full_address", "mq9_child_by_name"]
+    return {f"{key}_indexed": plain[key] for key in same} | {
+        "at5_search_house_part_indexed": sql(f""", {HOUSE_VIEW} SELECT house_objectid, full_address FROM house_view
+            WHERE full_address ILIKE '%asia%' AND full_address ILIKE '%5, д. 45%'
+            ORDER BY housenum, house_objectid LIMIT 1000"""),
+        "e12_indexed": "SELECT doc_id FROM documents WHERE text ILIKE '%eauÉ%' AND text ILIKE '%la%'",
+        "e12_indexed_short_part": "SELECT doc_id FROM documents WHERE text ILIKE '%ç%'",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return addresses() | hierarchy() | statistics() | houses() | wide()
+    return searches() | addresses() | hierarchy() | statistics() | houses() | wide()

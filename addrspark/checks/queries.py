@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from addrspark.fixtures import derived_registry
+from addrspark.operators.search_index import TextIndex
 from addrspark.plans import addresses as adr, hierarchy as hie, houses as hou, statistics as sta, wide as wid
+from addrspark.plans.search import AddressIndex
 from addrspark.registry import Registry
+from addrspark.shared import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,5 +125,34 @@ def wide() -> dict[str, Query]:
     }
 
 
+def indexed(query: Callable[[AddressIndex, Registry], DataFrame]) -> Query:
+    """A search through indexes of the whole registry, built for it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg = derived_registry(spark, sf_dir)
+        return query(AddressIndex.build(reg, new_folder(spark, "index"), buckets=16), reg)
+
+    return run
+
+
+def documents_with(*parts: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+        return TextIndex.build(documents, "text", new_folder(spark, "index"), buckets=16).search(*parts).select("doc_id")
+
+    return run
+
+
+def searches() -> dict[str, Query]:
+    return {
+        "aq9_find_houses_indexed": indexed(lambda index, reg: index.find_houses(reg, STREET_PART, "45")),
+        "at4_search_view_indexed": indexed(lambda index, _: index.search_view("Customer#00000005")),
+        "at5_search_full_address_indexed": indexed(lambda index, _: index.search_full_address(["asia", STREET_PART])),
+        "at5_search_house_part_indexed": indexed(lambda index, _: index.search_full_address(["asia", "5, д. 45"], limit=1000)),
+        "mq9_child_by_name_indexed": indexed(lambda index, reg: index.child_by_name(reg, 1, "A")),
+        "e12_indexed": documents_with("eauÉ", "la"),
+        "e12_indexed_short_part": documents_with("ç"),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return addresses() | hierarchy() | statistics() | houses() | wide()
+    return searches() | addresses() | hierarchy() | statistics() | houses() | wide()

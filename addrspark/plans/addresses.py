@@ -19,6 +19,7 @@ from addrspark.operators.addresses import (
 from addrspark.operators.joins import join_splitting
 from addrspark.operators.ranking import ascending, listed
 from addrspark.registry import Registry
+from addrspark.shared import materialize
 
 HOUSE_KEYS = ["objectid", "housenum", "addnum1", "addnum2"]
 
@@ -188,6 +189,8 @@ def houses_of_named_street(reg: Registry, name: str, typename: str, limit: int =
 
 
 def _addressed(reg: Registry, found: DataFrame) -> DataFrame:
+    """With the address of each; ``found`` is a search's few rows, stored so that the search runs once."""
+    found = materialize(found, "found")
     address = house_address(reg, found.select("objectid").distinct())
     return found.join(address, "objectid")
 
