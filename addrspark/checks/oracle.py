@@ -309,6 +309,8 @@ def searches() -> dict[str, str]:
     plain = addresses() | hierarchy()
     same = ["aq9_find_houses", "at4_search_view", "at5_search_full_address", "mq9_child_by_name"]
     return {f"{key}_indexed": plain[key] for key in same} | {
+        "mq5a_subtree_labelled": plain["mq5a_subtree_to_level_6"],
+        "mq5b_subtree_labelled": plain["mq5b_subtree_of_one"],
         "at5_search_house_part_indexed": sql(f""", {HOUSE_VIEW} SELECT house_objectid, full_address FROM house_view
             WHERE full_address ILIKE '%asia%' AND full_address ILIKE '%5, д. 45%'
             ORDER BY housenum, house_objectid LIMIT 1000"""),

@@ -10,6 +10,7 @@ from addrspark.fixtures import derived_registry
 from addrspark.operators.search_index import TextIndex
 from addrspark.plans import addresses as adr, hierarchy as hie, houses as hou, statistics as sta, wide as wid
 from addrspark.plans.search import AddressIndex
+from addrspark.plans.subtrees import SubtreeIndex
 from addrspark.registry import Registry
 from addrspark.shared import new_folder
 
@@ -142,8 +143,23 @@ def documents_with(*parts: str) -> Query:
     return run
 
 
+def labelled(query: Callable[[SubtreeIndex, Registry], DataFrame]) -> Query:
+    """Subtrees through labels of the whole registry, made for it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reg = derived_registry(spark, sf_dir)
+        return query(SubtreeIndex.build(reg, new_folder(spark, "subtrees")), reg)
+
+    return run
+
+
+def region_list(reg: Registry) -> list[int]:
+    return [row.objectid for row in regions(reg).collect()]
+
+
 def searches() -> dict[str, Query]:
     return {
+        "mq5a_subtree_labelled": labelled(lambda index, reg: index.subtree(region_list(reg), max_level=6)),
+        "mq5b_subtree_labelled": labelled(lambda index, _: index.subtree([1], limit=100)),
         "aq9_find_houses_indexed": indexed(lambda index, reg: index.find_houses(reg, STREET_PART, "45")),
         "at4_search_view_indexed": indexed(lambda index, _: index.search_view("Customer#00000005")),
         "at5_search_full_address_indexed": indexed(lambda index, _: index.search_full_address(["asia", STREET_PART])),

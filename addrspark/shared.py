@@ -39,7 +39,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back."""
+    return materialized(df, label)[0]
+
+
+def materialized(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the folder, for tables that can be removed before the result is read."""
     spark = df.sparkSession
     folder = new_folder(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a written table, wherever the shared folder lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
