@@ -31,11 +31,11 @@ class SubtreeIndex:
     def build(cls, reg: Registry, base: str) -> SubtreeIndex:
         """Label a registry; to be done after each load. A cycle of parent links is an error."""
         all_nodes = numbered_nodes(reg)
-        table, _ = trails(all_nodes)
-        if not table.where("cyclic").isEmpty():
+        found = trails(all_nodes)
+        if found.cyclic:
             raise ValueError("the parent links of the hierarchy form a cycle")
         key = F.transform("trail", lambda node: F.struct(node["objectid"].alias("objectid"), node["row"].alias("row")))
-        rows = numbered(table.select(key.alias("key"), F.transform("trail", lambda node: node["level"]).alias("levels")), [], ["key"], "entry")
+        rows = numbered(found.table.select(key.alias("key"), F.transform("trail", lambda node: node["level"]).alias("levels")), [], ["key"], "entry")
         # Every node is in the ranges of all nodes on its trail; the first one in a range is its own.
         ranges = rows.select("entry", "levels", "key", F.explode(F.sequence(F.lit(1), F.size("key"))).alias("n"))
         ranges = ranges.select(F.slice("key", F.lit(1), F.col("n")).alias("key"), "entry", F.when(F.col("n") == F.size("key"), F.col("levels")).alias("levels"))
