@@ -34,13 +34,13 @@ class SubtreeIndex:
         found = trails(all_nodes)
         if found.cyclic:
             raise ValueError("the parent links of the hierarchy form a cycle")
-        key = F.transform("trail", lambda node: F.struct(node["objectid"].alias("objectid"), node["row"].alias("row")))
+        key = F.flatten(F.transform("trail", lambda node: F.array(node["objectid"], node["row"])))  # two numbers a step
         rows = numbered(found.table.select(key.alias("key"), F.transform("trail", lambda node: node["level"]).alias("levels")), [], ["key"], "entry")
         # Every node is in the ranges of all nodes on its trail; the first one in a range is its own.
-        ranges = rows.select("entry", "levels", "key", F.explode(F.sequence(F.lit(1), F.size("key"))).alias("n"))
+        ranges = rows.select("entry", "levels", "key", F.explode(F.sequence(F.lit(2), F.size("key"), F.lit(2))).alias("n"))
         ranges = ranges.select(F.slice("key", F.lit(1), F.col("n")).alias("key"), "entry", F.when(F.col("n") == F.size("key"), F.col("levels")).alias("levels"))
         ranges = ranges.groupBy("key").agg(F.min("entry").alias("entry"), F.max("entry").alias("exit"), F.max("levels").alias("levels"))
-        ranges = ranges.select(F.element_at("key", -1)["row"].alias("row"), "entry", "exit", "levels")
+        ranges = ranges.select(F.element_at("key", -1).alias("row"), "entry", "exit", "levels")
         labels = ranges.join(all_nodes, "row").select("entry", "exit", "row", "levels", *NODE_COLUMNS)
         labels.repartitionByRange("entry").sortWithinPartitions("entry").write.parquet(f"{base}/labels")
         spark = labels.sparkSession

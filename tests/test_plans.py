@@ -79,19 +79,30 @@ def test_numbering_of_one_large_group(spark):
 
 
 def test_numbering_spreads_a_group(spark):
-    df = spark.range(20000).selectExpr("1 as g", "id")
-    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
-    before = {name: spark.conf.get(name) for name in small}
+    """A group of all rows is numbered in many pieces; whole rows are shuffled once, and nothing is written."""
+    df = spark.range(20000).selectExpr("1 as g", "id", "repeat('x', 100) as wide")
+    result = numbered(df, ["g"], ["id"], "n")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        for name, value in small.items():
-            spark.conf.set(name, value)
         rows = numbered(df, ["g"], ["id"], "n").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     whole = numbered(df, [], ["id"], "n").selectExpr("min(n)", "max(n)", "count(distinct n)").collect()[0]
     assert len(rows) > 1 and max(row["count"] for row in rows) < 15000
     assert tuple(whole) == (1, 20000, 20000)
+    text = plan(result)
+    assert "FileScan" not in text and text.count("Exchange hashpartitioning(g") <= 3
+
+
+def test_numbering_of_all_kinds_of_keys(spark):
+    df = spark.range(4000).selectExpr(
+        "if(id % 5 = 0, null, id % 3) as g", "if(id % 7 = 0, null, string(id % 50)) as name", "array(id % 11, -id) as a",
+        "if(id % 13 = 0, null, date_add(date'2020-01-01', int(id % 400))) as d", "id")
+    result = numbered(df, ["g"], ["name", "d", "a", "id"], "n")
+    order = [F.col(c).asc_nulls_last() for c in ("name", "d", "a", "id")]
+    expected = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
+    assert result.exceptAll(expected.select(*result.columns)).count() == 0 and result.count() == 4000
 
 
 def test_missing_values_are_numbered_last(spark):
