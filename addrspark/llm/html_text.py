@@ -3,7 +3,7 @@
 A page is cut into lines at its block elements, and its markup is stripped. Lines inside
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out, unless such an
 element is known by a class or id name only and holds most of the page's text. A line
-weighs as much as it has text, a line of links nothing. The weights of ``WINDOW`` consecutive lines
+weighs as much as it has text, a line of links nothing (one between two lines of text stays with them, though). The weights of ``WINDOW`` consecutive lines
 are summed. Where the sums rise beyond the surge level a stretch of text begins, and where
 they fall to nothing it ends.
 
@@ -37,7 +37,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "canvas", "select", "button", "title")
+RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "object", "canvas", "select", "title", "desc", "metadata", "annotation")
 CLOSED_BY_BLOCK = frozenset(["p"])
 BOILERPLATE = frozenset("nav footer aside form dialog menu head search".split())
 MAIN = frozenset(["article", "main"])
@@ -54,9 +54,13 @@ COMMENTS = frozenset("comment comments commentlist disqus reply replies respond
 LAYOUT, OF_TEXT = frozenset("no not with without has have hide hides category tag type format status".split()), frozenset("post entry article story".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 
+# An attribute by the states of the standard: quotes have a meaning only at the beginning of a value. One that is never closed has none.
+_ATTRIBUTE = r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[\s/=]+|"
+    + re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE) + r")*+)(?:>|\Z)", re.S)
+_ATTRIBUTES = re.compile(_ATTRIBUTE, re.S)
+_NAMES = frozenset(["class", "id", "role", "hidden", "aria-hidden", "style"])
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _WORDS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -86,8 +90,10 @@ def _marked(tag: str, attributes: str, in_main: bool) -> int:
     if not attributes or tag in ("html", "body"):
         return PLAIN
     out = PLAIN
-    for name, *values in _NAMES.findall(attributes):
+    for name, *values in _ATTRIBUTES.findall(attributes):
         value, name = "".join(values), name.lower()
+        if name not in _NAMES:
+            continue
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return MARKED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -155,8 +161,8 @@ def lines_of(html: str) -> list[Line]:
         if tag in _RAW_END:
             end = _RAW_END[tag].search(html, at)
             at = end.end() if end else len(html)
-            if tag != "title":
-                line.parts.append(" " if tag in ("button", "select") else "")
+            if tag == "select":
+                line.parts.append(" ")
             continue
         if tag == "a":
             links += 1
@@ -242,12 +248,16 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) ->
     shares = [weights[a:b][main[a:b]].sum() / weights[a:b].sum() for a, b in ((begin, end), (0, len(kept)))]
     if max(shares) >= 0.5:
         return [line.text for line in kept if line.main]
-    if max(shares) < 0.25:
-        weights = weights * ~main
+    cards = main & (max(shares) < 0.25)
+    weights = weights * ~cards
     stretches = _stretches(weights, window, surge)
     good = np.zeros(len(kept), bool)
+    texts = weights > 0
+    alone = ~texts & ~cards  # a linked line between two lines of text is one of them; several are a menu
+    alone[1:-1] &= texts[:-2] & texts[2:]
+    alone[[0, -1]] = False
     for begin, end in stretches:
-        good[begin:end] = weights[begin:end] > 0
+        good[begin:end] = texts[begin:end] | alone[begin:end]
     before = np.flatnonzero(weights[: stretches[0][0]])[-1:].tolist()
     if before and kept[before[0]].heading:  # a title that links cut off
         good[before] = True

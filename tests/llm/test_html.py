@@ -106,3 +106,53 @@ def test_windows_decide():
     lines = lines_of(f"<article>{PARAGRAPHS[0]} {PARAGRAPHS[1]}</article>{LINKS}{BODY}")
     assert main_lines(lines) == [f"{PARAGRAPHS[0]} {PARAGRAPHS[1]}", *PARAGRAPHS]
     assert main_lines(lines, surge=0.8) == PARAGRAPHS
+
+
+def test_quotes_have_a_meaning_only_at_the_beginning_of_a_value():
+    assert main_text("<body><p title=don't>Two.</p><p>Three isn't.</p></body>") == "Two.\nThree isn't."
+    assert main_text("<body><p title='a > b' data-x=\"it's\">Two.</p><p don't>Three.</p></body>") == "Two.\nThree."
+    assert main_text('<body><p>One.</p><p title="never closed>Two.</p><p>Three.</p></body>') == "One.\nTwo.\nThree."
+    assert main_text("<body><p title='class=sidebar id=ad'>Two.</p></body>") == "Two."
+
+
+def test_lines_between_surge_and_dive_stay():
+    text = "This is a paragraph of the text, as long as paragraphs are. " * 3
+    page = f"<body><ul><li><a href=x>menu</a><li><a href=y>more</a></ul><p>{text}</p><p><a href=z>All of this line is a link.</a></p><p>{text}</p>" \
+        "<ul><li><a href=x>next</a><li><a href=y>previous</a><li><a href=y>up</a></ul></body>"
+    assert main_text(page).split("\n") == [text.strip(), "All of this line is a link.", text.strip()]
+
+
+def test_text_of_buttons_formulas_and_drawings():
+    page = "<article><p>Press <button>Start</button> if <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><svg><title>t</title><text>Axis</text></svg>" \
+        "<form><button>Send</button></form></article>"
+    assert main_text(page) == "Press Start if x=2.\nAxis"
+
+
+def plain_stretches(weights, window, surge):
+    """Line by line: the lines from a window over the surge level on until a window without text."""
+    def size(i):
+        return sum(weights[i : i + window])
+    level, inside, out = surge * max(map(size, range(len(weights)))), False, []
+    for i in range(len(weights)):
+        if inside and size(i) == 0:
+            inside = False
+        if not inside and weights[i] and size(i) > level:
+            inside = True
+        if inside and (weights[i] or 0 < i < len(weights) - 1 and weights[i - 1] and weights[i + 1]):
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("window, surge", [(1, 0.5), (3, 0.1), (3, 0.6), (6, 0.3)])
+def test_pages_without_article_markup_by_a_plain_search(window, surge):
+    import random
+
+    rng = random.Random(window)
+    for _ in range(60):
+        kinds = [rng.choice(["text", "short", "link", "link", "link"]) for _ in range(rng.randrange(1, 40))]
+        lines = [f"{i} " + ("words of a line " * rng.randrange(2, 9) if k == "text" else "few") for i, k in enumerate(kinds)]
+        lines = [" ".join(line.split()) for line in lines]
+        page = "<body>" + "".join(f"<div>{'<a href=x>' + t + '</a>' if k == 'link' else t}</div>" for k, t in zip(kinds, lines)) + "</body>"
+        weights = [0 if k == "link" else len(t) for k, t in zip(kinds, lines)]
+        got = main_lines(lines_of(page), window, surge)
+        assert got == ([lines[i] for i in plain_stretches(weights, window, surge)] if any(weights) else [])
