@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from addrspark.functions.names import contains_text, indented
-from addrspark.functions.paths import below, under
+from addrspark.functions.paths import below
 from addrspark.operators.addresses import SEPARATOR, place_steps
 from addrspark.operators.ranking import ascending, listed, numbered
 from addrspark.operators.walks import walk_down, walk_up
@@ -85,7 +85,7 @@ def objects_under(
     reg: Registry, prefix: str | None, min_level: int = 1, max_level: int = 6, strict: bool = False
 ) -> DataFrame:
     """Address objects of a range of levels under a path prefix (None: anywhere)."""
-    hierarchy = reg.hierarchy if prefix is None else reg.hierarchy.where(under(prefix, strict=strict))
+    hierarchy = reg.hierarchy_under(prefix, strict)
     rows = reg.places.where(F.col("level_num").between(min_level, max_level)).join(hierarchy, "objectid")
     return with_level_name(rows, reg).select(
         "objectid", "level_num", "level_name", "typename", "name", "path", "parentobjid"
@@ -94,7 +94,7 @@ def objects_under(
 
 def settlements_below(reg: Registry, prefix: str) -> DataFrame:
     """Cities and localities (levels 5 and 6) strictly below a path."""
-    rows = reg.places.where(F.col("level_num").isin(5, 6)).join(reg.hierarchy.where(below(prefix)), "objectid")
+    rows = reg.places.where(F.col("level_num").isin(5, 6)).join(reg.hierarchy_under(prefix).where(below(prefix)), "objectid")
     return (
         with_level_name(rows, reg)
         .orderBy(*ascending("level_num", "name", "objectid"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from addrspark.functions.paths import root_id, under
+from addrspark.functions.paths import root_id
 from addrspark.operators.ranking import ascending
 from addrspark.registry import Registry
 
@@ -40,7 +40,7 @@ def counts_by_level(reg: Registry) -> DataFrame:
 
 
 def _placed(reg: Registry, prefix: str | None, strict: bool, max_level: int | None) -> DataFrame:
-    hierarchy = reg.hierarchy if prefix is None else reg.hierarchy.where(under(prefix, strict=strict))
+    hierarchy = reg.hierarchy_under(prefix, strict)
     places = reg.places if max_level is None else reg.places.where(F.col("level_num") <= max_level)
     return places.join(hierarchy, "objectid")
 
@@ -61,7 +61,7 @@ def level_counts_by_root(reg: Registry, max_level: int | None = None) -> DataFra
 
 
 def _housed(reg: Registry, prefix: str | None, strict: bool) -> DataFrame:
-    hierarchy = reg.hierarchy if prefix is None else reg.hierarchy.where(under(prefix, strict=strict))
+    hierarchy = reg.hierarchy_under(prefix, strict)
     return reg.houses.select("objectid").join(hierarchy.select("objectid", "path"), "objectid")
 
 

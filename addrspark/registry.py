@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.functions.names import display_name, level_number
+from addrspark.functions.paths import under
+from addrspark.sources.path_bounds import read_bounds, read_under
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -18,6 +20,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def _active(hierarchy: DataFrame) -> DataFrame:
+    return hierarchy.where("isactive = 1").select("objectid", "parentobjid", "path")
+
+
 class Registry:
     """Registry tables by lower-case name, with the usual filtered forms.
 
@@ -26,9 +32,10 @@ class Registry:
     would merge them. ``verified`` finds out.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame], single_rows: bool = False):
+    def __init__(self, tables: Mapping[str, DataFrame], single_rows: bool = False, under: Callable[[str], DataFrame] | None = None):
         self.tables = dict(tables)
         self.single_rows = single_rows
+        self._under = under
 
     def verified(self) -> Registry:
         """The registry with ``single_rows`` set if a check of the tables allows it.
@@ -37,12 +44,17 @@ class Registry:
         """
         checked = [self.hierarchy, self.houses, self.apartments, self.rooms]
         repeated = [df.groupBy("objectid").count().where("count > 1").select("objectid") for df in checked]
-        return Registry(self.tables, all(df.isEmpty() for df in repeated))
+        return Registry(self.tables, all(df.isEmpty() for df in repeated), self._under)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, base: str, names: list[str]) -> Registry:
-        """Tables stored as ``<base>/<name>`` parquet folders."""
-        return cls({name: read_table(spark, f"{base}/{name}") for name in names})
+        """Tables stored as ``<base>/<name>`` parquet folders. A hierarchy with an index of its files is read by it."""
+        tables = {name: read_table(spark, f"{base}/{name}") for name in names}
+        hierarchy, path = tables.get("mun_hierarchy"), f"{base}/mun_hierarchy"
+        bounds = None if hierarchy is None else read_bounds(spark, path, hierarchy)
+        if bounds is None:
+            return cls(tables)
+        return cls(tables, under=lambda prefix: read_under(spark, path, hierarchy.schema, bounds, prefix))
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, names: list[str]) -> Registry:
@@ -57,7 +69,14 @@ class Registry:
     @property
     def hierarchy(self) -> DataFrame:
         """Active rows of the municipal hierarchy."""
-        return self.table("mun_hierarchy").where("isactive = 1").select("objectid", "parentobjid", "path")
+        return _active(self.table("mun_hierarchy"))
+
+    def hierarchy_under(self, prefix: str | None, strict: bool = False) -> DataFrame:
+        """Those whose path begins with a prefix (None: all); ``strict``: the object itself and whole steps below it."""
+        if prefix is None:
+            return self.hierarchy
+        rows = self.hierarchy if self._under is None else _active(self._under(prefix))
+        return rows.where(under(prefix, strict=strict))
 
     @property
     def places(self) -> DataFrame:

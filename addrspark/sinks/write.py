@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from addrspark.sinks.render import BATCH_SIZE, DIALECTS, insert_statements, row_lines
+from addrspark.sources.path_bounds import write_bounds
 from addrspark.sources.schemas import primary_key
 
 # The layouts, by the columns that name the folders.
@@ -75,13 +76,17 @@ def load_table(df: DataFrame, path: str, append: bool = False) -> None:
     """Store a table as parquet, by region if it has one.
 
     Loading a region again replaces it; ``append`` adds the rows to those already
-    there, as the registry's SQL loads do. Hierarchy files are sorted by path, so
-    that a search by path prefix skips most row groups.
+    there, as the registry's SQL loads do. Hierarchy tables are clustered: dealt out by range of region and
+    path, so that a file holds the paths between two bounds and a large region has many files. The bounds of all
+    files are kept beside them (``sources.path_bounds``), so that a search by path prefix opens only the files that may hold it.
     """
     by_region = "region" in df.columns
-    rows = df.hint("rebalance", F.col("region")) if by_region else df
-    if "path" in df.columns:
-        rows = rows.sortWithinPartitions("path")
+    clustered = "path" in df.columns
+    if clustered:
+        order = ["region", "path"] if by_region else ["path"]
+        rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:
+        rows = df.hint("rebalance", F.col("region")) if by_region else df
     writer = rows.write
     if by_region:
         writer = writer.partitionBy("region")
@@ -89,6 +94,8 @@ def load_table(df: DataFrame, path: str, append: bool = False) -> None:
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if clustered:
+        write_bounds(df.sparkSession, path)
 
 
 def load_registry(tables: Mapping[str, DataFrame], base: str, append: bool = False) -> None:

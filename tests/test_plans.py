@@ -175,3 +175,41 @@ def test_hot_house_is_split(hot_registry, eager_splitting):
     df = wid.all_apartments(hot_registry, ordered=False)
     assert len(df.collect()) == 60000
     assert plan(df).split("== Initial Plan ==")[0].count("skew=true") >= 2
+
+
+def test_a_prefix_opens_the_files_that_hold_it(spark, stored, tmp_path):
+    """A loaded hierarchy is clustered by path, a large region too; its index names the files for a prefix."""
+    from addrspark.plans import hierarchy as hie
+    from test_search import scans
+
+    base = str(tmp_path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, df in stored.tables.items():
+            load_table(df.withColumn("region", F.substring_index("path", ".", 1)) if name == "mun_hierarchy" else df, f"{base}/{name}")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    reg = Registry.from_parquet(spark, base, list(stored.tables))
+    total = len(reg.table("mun_hierarchy").inputFiles())
+    assert total >= 40
+    for prefix in ("1.100", "8", "1", "1.100.1000100", "nothing", ""):
+        rows = reg.hierarchy_under(prefix)
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, stored.hierarchy_under(prefix).collect()))
+    (_, _, files), = scans(reg.hierarchy_under("1.100"))
+    assert files <= 4
+    assert reg.hierarchy_under("nothing").isEmpty()
+    for call in (lambda r: sta.house_count(r, "1", strict=True), lambda r: sta.level_counts(r, "1.100"), lambda r: sta.full_statistics(r, "1.100"),
+                 lambda r: hie.objects_under(r, "1"), lambda r: hie.settlements_below(r, "8")):
+        assert sorted(map(str, call(reg).collect())) == sorted(map(str, call(stored).collect()))
+    # Files that the index does not name: it is not used.
+    stored.table("mun_hierarchy").where("path like '8%'").withColumn("region", F.lit("8")).limit(3).write.mode("append").partitionBy("region").parquet(
+        f"{base}/mun_hierarchy")
+    again = Registry.from_parquet(spark, base, list(stored.tables))
+    assert again.hierarchy_under("8").count() == stored.hierarchy_under("8").count() + again.table("mun_hierarchy").where("isactive = 1").count() \
+        - stored.hierarchy.count()
+    load_table(again.table("mun_hierarchy"), f"{base}/mun_hierarchy_again", append=True)
+    load_table(again.table("mun_hierarchy").limit(5), f"{base}/mun_hierarchy_again", append=True)
+    assert spark.read.parquet(f"{base}/mun_hierarchy_again/_bounds").count() == len(spark.read.parquet(f"{base}/mun_hierarchy_again").inputFiles())
