@@ -1,11 +1,13 @@
 """Reading registry folders: file rules, both XML scans, schema documents."""
 
+import random
+
 import pytest
 from pyspark.sql import types as T
 
-from addrspark.sources import files, xml_tables
+from addrspark.sources import files, sections, xml_tables
 from addrspark.sources.schemas import declared_field, entity_of, primary_key, query_schema, select_tables
-from addrspark.sources.xsd import read_schemas
+from addrspark.sources.xsd import find_schemas, read_schemas
 
 XSD = """<?xml version="1.0" encoding="UTF-8"?>
 <xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
@@ -120,16 +122,105 @@ def test_malformed_row_is_an_error(spark, tmp_path):
         xml_tables.scan_regions(spark, str(tmp_path), "HOUSES").collect()
 
 
+def write_houses(tmp_path, text):
+    (tmp_path / "50").mkdir(exist_ok=True)
+    (tmp_path / "50" / "AS_HOUSES_1.XML").write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
 @pytest.mark.parametrize("rows", [
     '<HOUSE\nOBJECTID="1" ISACTUAL="1"/>', '<HOUSE OBJECTID="1" ISACTUAL="1"/><HOUSE\tOBJECTID="2" ISACTUAL="1"/>',
-    '<HOUSE OBJECTID="1" ISACTUAL="1"/><!-- <HOUSE OBJECTID="2" ISACTUAL="1"/> -->', '<HOUSE/>',
+    '<HOUSE OBJECTID="1" HOUSENUM="a --> / b /> ]]> \'c\'" ISACTUAL="1" ></HOUSE ><?note x?><HOUSE OBJECTID=\'2\' ISACTUAL="0"/>',
+    '<!-- a > b --><HOUSE OBJECTID="1" ISACTUAL="1"><!-- c --></HOUSE><![CDATA[ <x ]]>', '<HOUSE/>', '',
 ])
-def test_rows_that_cannot_be_cut_are_an_error(spark, tmp_path, rows):
-    (tmp_path / "50").mkdir()
-    (tmp_path / "50" / "AS_HOUSES_1.XML").write_text(f"<HOUSES>{rows}</HOUSES>")
+def test_markup_between_and_in_rows(spark, tmp_path, rows):
+    base = write_houses(tmp_path, f'<?xml version="1.0"?>\n<HOUSES>{rows}</HOUSES>\n<!-- end -->')
+    whole = xml_tables.scan_regions(spark, base, "HOUSES", whole_files=True).collect()
+    assert sorted(xml_tables.scan_regions(spark, base, "HOUSES").collect()) == sorted(whole)
+    assert sorted(xml_tables.scan_regions(spark, base, "HOUSES", carry_sections=True).collect()) == sorted(whole)
+
+
+@pytest.mark.parametrize("text", [
+    '<HOUSES><HOUSE OBJECTID="1" ISACTUAL="1"/><!-- <HOUSE OBJECTID="2" ISACTUAL="1"/> --></HOUSES>',
+    '<HOUSES><![CDATA[<HOUSE OBJECTID="2" ISACTUAL="1"/>]]><HOUSE OBJECTID="1" ISACTUAL="1"/></HOUSES>',
+    '<!-- <HOUSE OBJECTID="2" ISACTUAL="1"/> --><HOUSES><HOUSE OBJECTID="1" ISACTUAL="1"/></HOUSES>',
+])
+def test_rows_in_sections(spark, tmp_path, text):
+    base = write_houses(tmp_path, text)
     with pytest.raises(Exception, match="read the files whole"):
-        xml_tables.scan_regions(spark, str(tmp_path), "HOUSES").collect()
-    assert xml_tables.scan_regions(spark, str(tmp_path), "HOUSES", whole_files=True).count() >= 1
+        xml_tables.scan_regions(spark, base, "HOUSES").collect()
+    rows = xml_tables.scan_regions(spark, base, "HOUSES", carry_sections=True).collect()
+    assert [row["objectid"] for row in rows] == [1]
+
+
+def test_unfinished_row_is_an_error(spark, tmp_path):
+    base = write_houses(tmp_path, '<HOUSES><HOUSE OBJECTID="1" ISACTUAL="1"/><HOUSE OBJECTID="2" ')
+    for carry in (False, True):
+        with pytest.raises(Exception, match="has no end"):
+            xml_tables.scan_regions(spark, base, "HOUSES", carry_sections=carry).collect()
+
+
+def test_sections_over_parts_of_a_file(spark, tmp_path):
+    """Comments and CDATA with thousands of rows each, over the borders of parts; equal to a plain removal."""
+    rng, texts, kept, number = random.Random(5), ["<HOUSES>"], [], 0
+    for block in range(60):
+        opened, closed = [("", ""), ("<!-- ", "-->"), ("<![CDATA[ --> ", "]]>"), ("<?old ]]> ", "?>")][block % 4]
+        texts.append(opened)
+        for _ in range(rng.choice([1, 40, 400])):
+            number += 1
+            note = rng.choice(["", ' HOUSENUM="--&gt; 1"'])
+            texts.append(f'<HOUSE{rng.choice(" " + chr(10))}OBJECTID="{number}"{note} ISACTUAL="1"/>')
+            if not opened:
+                kept.append(number)
+                texts.append(rng.choice(["", "<!-- x -->"]))
+        texts.append(closed)
+    base = write_houses(tmp_path, "".join(texts) + "</HOUSES>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        houses = xml_tables.scan_regions(spark, base, "HOUSES", carry_sections=True)
+        pieces = xml_tables._pieces(spark, f"{base}/50", "HOUSE")
+        starts = sections.part_starts(sections.part_ends(pieces)).collect()
+        assert len(starts) > 20 and {row["state"] for row in starts} == {0, 1, 2, 3}
+        assert sorted(row["objectid"] for row in houses.collect()) == kept
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_state_after():
+    assert [sections.state_after("a --> b <!-- c", state) for state in range(4)] == [1, 1, 2, 3]
+    assert sections.state_after("<![CDATA[ <!-- ]]> <? <!-- ?>", 0) == 0
+    assert sections.state_after("", 2) == 2
+
+
+def test_schemas_are_found(spark, folder, tmp_path):
+    """All tables of documents beside the data, parameter tables too; what has none is an error that names it."""
+    param = XSD.replace('name="Object"', 'name="Param"').replace('"NOTE"', '"VALUE"')
+    (tmp_path / "AS_PARAM_2_251.xsd").write_text(param, encoding="utf-8")
+    schemas, tags = find_schemas(spark, folder)
+    assert tags == {"ADDR_OBJ": "Object", "PARAM": "Param"} and schemas["PARAM"].names[2] == "VALUE"
+    tables = xml_tables.scan_registry(spark, folder, ["ADDR_OBJ", "ADDR_OBJ_PARAMS", "OBJECT_LEVELS"])
+    assert tables["addr_obj"].columns == ["id", "name", "note", "kind", "updatedate", "isactive", "region"]
+    assert tables["addr_obj"].count() == 6 and tables["addr_obj_params"].columns[2] == "value"
+    (tmp_path / "50").mkdir()
+    (tmp_path / "50" / "AS_CARPLACES_1.XML").write_text("<CARPLACES/>")
+    (tmp_path / "50" / "AS_ADM_HIERARCHY_1.XML").write_text("<ITEMS/>")
+    with pytest.raises(KeyError, match="ADM_HIERARCHY, CARPLACES"):
+        xml_tables.scan_registry(spark, folder, ["CARPLACES", "ADM_HIERARCHY"], ["50"])
+    with pytest.raises(FileNotFoundError, match="HOUSES"):
+        read_schemas(spark, folder, ["PARAM", "HOUSES"])
+
+
+def test_schema_documents_that_are_wrong(spark, folder, tmp_path):
+    (tmp_path / "AS_ADDR_OBJ_2_252.xsd").write_text(XSD, encoding="utf-8")
+    with pytest.raises(ValueError, match="several schema documents for ADDR_OBJ"):
+        find_schemas(spark, folder)
+    other = tmp_path / "other"
+    other.mkdir()
+    assert find_schemas(spark, str(other)) == ({}, {})
+    (other / "AS_ROOMS.xsd").write_text(XSD.replace("sequence", "choice"), encoding="utf-8")
+    with pytest.raises(ValueError, match="no row element .* ROOMS"):
+        find_schemas(spark, str(other))
 
 
 def test_unknown_row_element(spark, tmp_path):
