@@ -2,13 +2,48 @@
 
 from __future__ import annotations
 
+import string
+
 from addrspark.checks.oracle import HOUSE_SUFFIX, HOUSE_TYPE_SQL, ON_STREET, hierarchy, sql
+from addrspark.checks.xml_fixture import DECLARED, ELEMENTS, RANGE, SECTIONS
+
+# The columns of the declared tables, in order.
+COLUMNS = {
+    "object_levels": ["level", "name", "isactive", "updatedate"],
+    "normative_docs": ["id", "name", "updatedate"],
+    "addr_obj_params": ["id", "objectid", "typeid", "value", "updatedate"],
+    "houses_params": ["id", "objectid", "typeid", "value", "updatedate"],
+    "addr_obj": ["id", "objectid", "objectguid", "name", "typename", "level", "isactual", "isactive", "updatedate"],
+    "houses": ["id", "objectid", "objectguid", "housenum", "addnum1", "addnum2", "housetype", "isactual", "updatedate"],
+    "apartments": ["id", "objectid", "objectguid", "number", "aparttype", "isactual", "updatedate"],
+    "rooms": ["id", "objectid", "objectguid", "number", "roomtype", "isactual", "updatedate"],
+    "steads": ["id", "objectid", "objectguid", "number", "isactual", "updatedate"],
+    "mun_hierarchy": ["id", "objectid", "parentobjid", "path", "isactive", "updatedate"],
+}
+KEYS = dict.fromkeys(COLUMNS, "id") | {"object_levels": "level"}
+
+SCHEMA_DOCUMENTS = """SELECT * FROM (VALUES
+  ('OBJECT_LEVELS', 'OBJECTLEVEL', 'LEVEL int required, NAME string, ISACTIVE boolean, UPDATEDATE date'),
+  ('NORMATIVE_DOCS', 'NORMDOC', 'ID bigint required, NAME string, UPDATEDATE date'),
+  ('PARAM', 'PARAM', 'ID bigint required, OBJECTID bigint required, TYPEID int, VALUE string, UPDATEDATE date'),
+  ('ADDR_OBJ', 'OBJECT', 'ID bigint required, OBJECTID bigint required, OBJECTGUID string, NAME string, TYPENAME string, LEVEL string, ISACTUAL int, ISACTIVE int, UPDATEDATE date'),
+  ('HOUSES', 'HOUSE', 'ID bigint required, OBJECTID bigint required, OBJECTGUID string, HOUSENUM string, ADDNUM1 string, ADDNUM2 string, HOUSETYPE int, ISACTUAL int, UPDATEDATE date'),
+  ('APARTMENTS', 'APARTMENT', 'ID bigint required, OBJECTID bigint required, OBJECTGUID string, NUMBER string, APARTTYPE int, ISACTUAL int, UPDATEDATE date'),
+  ('ROOMS', 'ROOM', 'ID bigint required, OBJECTID bigint required, OBJECTGUID string, NUMBER string, ROOMTYPE int, ISACTUAL int, UPDATEDATE date'),
+  ('STEADS', 'STEAD', 'ID bigint required, OBJECTID bigint required, OBJECTGUID string, NUMBER string, ISACTUAL int, UPDATEDATE date'),
+  ('MUN_HIERARCHY', 'ITEM', 'ID bigint required, OBJECTID bigint required, PARENTOBJID bigint, PATH string, ISACTIVE int, UPDATEDATE date')
+) AS t(entity, row_tag, columns)"""
 
 OBJECTS = ["addr_obj", "houses", "apartments", "steads", "rooms"]
 REGISTRY = ["object_levels", "addr_obj", "houses", "apartments", "rooms", "steads", "normative_docs", "mun_hierarchy"]
 REGION_OF = "JOIN (SELECT objectid, string_split(path, '.')[1] AS region FROM mun_hierarchy) r USING (objectid)"
 
 
+def _plain(text: str) -> str:
+    """A text of the fixture with the names of the tables."""
+    return text.format(**{field: field for _, field, _, _ in string.Formatter().parse(text) if field})
+
+
 def _counts(tables: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in tables)
 
@@ -45,6 +80,13 @@ def quality() -> dict[str, str]:
     twice = "SELECT objectid, {} AS copies FROM {} GROUP BY objectid HAVING {} > 1 ORDER BY objectid LIMIT 10".format
     main = "(SELECT count(*) FROM addr_obj) + (SELECT count(*) FROM houses) + (SELECT count(*) FROM steads)"
     largest = f"SELECT * FROM ({_counts(REGISTRY)}) ORDER BY row_count DESC, table_name LIMIT "
+    plain = f"(objectid // {RANGE}) % {len(SECTIONS)}"
+    marks = "CASE kind " + " ".join(f"WHEN {i} THEN {len(a) + len(b) + 2}" for i, (a, b) in enumerate(SECTIONS)) + " END"
+    sized = " UNION ALL ".join(
+        f"""SELECT '{t.lower()}' AS table_name, CAST(sum(n) FILTER (kind = 0) AS BIGINT) AS row_count,
+            CAST(sum(bytes + {marks}) AS BIGINT) AS bytes
+        FROM (SELECT {plain} AS kind, objectid // {RANGE} AS number, count(*) AS n, sum(strlen(line) + 1) AS bytes
+            FROM ({_plain(text)}) GROUP BY ALL)""" for t, text in ELEMENTS.items())
     return {
         "q1_typed": sql("SELECT * FROM houses"),
         "q1_unparsed": sql(unpivoted("unparsed", not_numbers, "houses")),
@@ -52,6 +94,9 @@ def quality() -> dict[str, str]:
         "q3_missing_required": sql(missing),
         "q4_too_long": sql(unpivoted("too_long", {c: f"length({c}) > {n}" for c, n in lengths.items()}, "addr_obj")),
         "q5_duplicate_keys": sql(repeated),
+        "q5_primary_keys": sql(" UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, CAST({KEYS[t]} AS BIGINT) AS key, count(*) AS copies "
+            f"FROM ({_plain(text)}) GROUP BY ALL HAVING count(*) > 1" for t, text in DECLARED.items())),
         "q6_duplicate_objects": sql(twice("count(*)", "addr_obj", "count(*)")),
         "q6_duplicate_objects_loaded_twice": sql(twice("2 * count(*)", "houses", "2 * count(*)")),
         "q7_object_counts": sql(_counts(OBJECTS)),
@@ -60,6 +105,7 @@ def quality() -> dict[str, str]:
         "q9_missing_names": sql("""SELECT count(*) AS total, count(*) FILTER (name IS NULL) AS null_count,
             round(100.0 * count(*) FILTER (name IS NULL) / count(*), 1) AS null_percent FROM normative_docs"""),
         "q10_largest_tables": sql(largest + "20"),
+        "q10_sized_tables": sql(f"SELECT * FROM ({sized}) ORDER BY row_count DESC, table_name"),
         "q11_check_expected": sql(f"""SELECT n AS main_objects, CAST(17000 AS BIGINT) AS expected,
             round(100.0 * abs(n - 17000) / 17000, 1) AS difference_percent, 100.0 * abs(n - 17000) / 17000 <= 10 AS passed
             FROM (SELECT {main} AS n)"""),
@@ -216,9 +262,17 @@ def sources() -> dict[str, str]:
     asked = "(VALUES ('1'), ('15'), ('99')) v(region)"
     found = f"""SELECT t AS "table", region FROM ({roots}), (VALUES ('ADDR_OBJ'), ('MUN_HIERARCHY'), ('HOUSES')) v(t)"""
     some = f"{REGION_OF} WHERE region IN ('1', '15')"
+    def row_text(table: str) -> str:
+        values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in COLUMNS[table])
+        region = "NULL" if table == "object_levels" else "CASE WHEN (id + id // 10) % 2 = 0 THEN '01' ELSE '77' END"
+        return f"""SELECT '{table}' AS table_name, {region} AS region, concat_ws('|', {values}) AS row_text
+            FROM ({_plain(DECLARED[table])})"""
+
     return {
         "s1_xml_scan": sql(f"SELECT houses.*, region FROM houses {REGION_OF}"),
         "s1_xml_scan_whole_files": sql(f"SELECT houses.*, region FROM houses {REGION_OF}"),
+        "s1_xml_scan_sections": sql(
+            f"SELECT houses.*, '50' AS region FROM houses WHERE (objectid // {RANGE}) % {len(SECTIONS)} = 0"),
         "s2_table_files": sql(f"{found} UNION ALL SELECT 'OBJECT_LEVELS', NULL"),
         "s3_file_problems": sql(f"""SELECT 'ROOMS' AS "table", region, CAST(0 AS BIGINT) AS n_files FROM ({roots})
             UNION ALL SELECT 'ROOM_TYPES', NULL, 0"""),
@@ -235,6 +289,8 @@ def sources() -> dict[str, str]:
             UNION ALL SELECT 'addr_obj', count(*) FROM addr_obj {some}
             UNION ALL SELECT 'houses', count(*) FROM houses {some}
             UNION ALL SELECT 'mun_hierarchy', count(*) FROM mun_hierarchy {some}"""),
+        "s8_declared_tables": sql(" UNION ALL ".join(row_text(t) for t in DECLARED)),
+        "s8_schema_documents": SCHEMA_DOCUMENTS,
     }
 
 

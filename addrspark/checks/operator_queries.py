@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.checks.queries import Query, over_registry
-from addrspark.checks.xml_fixture import REGION_TABLES, registry_folder
+from addrspark.checks.xml_fixture import DECLARED, ELEMENTS, REGION_TABLES, declared_folder, registry_folder, sections_folder
 from addrspark.fixtures import derived_registry
 from addrspark.functions import names, paths
 from addrspark.functions.text import keyword, ngrams
@@ -21,6 +21,7 @@ from addrspark.sinks import render
 from addrspark.sinks.write import load_table, write_dump
 from addrspark.sources import files, xml_tables
 from addrspark.sources.schemas import lower_names, query_schema
+from addrspark.sources.xsd import find_schemas
 
 
 def text_form(reg: Registry, table: str) -> tuple[DataFrame, T.StructType]:
@@ -87,12 +88,14 @@ def quality() -> dict[str, Query]:
         "q3_missing_required": over_registry(missing_required),
         "q4_too_long": over_registry(too_long),
         "q5_duplicate_keys": over_registry(repeated_keys),
+        "q5_primary_keys": lambda spark, sf_dir: qua.duplicate_primary_keys(declared_tables(spark, sf_dir)),
         "q6_duplicate_objects": over_registry(lambda reg: qua.duplicate_objects(reg.table("addr_obj"))),
         "q6_duplicate_objects_loaded_twice": over_registry(loaded_twice),
         "q7_object_counts": over_registry(qua.object_counts),
         "q8_object_totals": over_registry(qua.object_totals),
         "q9_missing_names": over_registry(qua.missing_names),
         "q10_largest_tables": over_registry(qua.largest_tables),
+        "q10_sized_tables": sized_tables,
         "q11_check_expected": over_registry(lambda reg: qua.check_expected(reg, 17000, 0.1)),
         "q11_check_expected_none": over_registry(lambda reg: qua.check_expected(reg, 0)),
         "q12_load_monitor": over_registry(lambda reg: qua.largest_tables(reg, 10)),
@@ -325,10 +328,49 @@ def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qua.row_counts(Registry(tables), sorted(tables))
 
 
+def declared_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return xml_tables.scan_registry(spark, declared_folder(spark, sf_dir), list(DECLARED))
+
+
+def declared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of schema documents, a row as one text of its typed values."""
+    tables = declared_tables(spark, sf_dir)
+    texts = [
+        tagged(df, name).select(
+            "table_name", (F.col("region") if "region" in df.columns else F.lit(None).cast("string")).alias("region"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns if c != "region"]).alias("row_text"),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, texts)
+
+
+def schema_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas, tags = find_schemas(spark, declared_folder(spark, sf_dir))
+    rows = [
+        (entity, tags[entity], ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' required'}" for f in schema))
+        for entity, schema in schemas.items()
+    ]
+    return spark.createDataFrame(rows, "entity string, row_tag string, columns string")
+
+
+def sections_scan(table: str) -> Query:
+    return lambda spark, sf_dir: xml_tables.scan_regions(
+        spark, sections_folder(spark, sf_dir), table, carry_sections=True)
+
+
+def sized_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bytes of the files of tables, the largest first."""
+    folder = sections_folder(spark, sf_dir)
+    tables = xml_tables.scan_registry(spark, folder, list(ELEMENTS), carry_sections=True)
+    return qua.largest_tables(Registry(tables), sizes=files.table_sizes(files.list_files(spark, folder)))
+
+
 def sources() -> dict[str, Query]:
     return {
         "s1_xml_scan": scanned("HOUSES"),
         "s1_xml_scan_whole_files": scanned("HOUSES", whole_files=True),
+        "s1_xml_scan_sections": sections_scan("HOUSES"),
         "s2_table_files": listed(lambda found, spark: found.select("table", "region")),
         "s3_file_problems": listed(problems),
         "s4_regions": listed(lambda found, spark: files.list_regions(found)),
@@ -341,6 +383,8 @@ def sources() -> dict[str, Query]:
         "s7_common_scan": lambda spark, sf_dir: xml_tables.scan_common(
             spark, registry_folder(spark, sf_dir), "OBJECT_LEVELS"),
         "s8_selected_tables": selected_tables,
+        "s8_schema_documents": schema_documents,
+        "s8_declared_tables": declared_rows,
     }
 
 

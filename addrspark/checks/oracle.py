@@ -319,5 +319,15 @@ def searches() -> dict[str, str]:
     }
 
 
+def verified() -> dict[str, str]:
+    """A verified registry gives the same rows."""
+    plain = addresses() | houses() | wide()
+    keys = [
+        "aq2_addresses", "aq4_apartment_addresses", "aq8_houses_with_addresses", "mq11g_addresses_through_parent",
+        "mq12_all_houses", "mq13_all_apartments", "mq14_all_rooms",
+    ]
+    return {f"{key}_verified": plain[key] for key in keys}
+
+
 def oracle_sql() -> dict[str, str]:
-    return searches() | addresses() | hierarchy() | statistics() | houses() | wide()
+    return verified() | searches() | addresses() | hierarchy() | statistics() | houses() | wide()

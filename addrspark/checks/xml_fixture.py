@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import string
 
-from addrspark.fixtures import derived_registry
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from addrspark.fixtures import REGISTRY_TABLES, derived_registry
 from addrspark.functions.paths import root_id
 from addrspark.shared import materialize, new_folder
+from addrspark.sources.schemas import COMMON_TABLES, entity_of
 from addrspark.sources.xml_tables import ROW_TAGS
 
 DATE = "20250131"
@@ -41,3 +44,102 @@ def registry_folder(spark: SparkSession, sf_dir: str) -> str:
         empty.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(empty)
         _folders[key] = folder
     return _folders[key]
+
+
+# A date and a key for every table, so that a schema document has all types.
+DAY = "CASE WHEN {} % 2 = 0 THEN DATE '2025-01-01' ELSE DATE '2024-02-29' END AS updatedate"
+PARAMS = "SELECT objectid AS id, objectid, CAST(objectid % 7 AS INT) AS typeid, {value} AS value, " \
+    + DAY.format("objectid") + " FROM {{{table}}}"
+#: Tables whose columns are told by schema documents only; ``{name}`` stands for a derived table.
+DECLARED = {
+    "object_levels": f"SELECT t.*, level % 2 = 0 AS isactive, {DAY.format('level')} FROM {{object_levels}} t",
+    "normative_docs": f"SELECT t.*, {DAY.format('id')} FROM {{normative_docs}} t",
+    "addr_obj_params": PARAMS.format(value="name", table="addr_obj"),
+    "houses_params": PARAMS.format(value="housenum", table="houses"),
+} | {
+    name: f"SELECT objectid AS id, t.*, {DAY.format('objectid')} FROM {{{name}}} t"
+    for name in REGISTRY_TABLES if name not in ("object_levels", "normative_docs")
+}
+DECLARED_REGIONS = {"01": 0, "77": 1}
+
+# Sections around ranges of rows: none, a comment, CDATA, an instruction.
+SECTIONS = [("", ""), ("<!-- old", "-->"), ("<![CDATA[ --> ", "]]>"), ("<?old ]]>", "?>")]
+RANGE = 64
+#: The rows of a table as XML elements, one in a line.
+ELEMENTS = {
+    "HOUSES": """SELECT objectid, '<HOUSE' || CASE WHEN objectid % 3 = 0 THEN chr(9) ELSE ' ' END || 'OBJECTID="'
+  || objectid || '" OBJECTGUID="' || objectguid || '"' || coalesce(' HOUSENUM="' || housenum || '"', '')
+  || coalesce(' ADDNUM1="' || addnum1 || '"', '') || coalesce(' ADDNUM2="' || addnum2 || '"', '') || ' HOUSETYPE="'
+  || housetype || '" ISACTUAL="' || isactual || '"/>' AS line FROM {houses}""",
+    "STEADS": """SELECT objectid, '<STEAD OBJECTID="' || objectid || '" OBJECTGUID="' || objectguid
+  || '" NUMBER="' || number || '" ISACTUAL="' || isactual || '"/>' AS line FROM {steads}""",
+}
+
+
+def _derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    reg = derived_registry(spark, sf_dir)
+    names = {field for _, field, _, _ in string.Formatter().parse(text) if field}
+    return spark.sql(text, **{name: reg.table(name) for name in names})
+
+
+def _attribute(field: T.StructField) -> str:
+    name, use = field.name.upper(), ' use="required"' if field.name in ("id", "level", "objectid") else ""
+    plain = {T.DateType: "xs:date", T.BooleanType: "xs:boolean"}.get(type(field.dataType))
+    if plain:
+        return f'<xs:attribute name="{name}" type="{plain}"{use}/>'
+    base, facet = {
+        T.LongType: ("xs:long", '<xs:totalDigits value="19"/>'), T.IntegerType: ("xs:integer", '<xs:totalDigits value="10"/>'),
+    }.get(type(field.dataType), ("xs:string", '<xs:maxLength value="250"/>'))
+    return f'<xs:attribute name="{name}"{use}><xs:simpleType><xs:restriction base="{base}">{facet}' \
+        "</xs:restriction></xs:simpleType></xs:attribute>"
+
+
+def _write_schema(df: DataFrame, folder: str, entity: str, tag: str) -> None:
+    text = '<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="ROWS">' \
+        f'<xs:complexType><xs:sequence><xs:element name="{tag}"><xs:complexType>{"".join(map(_attribute, df.schema))}' \
+        "</xs:complexType></xs:element></xs:sequence></xs:complexType></xs:element></xs:schema>"
+    df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/AS_{entity}_2_251_01.xsd")
+
+
+def declared_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the tables of ``DECLARED`` and a schema document for each entity, written once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} declared")
+    if key not in _folders:
+        folder, written = new_folder(spark, "xml"), set()
+        for name, text in DECLARED.items():
+            df, table = _derived(spark, sf_dir, text), name.upper()
+            entity = entity_of(table)
+            tag = ROW_TAGS.get(entity, entity)
+            if entity not in written:
+                _write_schema(df, folder, entity, tag)
+                written.add(entity)
+            attributes = df.select(*[F.col(column).alias(f"_{column.upper()}") for column in df.columns])
+            places = {folder: F.lit(True)} if table in COMMON_TABLES else {
+                f"{folder}/{region}": (F.col("_ID") + F.floor(F.col("_ID") / 10)) % 2 == rest for region, rest in DECLARED_REGIONS.items()}
+            for place, rows in places.items():
+                writer = attributes.where(rows).write.format("xml").options(rowTag=tag, rootTag="ROWS", dateFormat="yyyy-MM-dd")
+                writer.save(f"{place}/AS_{table}_{DATE}.XML")
+        _folders[key] = folder
+    return _folders[key]
+
+
+def sections_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the tables of ``ELEMENTS``, where three of four ranges of rows lie in sections. A file has whole ranges."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} sections")
+    if key not in _folders:
+        folder = new_folder(spark, "xml")
+        for table, text in ELEMENTS.items():
+            number = F.floor(F.col("objectid") / RANGE)
+            rows = _derived(spark, sf_dir, text).select(number.alias("number"), F.col("objectid").alias("position"), "line")
+            marks = [
+                rows.select("number").distinct().select(
+                    "number", F.lit(position).cast("bigint").alias("position"),
+                    F.get(F.array(*[F.lit(pair[side]) for pair in SECTIONS]), (F.col("number") % len(SECTIONS)).cast("int")).alias("line"),
+                )
+                for side, position in ((0, -1), (1, 2**62))
+            ]
+            lines = rows.unionByName(marks[0]).unionByName(marks[1])
+            lines.repartitionByRange(3, "number").sortWithinPartitions("number", "position").select("line").write.text(
+                f"{folder}/50/AS_{table}_{DATE}.XML")
+        _folders[key] = folder
+    return _folders[key]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from addrspark.operators.ranking import ascending
 from addrspark.registry import Registry
+from addrspark.sources.schemas import primary_key
 
 # The tables counted as address objects, and the main ones of them.
 OBJECT_TABLES = ["addr_obj", "houses", "apartments", "steads", "rooms"]
@@ -59,6 +61,12 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(F.col(key).cast("bigint").alias("key")).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def duplicate_primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table, values of its primary key that occur more than once."""
+    found = [duplicate_keys(df, primary_key(name)).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 def duplicate_objects(df: DataFrame, limit: int = 10) -> DataFrame:
     """The first objects that occur more than once, as after loading a region twice."""
     counts = df.groupBy("objectid").agg(F.count("*").alias("copies")).where("copies > 1")

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from addrspark.fixtures import REGISTRY_TABLES, derived_registry
 from addrspark.operators import quality as qua
 from addrspark.registry import Registry
 from addrspark.sinks import render
@@ -124,3 +125,29 @@ def test_bucketed_tables_need_no_shuffle_by_object(spark, moscow, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_a_load_makes_the_mark_of_a_check_void(spark, tmp_path):
+    """Also one that adds rows or replaces them by the same; results go on to be right."""
+    base, derived = str(tmp_path / "registry"), derived_registry(spark, "/root/testdata/sf0.001")
+    load_registry(derived.tables, base)
+
+    def stored():
+        return Registry.from_parquet(spark, base, REGISTRY_TABLES)
+
+    reg = stored()
+    assert not reg.single_rows and reg.verified().single_rows
+    assert stored().single_rows
+    assert not Registry.from_parquet(spark, base, ["houses", "mun_hierarchy"]).single_rows
+    load_table(derived.table("steads"), f"{base}/steads", append=True)
+    assert stored().single_rows  # no table that is checked
+    load_table(derived.table("houses").where("objectid % 10 = 1"), f"{base}/houses", append=True)
+    assert not stored().single_rows
+    again = reg.verified()  # opened before the load, counts the files that are there now
+    assert not again.single_rows and not stored().single_rows
+    plain = Registry(derived.tables | {"houses": derived.table("houses").union(derived.table("houses").where("objectid % 10 = 1"))})
+    expected = adr.houses_with_addresses(plain)
+    for found in (adr.houses_with_addresses(stored()), adr.houses_with_addresses(again)):
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    load_table(derived.table("houses"), f"{base}/houses")
+    assert not stored().single_rows and stored().verified().single_rows
