@@ -113,11 +113,11 @@ def declared_folder(spark: SparkSession, sf_dir: str) -> str:
             if entity not in written:
                 _write_schema(df, folder, entity, tag)
                 written.add(entity)
-            attributes = df.select(*[F.col(column).alias(f"_{column.upper()}") for column in df.columns])
+            attributes = df.select(*[F.col(column).cast("string").alias(f"_{column.upper()}") for column in df.columns])
             places = {folder: F.lit(True)} if table in COMMON_TABLES else {
                 f"{folder}/{region}": (F.col("_ID") + F.floor(F.col("_ID") / 10)) % 2 == rest for region, rest in DECLARED_REGIONS.items()}
             for place, rows in places.items():
-                writer = attributes.where(rows).write.format("xml").options(rowTag=tag, rootTag="ROWS", dateFormat="yyyy-MM-dd")
+                writer = attributes.where(rows).write.format("xml").options(rowTag=tag, rootTag="ROWS", valueTag="_TEXT")
                 writer.save(f"{place}/AS_{table}_{DATE}.XML")
         _folders[key] = folder
     return _folders[key]
