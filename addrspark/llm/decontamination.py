@@ -8,9 +8,9 @@ stretch (a match counts 1, a changed word -2) is verified: it must hold ``MIN_MA
 ``WHOLE`` percent of a shorter item. The masks are chosen so that each stretch that passes holds
 one of them whole, however many of its words are changed.
 
-The benchmark is the smaller side. It is read in blocks of at most ``BLOCK_WORDS``
-words, each checked to be that small before it is sent to the tasks; a larger benchmark takes more passes
-over the documents. Documents are never shuffled.
+A benchmark of at most ``BLOCK_WORDS`` words, which is checked first, is sent to the tasks, and documents are not
+shuffled. A larger one stays a table: an array of bits of bounded size tells which seeds of documents it may hold, these are
+joined to its seeds by a shuffle, and the words around hits to its words. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from addrspark.llm.tables import n_words, table
+from addrspark.llm.tables import n_words, table, utf8_bytes
 from addrspark.llm.words import Words, blocks, mixed
+from addrspark.operators.joins import join_splitting
+from addrspark.shared import materialize
 
 #: Masks of items of ``LONG`` words or more, and of shorter ones. Every pattern of equal and changed words that passes the check
 #: has a place where one of them meets equal words only; tests/llm/test_decontamination.py goes through all patterns.
@@ -34,7 +36,10 @@ WHOLE = 80
 MISMATCH = 2
 #: Items with fewer words say too little and are not searched for.
 MIN_ITEM = 6
-BLOCK_WORDS = 1 << 20
+#: Of a benchmark that is sent to the tasks, at most: words and items, and bytes for each of these.
+BLOCK_WORDS, BLOCK_BYTES = 1 << 20, 32
+#: Bits of the filter of a larger benchmark's seeds, and words laid over each other in one group of hits of a text.
+FILTER_BITS, GROUP_WORDS = 1 << 26, 1 << 18
 #: Hits, and words laid over each other, that are worked on at once.
 HITS, WORDS = 1 << 20, 1 << 22
 
@@ -149,20 +154,17 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return begin, end - begin, int(equal[begin:end].sum())
 
 
-def _benchmark_blocks(benchmark: DataFrame, block_words: int) -> Iterator[Benchmark]:
-    """The items in blocks of at most ``block_words`` words and as many items; a longer item is a block of its own."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.withColumn("_n", n_words() + 1)
-    if items.agg(F.sum("_n")).first()[0] or 0:
-        ids, texts, size = [], [], 0
-        for row in items.orderBy("item_id", "text").toLocalIterator():
-            if ids and size + row["_n"] > block_words:
-                yield Benchmark(ids, texts)
-                ids, texts, size = [], [], 0
-            ids.append(row["item_id"])
-            texts.append(row["text"].encode())
-            size += row["_n"]
-        yield Benchmark(ids, texts)
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+
+
+def _block(items: DataFrame, block_words: int) -> Benchmark | None:
+    """All items if these are at most ``block_words`` words and items, of ``BLOCK_BYTES`` bytes each on average; else None."""
+    sizes = items.agg(F.sum(n_words() + 1), F.sum(utf8_bytes())).first()
+    if (sizes[0] or 0) > block_words or (sizes[1] or 0) > block_words * BLOCK_BYTES:
+        return None
+    rows = items.orderBy("item_id", "text").collect()
+    return Benchmark([row["item_id"] for row in rows], [row["text"].encode() for row in rows])
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -174,14 +176,14 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id"
     result. Columns other than the key and ``text`` are not read.
     """
     rows = docs.select(F.col(key).alias("_key"), "text")
-    kind = rows.schema["_key"].dataType.simpleString()
-    schema = f"_key {kind}, item_id long, first_word long, n_span long, n_equal long"
-    out = None
-    for block in _benchmark_blocks(benchmark, block_words):
-        found = rows.mapInArrow(_search(block), schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = rows.sparkSession.createDataFrame([], schema)
+    items = _items(benchmark)
+    block = _block(items, block_words)
+    if block is not None:
+        kind = rows.schema["_key"].dataType.simpleString()
+        out = rows.mapInArrow(_search(block), f"_key {kind}, item_id long, first_word long, n_span long, n_equal long")
+    else:
+        keyed = rows.select("_key", _text_key())
+        out = join_splitting(keyed, _overlaps_by_join(rows.select("text"), items), "_text").drop("_text")
     return out.withColumnRenamed("_key", key)
 
 
@@ -201,11 +203,14 @@ def _search(block: Benchmark):
 def clean(docs: DataFrame, benchmark: DataFrame, *, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that overlap with no benchmark item, with their columns."""
     names = docs.columns
-    out = docs
-    for block in _benchmark_blocks(benchmark, block_words):
-        rows = out.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-        out = rows.mapInArrow(_without(block, f"c{names.index('text')}"), rows.schema).toDF(*names)
-    return out
+    items = _items(benchmark)
+    block = _block(items, block_words)
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    text = f"c{names.index('text')}"
+    if block is not None:
+        return rows.mapInArrow(_without(block, text), rows.schema).toDF(*names)
+    found = _overlaps_by_join(rows.select(F.col(text).alias("text")), items).select("_text").distinct()
+    return join_splitting(rows.withColumn("_text", _text_key(text)), found, "_text", "left_anti").drop("_text").toDF(*names)
 
 
 def _without(block: Benchmark, name: str):
@@ -219,6 +224,133 @@ def _without(block: Benchmark, name: str):
     return keep
 
 
+# A benchmark of more than one block: nothing of it is collected but an array of FILTER_BITS bits.
+
+
+def _text_key(name: str = "text") -> Column:
+    """Equal texts have equal keys; null stays null."""
+    return F.md5(F.col(name)).alias("_text")
+
+
+def _seeds(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places where mask ``k`` lies within one text, and the seeds there; a seed is of one mask."""
+    mask = (MASKS + SHORT_MASKS)[k]
+    own = seed_hashes(hashes, mask)
+    at = np.flatnonzero(doc[: len(own)] == doc[len(mask) - 1 :]) if len(own) else np.zeros(0, np.int64)
+    return at, mixed(own[at] + np.uint64(k + 1))
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, seed, word at which it begins, words of the item) of each item of ``MIN_ITEM`` words or more."""
+    for batch in batches:
+        for begin, texts in blocks(batch.column("text").to_pylist()):
+            words = Words(texts)
+            hashes, doc, sizes = words.hashes, words.doc, np.diff(words.first)
+            items = batch.column("_item").slice(begin, len(texts)).to_numpy(zero_copy_only=False)
+            for k in range(len(MASKS + SHORT_MASKS)):
+                at, seeds = _seeds(hashes, doc, k)
+                size = sizes[doc[at]]
+                good = (size >= LONG) if k < len(MASKS) else (size >= MIN_ITEM) & (size < LONG)
+                at, seeds, size = at[good], seeds[good], size[good]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(items[doc[at]], pa.int64()), pa.array(seeds.view(np.int64)), pa.array(at - words.first[doc[at]], pa.int64()),
+                     pa.array(size, pa.int64())], names=["_item", "_seed", "_offset", "_size"])
+
+
+def _filter_of(seeds: DataFrame) -> np.ndarray:
+    """An array of ``FILTER_BITS`` bits, as 64-bit numbers, with the bits of all seeds set; its size does not grow with them."""
+    bits = seeds.select(F.shiftrightunsigned("_seed", 64 - FILTER_BITS.bit_length() + 1).alias("b"))
+    words = bits.select(F.expr("shiftrightunsigned(b, 6) AS word"), F.expr("shiftleft(1L, cast(b & 63L AS int)) AS bits"))
+    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _document_seeds(seen):
+    """(text, seed, place) of each seed of a document that the filter may hold."""
+    shift = np.uint64(64 - FILTER_BITS.bit_length() + 1)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = seen.value
+        for batch in batches:
+            for begin, texts in blocks(batch.column("text").to_pylist()):
+                words = Words(texts)
+                hashes, doc = words.hashes, words.doc
+                for k in range(len(MASKS + SHORT_MASKS)):
+                    at, seeds = _seeds(hashes, doc, k)
+                    b = seeds >> shift
+                    good = (bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) == 1
+                    at, seeds = at[good], seeds[good]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("_text").take(pa.array(begin + doc[at])), pa.array(seeds.view(np.int64)),
+                         pa.array(at - words.first[doc[at]], pa.int64())], names=["_text", "_seed", "_place"])
+
+    return found
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, item, first word, words of the item before it, hashes of words) that each hit of a text lays an item over."""
+    names = ["_text", "_item", "_begin", "_skip", "_own"]
+    for batch in batches:
+        for key, text, hits in zip(batch.column("_text"), batch.column("text"), batch.column("_hits")):
+            hashes = Words([text.as_py().encode()]).hashes
+            out = []
+            for hit in hits.as_py():
+                begin, end = max(hit["_start"], 0), min(hit["_start"] + hit["_size"], len(hashes))
+                out.append((key.as_py(), hit["_item"], begin, begin - hit["_start"], hashes[begin:end].tobytes()))
+            yield pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(names, zip(*out))})
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = [Words([text.encode()]).hashes.tobytes() for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("_item"), batch.column("item_id"), pa.array(hashes, pa.binary())], names=["_item", "item_id", "_words"])
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, item, item_id, first word, length, equal words) of the stretches that pass."""
+    names = ["_text", "_item", "item_id", "first_word", "n_span", "n_equal"]
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            own, item = np.frombuffer(row["_own"], np.uint64), np.frombuffer(row["_words"], np.uint64)
+            first, length, matches = best_stretch(own == item[row["_skip"] : row["_skip"] + len(own)])
+            if matches >= MIN_MATCHES or 100 * matches >= WHOLE * len(item):
+                out.append((row["_text"], row["_item"], row["item_id"], row["_begin"] + first, length, matches))
+        if out:
+            yield pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(names, zip(*out))})
+
+
+def _overlaps_by_join(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """The best overlap of each different text and item: ``_text``, item_id, first_word, n_span, n_equal.
+
+    Seeds of texts that pass a filter of the benchmark's seeds are joined to these. The hits of a text are dealt out in groups
+    of about ``GROUP_WORDS`` words, each laid over the text by one task; so a text with very many hits goes to many tasks.
+    """
+    spark = texts.sparkSession
+    items = materialize(items.withColumn("_item", F.monotonically_increasing_id()), "benchmark")
+    item_seeds = materialize(
+        items.select("_item", "text").mapInArrow(_item_seeds, "_item long, _seed long, _offset long, _size long"), "benchmark-seeds")
+    seen = spark.sparkContext.broadcast(_filter_of(item_seeds))
+    keyed = texts.where("text IS NOT NULL").select(_text_key(), "text")
+    own = keyed.mapInArrow(_document_seeds(seen), "_text string, _seed long, _place long").distinct()
+    hits = join_splitting(own, item_seeds, "_seed").select("_text", "_item", (F.col("_place") - F.col("_offset")).alias("_start"), "_size")
+    hits = materialize(hits.distinct(), "seed-hits")
+    groups = hits.groupBy("_text").agg(F.ceil(F.sum("_size") / GROUP_WORDS).alias("_groups"))
+    dealt = join_splitting(hits, groups, "_text").withColumn("_group", F.pmod(F.xxhash64("_item", "_start"), "_groups"))
+    dealt = dealt.groupBy("_text", "_group").agg(F.collect_list(F.struct("_item", "_start", "_size")).alias("_hits"))
+    # One row of each text that has hits: of the others, only the keys are compared.
+    with_hits = join_splitting(keyed, groups.select("_text"), "_text", "left_semi").groupBy("_text").agg(F.first("text").alias("text"))
+    laid = join_splitting(dealt, with_hits, "_text").select("_text", "text", "_hits")
+    windows = laid.mapInArrow(_windows, "_text string, _item long, _begin long, _skip long, _own binary")
+    words = items.mapInArrow(_item_words, "_item long, item_id long, _words binary")
+    found = join_splitting(windows, words, "_item").mapInArrow(
+        _verified, "_text string, _item long, item_id long, first_word long, n_span long, n_equal long")
+    best = found.groupBy("_text", "_item", "item_id").agg(F.max(F.struct("n_equal", "first_word", "n_span")).alias("best"))
+    return best.select("_text", "item_id", "best.first_word", "best.n_span", "best.n_equal")
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All overlaps of documents with benchmark items."""
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -56,6 +56,24 @@ def test_blocks_of_the_benchmark_do_not_matter(spark, documents, planted):
     assert rows(1) == rows(1 << 20)
 
 
+def test_benchmark_beyond_one_block_is_not_sent_whole(spark, documents, planted, monkeypatch):
+    """Beyond a block, the same rows by joins: also of repeated items, of texts with many hits, of null and repeated rows."""
+    items, docs, _ = planted
+    rng = random.Random(6)
+    passage = " ".join(items[0][1])
+    docs = [*docs, (None, passage), (400, passage), (400, passage), (401, None), (402, ""), (403, "x " * 3000 + passage), (404, "a b " * 500)]
+    items = [*items, items[0], (0, items[1][1]), (50, ["x"] * 7), (51, ["a", "b"] * 10), (None, items[0][1]), (99, None), (98, []), (97, words(rng, 5000))]
+    docs.append((405, " ".join(words(rng, 9) + items[-1][1][100:4000])))
+    table, rows = documents(docs), lambda n: sorted(map(str, d.contaminations(table, bench(spark, items), block_words=n).collect()))
+    kept = lambda n: sorted(map(str, d.clean(table, bench(spark, items), block_words=n).collect()))
+    sent, plain_kept = rows(1 << 20), kept(1 << 20)
+    monkeypatch.setattr(d, "GROUP_WORDS", 200)
+    monkeypatch.setattr(d, "Benchmark", None)
+    assert rows(100) == sent and len(sent) > 100
+    assert kept(100) == plain_kept and d.clean(table, bench(spark, items), block_words=100).columns == table.columns
+    assert d.contaminations(documents([]), bench(spark, items), block_words=100).count() == 0
+
+
 def test_clean_documents_stay(spark, documents, planted):
     items, docs, truth = planted
     table = documents(docs)
