@@ -222,7 +222,8 @@ def second_pairs(keyed: DataFrame, linked: DataFrame, tested: DataFrame, describ
     left, right = (small.select("key", F.col("node").alias(name), F.col("component").alias(f"_{name}")) for name in ("hub", "node"))
     listed = left.join(right, "key").where("_hub < _node").select("hub", "node")
     rows = rows.where(F.col("n") > LISTED)
-    sketches = described.join(rows.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s"))
+    wanted = join_splitting(described, rows.select("node").distinct(), "node")  # a node of many copies is split, then one row of each task is left
+    sketches = wanted.groupBy("node").agg(F.min(F.struct("n_shingles", "sketch")).alias("s"))
     rows = join_splitting(rows, sketches.select("node", F.col("s.n_shingles").alias("size"), "s.sketch"), "node")
     parts = F.ceil(F.col("n") / PART)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
@@ -244,7 +245,7 @@ def verified(pairs: DataFrame, described: DataFrame, docs: DataFrame, key: str =
     wanted = pairs.select(F.col("hub").alias("of"), "part", F.col("node").alias("of_node"), F.lit(1).alias("turn")).unionByName(
         pairs.select(F.col("hub").alias("of"), "part", F.col("hub").alias("of_node"), F.lit(0).alias("turn")).distinct())
     nodes = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
-    one = described.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row"))
+    one = described.groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node")  # copies are one row of a task before the shuffle
     texts = docs.select(_row(key).alias("row"), "text").join(one, "row").select("node", "text").dropDuplicates(["node"])
     rows = wanted.join(texts, wanted["of_node"] == texts["node"]).select("of", "part", "turn", "of_node", "text")
     rows = rows.repartition("of", "part").sortWithinPartitions("of", "part", "turn")
