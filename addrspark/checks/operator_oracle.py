@@ -252,6 +252,9 @@ def sinks() -> dict[str, str]:
         "k6_per_region": sql(mysql.format("region,")),
         "k6_direct": sql(mysql.format("")),
         "k6_scanned_tables": sql(mysql.format("region,")),
+        "k7_layouts": sql("""SELECT platform, layout, CASE WHEN inserts OR layout = 'region_tree' THEN n END AS n_rows
+            FROM (VALUES ('csv', FALSE), ('tsv', FALSE), ('psql', TRUE), ('psql_standard', TRUE), ('mysql', TRUE)) p(platform, inserts),
+              (VALUES ('direct'), ('per_region'), ('per_table'), ('region_tree')) l(layout), (SELECT count(*) AS n FROM houses)"""),
         "k8_load": sql(by_region.format("count(*)")),
         "k8_load_append": sql(by_region.format("2 * count(*)")),
     }

@@ -18,7 +18,7 @@ from addrspark.plans import addresses as adr, hierarchy as hie, wide as wid
 from addrspark.registry import Registry
 from addrspark.shared import new_folder
 from addrspark.sinks import render
-from addrspark.sinks.write import load_table, write_dump
+from addrspark.sinks.write import LAYOUTS, load_table, write_dump
 from addrspark.sources import files, xml_tables
 from addrspark.sources.schemas import lower_names, query_schema
 from addrspark.sources.xsd import find_schemas
@@ -255,6 +255,22 @@ def dumped(platform: str, layout: str) -> Query:
     return query
 
 
+def layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The house rows that each format and layout writes; NULL where the layout is refused for the format."""
+    houses, found = regional(derived_registry(spark, sf_dir), "houses"), []
+    for platform in render.DIALECTS:
+        for layout in LAYOUTS:
+            folder, kind = new_folder(spark, "dump"), [F.lit(platform).alias("platform"), F.lit(layout).alias("layout")]
+            try:
+                write_dump({"HOUSES": houses}, folder, platform, layout, keys={"HOUSES": ["objectid"]})
+            except ValueError:
+                found.append(houses.agg(F.count("*")).select(*kind, F.lit(None).cast("bigint").alias("n_rows")))
+            else:
+                rows = spark.read.text(folder).where(~F.col("value").startswith("INSERT INTO"))
+                found.append(rows.agg(F.count("*").alias("n_rows")).select(*kind, "n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def loaded(append: bool) -> Query:
     """Load a table twice and count its rows by region."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,6 +309,7 @@ def sinks() -> dict[str, Query]:
         "k6_per_region": dumped("mysql", "per_region"),
         "k6_direct": dumped("mysql", "direct"),
         "k6_scanned_tables": dumped_scan,
+        "k7_layouts": layouts,
         "k8_load": loaded(False),
         "k8_load_append": loaded(True),
     }

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from addrspark.functions.paths import last_step, parent_path, path_ids
+from addrspark.operators.joins import join_splitting
 
 SEPARATOR = ", "
 # The levels that get columns of their own in the wide tables.
@@ -119,12 +120,14 @@ def place_paths(paths: DataFrame, places: DataFrame) -> DataFrame:
     Rooms of an apartment, apartments of a house and houses of a street then meet in one path. Each round
     takes off a last step that is no place; the steps left out add nothing to an address.
     """
-    known = places.select(F.col("objectid").alias("_place")).distinct()
+    known = places.select(F.col("objectid").alias("_last"), F.lit(True).alias("_place")).distinct()
     rows = paths.withColumn("place_path", F.col("path"))
     for _ in range(STEPS_BELOW):
-        joined_rows = rows.join(known, last_step("place_path").try_cast("bigint") == F.col("_place"), "left")
+        # Many paths end in one house or street: such a step is split.
+        joined_rows = join_splitting(rows.withColumn("_last", last_step("place_path").try_cast("bigint")), known, "_last", "left")
         below = F.col("_place").isNull() & F.col("place_path").contains(".")
-        rows = joined_rows.withColumn("place_path", F.when(below, parent_path("place_path")).otherwise(F.col("place_path"))).drop("_place")
+        rows = joined_rows.withColumn("place_path", F.when(below, parent_path("place_path")).otherwise(F.col("place_path")))
+        rows = rows.drop("_place", "_last")
     return rows
 
 
