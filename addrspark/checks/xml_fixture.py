@@ -1,4 +1,9 @@
-"""The derived tables as a registry folder of XML files, to be read back."""
+"""The derived tables as a registry folder of XML files, to be read back.
+
+A derived table is computed once and stored as parquet by the folder that its rows go to; the XML files of a folder are
+then written from its rows alone. They are compressed: as text they are some ten times the size of the base tables. A
+compressed file is read by one task; a table has a file per task that wrote it.
+"""
 
 from __future__ import annotations
 
@@ -16,13 +21,23 @@ DATE = "20250131"
 EMPTY_REGION = "98"
 REGION_TABLES = ["ADDR_OBJ", "MUN_HIERARCHY", "HOUSES"]
 
+COMPRESSION = "gzip"
+
 _folders: dict[tuple[str, str], str] = {}
 
 
 def _write(df: DataFrame, folder: str, table: str) -> None:
     attributes = df.select(*[F.col(name).alias(f"_{name.upper()}") for name in df.columns])
     tag = ROW_TAGS[table]
-    attributes.write.format("xml").options(rowTag=tag, rootTag=f"{tag}S").save(f"{folder}/AS_{table}_{DATE}.XML")
+    attributes.write.format("xml").options(rowTag=tag, rootTag=f"{tag}S", compression=COMPRESSION).save(
+        f"{folder}/AS_{table}_{DATE}.XML")
+
+
+def _stored_by(df: DataFrame, column: str, label: str) -> DataFrame:
+    """``df`` stored with a folder for each text of ``column``, so that the rows of one are read without the others."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.partitionBy(column).option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def registry_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -31,10 +46,12 @@ def registry_folder(spark: SparkSession, sf_dir: str) -> str:
     if key not in _folders:
         reg, folder = derived_registry(spark, sf_dir), new_folder(spark, "xml")
         _write(reg.table("object_levels"), folder, "OBJECT_LEVELS")
-        regions = reg.table("mun_hierarchy").select("objectid", root_id().cast("string").alias("region"))
+        hierarchy = materialize(reg.table("mun_hierarchy"), "hierarchy")
+        regions = hierarchy.select("objectid", root_id().cast("string").alias("region"))
         roots = [row["objectid"] for row in reg.table("addr_obj").where("level = '1'").collect()]
         for table in REGION_TABLES:
-            tagged = materialize(reg.table(table.lower()).join(regions, "objectid"), "tagged")
+            rows = hierarchy if table == "MUN_HIERARCHY" else reg.table(table.lower())
+            tagged = _stored_by(rows.join(regions, "objectid"), "region", "tagged")
             for root in roots:
                 _write(tagged.where(F.col("region") == str(root)).drop("region"), f"{folder}/{root}", table)
         # What a listing must leave out, and a region without files.
@@ -114,10 +131,17 @@ def declared_folder(spark: SparkSession, sf_dir: str) -> str:
                 _write_schema(df, folder, entity, tag)
                 written.add(entity)
             attributes = df.select(*[F.col(column).cast("string").alias(f"_{column.upper()}") for column in df.columns])
-            places = {folder: F.lit(True)} if table in COMMON_TABLES else {
-                f"{folder}/{region}": (F.col("_ID") + F.floor(F.col("_ID") / 10)) % 2 == rest for region, rest in DECLARED_REGIONS.items()}
+            if table in COMMON_TABLES:
+                places = {folder: attributes}
+            else:
+                rest = ((F.col("_ID") + F.floor(F.col("_ID") / 10)) % 2).cast("string")
+                stored = _stored_by(attributes.withColumn("_rest", rest), "_rest", "declared")
+                places = {
+                    f"{folder}/{region}": stored.where(F.col("_rest") == str(rest)).drop("_rest")
+                    for region, rest in DECLARED_REGIONS.items()}
             for place, rows in places.items():
-                writer = attributes.where(rows).write.format("xml").options(rowTag=tag, rootTag="ROWS", valueTag="_TEXT")
+                writer = rows.write.format("xml").options(
+                    rowTag=tag, rootTag="ROWS", valueTag="_TEXT", compression=COMPRESSION)
                 writer.save(f"{place}/AS_{table}_{DATE}.XML")
         _folders[key] = folder
     return _folders[key]

@@ -1,6 +1,8 @@
 """What the registered queries compute once, and what they write."""
 
-from addrspark.checks import operator_queries as opq
+import glob
+
+from addrspark.checks import operator_queries as opq, xml_fixture
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,3 +17,23 @@ def test_layouts_derive_the_houses_once(spark, monkeypatch):
     monkeypatch.setattr(opq, "write_dump", dump)
     opq.layouts(spark, SF_DIR)
     assert len(read) == 20 and not any("lineitem" in file for files in read for file in files)
+
+
+def test_fixture_files_are_compressed(spark):
+    for write in (xml_fixture.registry_folder, xml_fixture.declared_folder):
+        files = glob.glob(f"{write(spark, SF_DIR)}/**/*.[xX][mM][lL]/part-*", recursive=True)
+        assert files and all(file.endswith(".xml.gz") for file in files)
+
+
+def test_fixture_rows_are_written_from_stored_tables(spark, monkeypatch):
+    read, write = [], xml_fixture._write
+
+    def watched(df, folder, table):
+        read.extend(df.inputFiles() if table in xml_fixture.REGION_TABLES else [])
+        write(df, folder, table)
+
+    monkeypatch.setattr(xml_fixture, "_folders", {})
+    monkeypatch.setattr(xml_fixture, "_write", watched)
+    xml_fixture.registry_folder(spark, SF_DIR)
+    folders = {file.rsplit("/", 2)[-2] for file in read if "region=" in file}
+    assert len(folders) == 5 and not any("lineitem" in file for file in read)
