@@ -3,15 +3,17 @@
 Each document gets the statistics that quality rules look at: word count, word
 length, symbols, repeated lines and words, and shares of capitals, marks and digits. Two
 plain rules come first (too few words, too much repetition). The others are left to an
-isolation forest: trees of random splits, grown on a bounded sample of the labelled
-rows, in which an odd document is alone after few splits. Statistics that tell the sample's good
-rows from its bad ones better are drawn more often for a split. Its anomaly score is 2 to
-the power of minus its mean path length over the expected one. The threshold is calibrated
-on other labelled rows: the one that finds most of the bad among all that
-reject at most ``MAX_FALSE`` of the good.
-
-Only the sample's statistics (at most ``SAMPLE`` rows) reach the driver; documents are
-scored where they are, without a shuffle.
+isolation forest: trees of random splits, in which an odd document is alone after few
+splits. Statistics that tell good rows from bad ones better are drawn more often for a
+split. Its anomaly score is 2 to the power of minus its mean path length over the expected
+one. The threshold is the one that finds most of the bad among all that reject at most
+``MAX_FALSE`` of the good.
+
+All labelled rows count, none is a sample: one half of them, by a hash of the key, is dealt out
+to the trees and gives the weights of the statistics, the other half gives the threshold. Bad rows
+must be few to be isolated early, so they weigh less in a tree. A tree is grown in one task, from
+its share of the rows. The trees, and counts by bins of the score, reach the driver;
+documents are scored where they are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,22 +22,27 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from addrspark.llm.running import running
 from addrspark.llm.tables import table
 from addrspark.llm.words import Words, blocks, mixed, shingles
+from addrspark.shared import materialize
 
 MIN_WORDS = 50
 #: Percent of the words that may stand in repeated three-word windows.
 MAX_REPEATED = 50
-#: Most labelled rows that the forest is grown and calibrated on.
-SAMPLE = 8000
 #: Share of the good sample rows that the calibrated threshold may reject.
 MAX_FALSE = 0.002
-#: Share of bad rows among those that trees are grown on: they must be few to be isolated early.
+#: Share of bad rows, by weight, among those that trees are grown on: they must be few to be isolated early.
 CONTAMINATION = 0.015
+#: Trees, the rows that each has at least (if there are so many), and levels of splits.
 TREES, TREE_ROWS, DEPTH = 128, 256, 8
+#: Bins of scores from 0 to 1, in which the rows for the threshold are counted.
+BINS = 1 << 16
+FEATURES = tuple(f"f{i}" for i in range(8))
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_bytes", "n_capitals", "n_marks", "n_digits", "n_mark_words", "n_lines")
@@ -131,6 +138,8 @@ class Forest:
     length: np.ndarray
     expected: float
     threshold: float = np.inf
+    #: The labelled rows that it was grown and calibrated on.
+    rows: int = 0
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """2 ** (-mean path length / expected path length) of each row."""
@@ -155,32 +164,44 @@ def _average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
+def _grown(x: np.ndarray, odd: np.ndarray, weight: float, weights: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One tree on the rows of ``x`` as arrays by node: feature, split, length. ``odd`` rows count ``weight`` each."""
+    nodes = 2 ** (DEPTH + 1) - 1
+    feature, split, length = np.full(nodes, -1), np.zeros(nodes), np.zeros(nodes)
+    waiting = [(0, 0, np.arange(len(x)))]
+    while waiting:
+        node, depth, own = waiting.pop()
+        low, high = x[own].min(0), x[own].max(0)
+        usable = np.flatnonzero(high > low)
+        mass = len(own) - int(odd[own].sum()) * (1 - weight)
+        length[node] = depth + _average_path(mass)
+        if depth == DEPTH or mass < 2 or not len(usable):
+            continue
+        f = rng.choice(usable, p=weights[usable] / weights[usable].sum())
+        feature[node], split[node] = f, rng.uniform(low[f], high[f])
+        right = x[own, f] >= split[node]
+        waiting += [(2 * node + 1, depth + 1, own[~right]), (2 * node + 2, depth + 1, own[right])]
+    return feature, split, length
+
+
+def _no_trees() -> Forest:
+    nodes = 2 ** (DEPTH + 1) - 1
+    return Forest(np.full((TREES, nodes), -1), np.zeros((TREES, nodes)), np.zeros((TREES, nodes)), 1e-9)
+
+
 def grow(x: np.ndarray, weights: np.ndarray, seed: int = 11) -> Forest:
     """A forest on the rows of ``x``; each tree takes ``TREE_ROWS`` of them, each split a feature drawn by ``weights``."""
-    rng = np.random.default_rng(seed)
-    nodes = 2 ** (DEPTH + 1) - 1
-    forest = Forest(np.full((TREES, nodes), -1), np.zeros((TREES, nodes)), np.zeros((TREES, nodes)), 1.0)
+    rng, forest = np.random.default_rng(seed), _no_trees()
     rows = min(TREE_ROWS, len(x))
     forest.expected = float(max(_average_path(rows), 1e-9))
     for t in range(TREES if rows else 0):
-        waiting = [(0, 0, rng.choice(len(x), rows, replace=False))]
-        while waiting:
-            node, depth, own = waiting.pop()
-            low, high = x[own].min(0), x[own].max(0)
-            usable = np.flatnonzero(high > low)
-            forest.length[t, node] = depth + _average_path(len(own))
-            if depth == DEPTH or len(own) < 2 or not len(usable):
-                continue
-            f = rng.choice(usable, p=weights[usable] / weights[usable].sum())
-            split = rng.uniform(low[f], high[f])
-            right = x[own, f] >= split
-            forest.feature[t, node], forest.split[t, node] = f, split
-            waiting += [(2 * node + 1, depth + 1, own[~right]), (2 * node + 2, depth + 1, own[right])]
+        own = x[rng.choice(len(x), rows, replace=False)]
+        forest.feature[t], forest.split[t], forest.length[t] = _grown(own, np.zeros(rows, bool), 1.0, weights, rng)
     return forest
 
 
 def calibrated(x: np.ndarray, good: np.ndarray, seed: int = 11) -> Forest:
-    """Grow on one half of the labelled rows, set the threshold on the other.
+    """As ``fitted``, for some rows in memory: grow on one half of them, set the threshold on the other.
 
     Without rows of both kinds in each half the threshold rejects nothing.
     """
@@ -205,33 +226,104 @@ def _blocks_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, dic
         yield begin, begin + len(texts), statistics(texts)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, key: str = "doc_id") -> Forest:
-    """A forest for ``docs`` from the labelled rows, at most ``sample`` of them, by the lowest hashes of their keys.
-
-    Labels that are null are left out; of several labels for a key the lowest counts, and of several rows that pass the
-    base rules the one with the lowest hash of its text.
-    """
+def _labelled(docs: DataFrame, labels: DataFrame, sample: int | None, key: str) -> DataFrame:
+    """The features of the labelled rows that pass the base rules: ``_good``, ``_draw`` (a hash of the key) and ``FEATURES``."""
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min("quality").alias("_quality"))
-    known = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)  # a bounded table
-    rows = docs.select(F.col(key).alias("_key"), "text").join(F.broadcast(known), "_key")
-    kind = rows.schema["_key"].dataType.simpleString()
+    if sample is not None:
+        known = known.orderBy(F.xxhash64("_key"), "_key").limit(sample)
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.xxhash64("text").alias("_hash"), "text")
+    kind, others = rows.schema["_key"].dataType.simpleString(), ("_key", "_hash")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, s in _blocks_of(batch, "text"):
                 keep = np.flatnonzero(~base_failed(s))
-                arrays = [pa.array(s[c][keep].astype(np.int64)) for c in STATISTICS]
                 own = [batch.column(c).slice(begin, end - begin).take(pa.array(keep)) for c in others]
-                yield pa.RecordBatch.from_arrays([*own, *arrays], names=[*others, *STATISTICS])
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c) for c in features(s)[keep].T]], names=[*others, *FEATURES])
 
-    others = ("_key", "_hash", "_quality")
-    schema = f"_key {kind}, _hash long, _quality int, " + ", ".join(f"{c} long" for c in STATISTICS)
-    rows = rows.select("_key", F.xxhash64("text").alias("_hash"), F.col("_quality").cast("int"), "text").mapInArrow(measure, schema)
+    # Texts are measured before the join, so that only numbers are shuffled.
+    rows = rows.mapInArrow(measure, f"_key {kind}, _hash long, " + ", ".join(f"{c} double" for c in FEATURES)).join(known, "_key")
     # A key may stand in many rows of docs: one counts, so that the keys alone bound the rows and none displaces others.
-    rows = rows.groupBy("_key").agg(F.min(F.struct("_hash", *STATISTICS, "_quality")).alias("_row")).select("_row.*")
-    found = rows.orderBy(*STATISTICS, "_quality").limit(sample).toPandas()
-    s = {c: found[c].to_numpy(np.int64) for c in STATISTICS}
-    return calibrated(features(s), found["_quality"].to_numpy() != 0)
+    rows = rows.groupBy("_key").agg(F.min(F.struct("_hash", *FEATURES, "_quality")).alias("_row"))
+    return rows.select((F.col("_row._quality") != 0).alias("_good"), F.xxhash64("_key", F.lit(7)).alias("_draw"), *[f"_row.{c}" for c in FEATURES])
+
+
+def _separations(rows: DataFrame, n_good: int, n_bad: int) -> np.ndarray:
+    """``separation`` of stored rows: good ones below each value, counted along the sorted values of a feature."""
+    if not n_good or not n_bad:
+        return np.ones(len(FEATURES))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("feature"), F.col(c).alias("value")) for i, c in enumerate(FEATURES)]))
+    counts = rows.select("_good", pairs.alias("pair")).groupBy("pair.feature", "pair.value").agg(
+        F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"))
+    ranks = running(counts, "feature", [F.col("value")], ["good"], 1, "quality-ranks")
+    below = ranks.groupBy("feature").agg(F.sum(F.col("bad") * (2 * F.col("good_run") - F.col("good"))).alias("twice")).collect()  # a row per feature
+    out = np.zeros(len(FEATURES))
+    for row in below:
+        out[row.feature] = abs(row.twice / n_good / n_bad - 1)
+    return out
+
+
+def _grown_apart(rows: DataFrame, n_good: int, n_bad: int, seed: int) -> Forest:
+    """A forest on all of the stored rows, each of them in one tree at least; few rows are dealt to several trees."""
+    forest = _no_trees()
+    if not n_good + n_bad:
+        return forest
+    weights = _separations(rows, n_good, n_bad) ** 4 + 0.001
+    weight = min(1.0, n_good * CONTAMINATION / (1 - CONTAMINATION) / max(n_bad, 1))
+    times = min(TREES, -(-TREES * TREE_ROWS // (n_good + n_bad)))
+    forest.expected = float(max(_average_path((n_good + weight * n_bad) * times / TREES), 1e-9))
+    first, step = F.shiftrightunsigned("_draw", 8) % TREES, F.shiftrightunsigned("_draw", 16) % (TREES // 2) * 2 + 1  # odd: other trees each time
+    dealt = rows.withColumn("_time", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    dealt = dealt.select("_good", *FEATURES, ((first + F.col("_time") * step) % TREES).cast("int").alias("tree"))
+
+    def tree(frame):
+        # In an order of their own, so that equal rows give equal trees.
+        frame = frame.sort_values([*FEATURES, "_good"])
+        t = int(frame["tree"].iloc[0])
+        arrays = _grown(frame[list(FEATURES)].to_numpy(float), ~frame["_good"].to_numpy(bool), weight, weights, np.random.default_rng([seed, t]))
+        return pd.DataFrame({"tree": [t], **{c: [a.tolist()] for c, a in zip(("feature", "split", "length"), arrays)}})
+
+    grown = dealt.groupBy("tree").applyInPandas(tree, "tree int, feature array<int>, split array<double>, length array<double>")
+    for row in grown.collect():  # TREES rows of bounded size
+        forest.feature[row.tree], forest.split[row.tree], forest.length[row.tree] = row.feature, row.split, row.length
+    return forest
+
+
+def _threshold(rows: DataFrame, forest: Forest) -> float:
+    """The score between the last good row that stays and the first bad row beyond it, both by their bins."""
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = forest.scores(np.column_stack([batch.column(c).to_numpy() for c in FEATURES]))
+            bins = np.minimum((scores * BINS).astype(np.int64), BINS - 1)
+            yield pa.RecordBatch.from_arrays([batch.column("_good"), pa.array(bins)], names=["_good", "bin"])
+
+    counts = rows.select("_good", *FEATURES).mapInArrow(scored, "_good boolean, bin long").groupBy("_good", "bin").count().collect()  # 2 * BINS at most
+    found = np.zeros((2, BINS), np.int64)
+    for row in counts:
+        found[int(row._good), row.bin] = row["count"]
+    odd, fine = found
+    if not odd.any() or not fine.any():
+        return np.inf
+    above = np.cumsum(fine[::-1])[::-1]  # good rows in a bin or a higher one
+    last = int(np.flatnonzero(above > int(MAX_FALSE * above[0]))[-1])
+    beyond = np.flatnonzero(odd[last + 1:])
+    return (2 * (last + 1) + (int(beyond[0]) if len(beyond) else 0)) / 2 / BINS
+
+
+def fitted(docs: DataFrame, labels: DataFrame, *, sample: int | None = None, key: str = "doc_id", seed: int = 11) -> Forest:
+    """A forest for ``docs`` from all labelled rows; ``sample``: from at most so many of them, by the lowest hashes of their keys.
+
+    Labels that are null are left out; of several labels for a key the lowest counts, and of several rows that pass the
+    base rules the one with the lowest hash of its text. Without rows of both kinds in each half the threshold rejects nothing.
+    """
+    rows = materialize(_labelled(docs, labels, sample, key), "quality-rows")
+    grows = F.col("_draw") % 2 == 0
+    counts = {(r.grows, r._good): r["count"] for r in rows.groupBy(grows.alias("grows"), "_good").count().collect()}
+    forest = _grown_apart(rows.where(grows), counts.get((True, True), 0), counts.get((True, False), 0), seed)
+    forest.rows = sum(counts.values())
+    if len(counts) == 4:
+        forest.threshold = _threshold(rows.where(~grows), forest)
+    return forest
 
 
 def judged(docs: DataFrame, forest: Forest, *, key: str = "doc_id") -> DataFrame:

@@ -89,3 +89,21 @@ def test_copies_of_a_key_displace_no_other_rows(spark, documents, labelled):
     fits = [q.fitted(documents(rows + [rows[-1]] * n), labels, sample=len(rows)) for n in (0, 3 * len(rows))]
     assert np.isfinite(fits[1].threshold) and fits[0].threshold == fits[1].threshold
     assert (fits[0].feature == fits[1].feature).all() and (fits[0].split == fits[1].split).all()
+
+
+def test_all_labelled_rows_count(spark, documents):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 52, "###" if i % 50 == 0 else "")) for i in range(8200)]
+    labels = spark.createDataFrame([(i, int(i % 50 != 0)) for i, _ in rows], "doc_id long, quality int")
+    docs = documents(rows)
+    forest = q.fitted(docs, labels)
+    assert forest.rows == 8200 and np.isfinite(forest.threshold)
+    kept = {r.doc_id: r.kept for r in q.judged(docs, forest).collect()}
+    assert not any(kept[i] for i in range(0, 8200, 50)) and np.mean([kept[i] for i in range(8200) if i % 50]) > 0.98
+
+
+def test_separation_of_stored_rows(spark):
+    rng = np.random.default_rng(2)
+    x, good = rng.integers(0, 9, (300, 8)) / 8, rng.random(300) < 0.7
+    rows = spark.createDataFrame([(bool(y), *map(float, r)) for y, r in zip(good, x)], "_good boolean, " + ", ".join(f"{c} double" for c in q.FEATURES))
+    assert np.allclose(q._separations(rows, int(good.sum()), int((~good).sum())), q.separation(x, good))
