@@ -3,6 +3,8 @@
 import glob
 
 from addrspark.checks import operator_queries as opq, xml_fixture
+from addrspark.sinks.write import load_table
+from addrspark.sources import path_bounds
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -37,3 +39,14 @@ def test_fixture_rows_are_written_from_stored_tables(spark, monkeypatch):
     xml_fixture.registry_folder(spark, SF_DIR)
     folders = {file.rsplit("/", 2)[-2] for file in read if "region=" in file}
     assert len(folders) == 5 and not any("lineitem" in file for file in read)
+
+
+def test_file_names_are_taken_once_per_file(spark, tmp_path):
+    df = spark.range(100).selectExpr("id as objectid", "string(id) as path", "string(id % 2) as region")
+    path = str(tmp_path / "mun_hierarchy")
+    load_table(df, path)
+    bounds = path_bounds.file_bounds(spark, path)
+    assert {row.file.split("/")[0] for row in bounds.collect()} == {"region=0", "region=1"}
+    assert (min(row.low for row in bounds.collect()), max(row.high for row in bounds.collect())) == ("0", "99")
+    by_row = bounds._jdf.queryExecution().optimizedPlan().toString().rpartition("Project [")[2]
+    assert "file_path" in by_row and "regexp" not in by_row  # names come after the aggregate
