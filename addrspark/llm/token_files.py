@@ -59,8 +59,8 @@ INDEX_ROW = np.dtype([("doc_id", "<i8"), ("missing", "<u1"), ("n", "<u8")])
 #: Pieces of text in each of the two parts of what a worker keeps, and new ones that are encoded as one text.
 CACHE_PIECES = 1 << 19
 NEW_PIECES = 1 << 7
-#: Bytes of text that are encoded at once; a longer text is worked on alone.
-ENCODE_BYTES = 1 << 23
+#: Bytes of text that are encoded at once, with some 18 times as much for arrays; a longer text is worked on alone.
+ENCODE_BYTES = 1 << 21
 
 
 def _classes() -> np.ndarray:

@@ -11,8 +11,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Bytes of text worked on at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 21
+#: Bytes of text worked on at once; a longer text is a block of its own. The arrays of a block take some 45 times as much.
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
