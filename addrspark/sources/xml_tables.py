@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.shared import materialize
 from addrspark.sources import sections
@@ -36,6 +38,12 @@ START_TAG = r"""^((?:[^<>"'/]++|"[^"<]*+"|'[^'<]*+'|/(?!>))*+)/?>"""
 # Comments, CDATA sections and processing instructions, whole or without their end.
 WHOLE_SECTION = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
 OPEN_SECTION = r"<!--|<!\[CDATA\[|<\?"
+# The start tag of a row as writers of registry files make it, up to its end: upper-case names, one space before each, and
+# values of visible characters and single spaces between them, without references. Other tags go to the XML parser.
+_VISIBLE = r"[!#-%'-;=-~\u00A1-\u167F]"
+PLAIN_TAG = rf"""^((?: [A-Z][A-Z0-9_]*+="{_VISIBLE}++(?: {_VISIBLE}++)*+")++) ?/?>"""
+#: Types whose plain values are read by a cast: those that give the same text when they are cast back.
+CAST_TYPES = (T.StringType, T.LongType, T.IntegerType, T.BooleanType, T.DateType)
 
 
 def _pieces(spark: SparkSession, paths: str | list[str], row_tag: str) -> DataFrame:
@@ -46,17 +54,45 @@ def _pieces(spark: SparkSession, paths: str | list[str], row_tag: str) -> DataFr
 
 
 def _parsed(pieces: DataFrame, row_tag: str, schema: T.StructType) -> DataFrame:
-    """The pieces that begin in a start tag, as rows. A longer name, or the text before the first row, is none."""
+    """The pieces that begin in a start tag, as rows. A longer name, or the text before the first row, is none.
+
+    A tag is parsed by itself by the XML parser, which sets up a reader for each; plain ones, which are nearly all, are split at
+    their quotes instead. What is not plain in any way, also a value that does not fit its type, is left to the parser and its errors.
+    """
     in_tag = F.col("value").rlike(r"^[\s/>]") & ~F.col("value").rlike(r"^\s*(<|$)")
     tag = F.regexp_extract("value", START_TAG, 0)
     unfinished = F.raise_error(F.lit(f"a {row_tag} element has no end")).cast("string")
     attributes = F.when(tag == "", unfinished).otherwise(F.regexp_extract("value", START_TAG, 1))
-    row = F.concat(F.lit(f"<{row_tag}"), attributes, F.lit("/>"))
-    return (
-        pieces.where(in_tag)
-        .select(F.from_xml(row, schema, ATTRIBUTES_ONLY).alias("row"), "_file")
-        .select("row.*", "_file")
-    )
+    parsed = F.from_xml(F.concat(F.lit(f"<{row_tag}"), attributes, F.lit("/>")), schema, ATTRIBUTES_ONLY)
+    rows = pieces.where(in_tag)
+    if all(f.name == f.name.upper() and isinstance(f.dataType, CAST_TYPES) for f in schema):
+        rows = _plain_values(rows, schema)
+        fields = [F.col(f"_value_{i}").try_cast(f.dataType).alias(f.name, metadata=f.metadata) for i, f in enumerate(schema)]
+        parsed = F.when(_is_plain(schema), F.struct(*fields)).otherwise(parsed)
+    return rows.select(parsed.alias("row"), "_file").select("row.*", "_file")
+
+
+def _plain_values(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """With the ``_parts`` of a plain start tag, names before values, and ``_value_i`` for each column; null without one."""
+    tag = F.regexp_extract("value", PLAIN_TAG, 1)
+    rows = rows.select("value", "_file", F.split(F.nullif(tag, F.lit("")), '"').alias("_parts"))
+    places = [F.array_position("_parts", F.lit(f" {f.name}=")).cast("int").alias(f"_place_{i}") for i, f in enumerate(schema)]
+    rows = rows.select("*", *places)
+    values = [F.when(F.col(p) > 0, F.get("_parts", F.col(p))).alias(f"_value_{i}") for i in range(len(schema)) for p in [f"_place_{i}"]]
+    return rows.select("value", "_file", "_parts", *values)
+
+
+def _is_plain(schema: T.StructType) -> Column:
+    """Whether a start tag was plain, has no name twice, and has values that the types give back as they were."""
+    plain = F.col("_parts").isNotNull()
+    for i, field in enumerate(schema):
+        if not isinstance(field.dataType, T.StringType):
+            value = F.col(f"_value_{i}")
+            plain = plain & (value.isNull() | F.coalesce(value.try_cast(field.dataType).cast("string") == value, F.lit(False)))
+    found = reduce(Column.__add__, [F.col(f"_value_{i}").isNotNull().cast("int") for i in range(len(schema))])
+    names = F.filter("_parts", lambda part, i: i % 2 == 0)
+    once = (F.size("_parts") == 2 * found + 1) | (F.size(F.array_distinct(names)) == F.size(names))
+    return plain & once
 
 
 def scan_files(spark: SparkSession, paths: str | list[str], row_tag: str, schema: T.StructType) -> DataFrame:

@@ -1,0 +1,58 @@
+"""Rows of XML read without the XML parser where they are plain, against the parser alone."""
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from addrspark.sources import xml_tables
+
+SCHEMA = T.StructType([
+    T.StructField("ID", T.LongType(), False), T.StructField("N", T.IntegerType()), T.StructField("NAME", T.StringType(), True, {"max_length": 9}),
+    T.StructField("ISACTIVE", T.BooleanType()), T.StructField("DAY", T.DateType()),
+])
+PLAIN = [
+    ' ID="1" N="2" NAME="Arbat 5" ISACTIVE="true" DAY="2024-02-29"/>', ' DAY="2025-01-31" NAME="ул. Арбат" ID="-7">text', ' ID="9223372036854775807" />',
+    ' ID="3" NAME="null" OTHER="x"/>', ' NAME="a>b/c=\'d" ID="0"/>',
+]
+OTHER = [
+    ' ID="1" NAME="a &amp; &#x416;"/>', ' ID=\'2\' NAME=\'"q"\'/>', '\tID="3"\n NAME="x\ty"/>', ' ID="4" NAME=""/>', ' ID="5" NAME="  a  b  "/>',
+    ' id="6" name="low"/>', ' ID="007" N="+5"/>', ' ID="8" ISACTIVE="1"/>', ' ID="9" ISACTIVE="0" NAME=" "/>', ' NAME="a  b" ID="10"/>',
+    ' xmlns="urn:a" ID="11"/>', ' ID="12" NAME=" x "/>', '/>', ' ID="13"  NAME="two"/>', ' ID = "14"/>', ' Id="15" ID="16"/>',
+]
+BAD = [' ID="x"/>', ' ID="1" ID="2"/>', ' OTHER="1" ID="1" OTHER="2"/>', ' ID="9223372036854775808"/>', ' N="2147483648"/>', ' DAY="2024-02-30"/>',
+       ' ISACTIVE="yes"/>', ' ID=""/>', ' ID="1"NAME="x"/>', ' ID="1" NAME="a']
+
+
+def rows_of(spark, values):
+    pieces = spark.createDataFrame([(v, "file", 0) for v in values], "value string, _file string, _block long")
+    return xml_tables._parsed(pieces, "ROW", SCHEMA)
+
+
+def by_parser(spark, values, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(xml_tables, "CAST_TYPES", ())
+        return rows_of(spark, values)
+
+
+def results(df):
+    try:
+        return sorted(map(repr, df.collect()))
+    except Exception:
+        return "error"
+
+
+@pytest.mark.parametrize("value", [*PLAIN, *OTHER, *BAD])
+def test_rows_are_those_of_the_parser(spark, monkeypatch, value):
+    expected = by_parser(spark, [value], monkeypatch)
+    got = rows_of(spark, [value])
+    assert got.schema == expected.schema
+    assert results(got) == results(expected)
+    assert value not in PLAIN or results(got) != "error"
+
+
+def test_plain_rows_do_not_need_the_parser(spark, monkeypatch):
+    expected = results(by_parser(spark, PLAIN, monkeypatch))
+    with monkeypatch.context() as patch:
+        patch.setattr(xml_tables.F, "from_xml", lambda row, schema, options: F.raise_error(F.concat(F.lit("parsed "), row)).cast(
+            T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])))
+        got = rows_of(spark, PLAIN)
+    assert results(got) == expected != "error"
