@@ -2,9 +2,14 @@
 
 import glob
 
+from pyspark.sql import Row
+
 from addrspark.checks import operator_queries as opq, xml_fixture
+from addrspark.plans import wide as wid
+from addrspark.registry import Registry
 from addrspark.sinks.write import load_table
 from addrspark.sources import path_bounds
+from rows import house, link, place
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -50,3 +55,30 @@ def test_file_names_are_taken_once_per_file(spark, tmp_path):
     assert (min(row.low for row in bounds.collect()), max(row.high for row in bounds.collect())) == ("0", "99")
     by_row = bounds._jdf.queryExecution().optimizedPlan().toString().rpartition("Project [")[2]
     assert "file_path" in by_row and "regexp" not in by_row  # names come after the aggregate
+
+
+def test_empty_parents_do_not_work_out_children_again(stored):
+    def scans(df, column):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return sum("Relation [" in line and f"{column}#" in line for line in plan.splitlines())
+
+    flats, rooms = wid.all_apartments(stored, keep_empty=True), wid.all_rooms(stored, keep_empty=True)
+    assert (scans(flats, "aparttype"), scans(rooms, "roomtype")) == (1, 1)
+    assert scans(rooms, "aparttype") <= 3  # with rooms, without, and their ids
+
+
+def test_single_rows_keep_empty_parents_once(make_registry):
+    rows = dict(
+        mun_hierarchy=[link("1"), link("1.10"), link("1.10.20"), link("1.10.20.30"), link("1.10.20.30.40"), link("1.10.20.50"),
+                       link("1.10.20.60"), link("1.10.21"), link("1.10.22"), link("1.10.22.70")],
+        addr_obj=[place(1, "R", "reg", 1), place(10, "S", "st", 8)],
+        houses=[house(20, "1"), house(21, "2"), house(22, "3")],
+        apartments=[(30, "g30", "1", 2, 1), (50, "g50", "2", 2, 1)],
+        rooms=[(40, "g40", "4", 1, 1), (60, "g60", "6", 1, 1)],
+    )
+    columns = ["level_10_objectid", "level_9_objectid", "level_65_objectid"]
+    reg = make_registry(**rows)
+    for single in (False, True):
+        found = wid.all_rooms(Registry(reg.tables, single), keep_empty=True).select(columns).collect()
+        assert sorted(map(str, found)) == sorted(map(str, [
+            Row(**dict(zip(columns, ids))) for ids in [(20, 30, 40), (20, 50, None), (20, None, None), (21, None, None), (22, None, None)]]))
