@@ -1,8 +1,9 @@
 """The derived tables as a registry folder of XML files, to be read back.
 
-A derived table is computed once and stored as parquet by the folder that its rows go to; the XML files of a folder are
-then written from its rows alone. They are compressed: as text they are some ten times the size of the base tables. A
-compressed file is read by one task; a table has a file per task that wrote it.
+A derived table is computed once: it is stored as parquet by the folder that its rows go to, and the XML files of a folder are
+then written from its rows alone, or the files of all folders are written at once. They are compressed, at the level that
+takes least time: as text they are some ten times the size of the base tables. A compressed file is read by one task; a
+table has a file per task that wrote it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.fixtures import REGISTRY_TABLES, derived_registry
 from addrspark.functions.paths import root_id
+from addrspark.registry import Registry
 from addrspark.shared import materialize, new_folder
 from addrspark.sources.schemas import COMMON_TABLES, entity_of
 from addrspark.sources.xml_tables import ROW_TAGS
@@ -21,7 +23,7 @@ DATE = "20250131"
 EMPTY_REGION = "98"
 REGION_TABLES = ["ADDR_OBJ", "MUN_HIERARCHY", "HOUSES"]
 
-COMPRESSION = "gzip"
+COMPRESSION = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 _folders: dict[tuple[str, str], str] = {}
 
@@ -29,7 +31,7 @@ _folders: dict[tuple[str, str], str] = {}
 def _write(df: DataFrame, folder: str, table: str) -> None:
     attributes = df.select(*[F.col(name).alias(f"_{name.upper()}") for name in df.columns])
     tag = ROW_TAGS[table]
-    attributes.write.format("xml").options(rowTag=tag, rootTag=f"{tag}S", compression=COMPRESSION).save(
+    attributes.write.format("xml").options(rowTag=tag, rootTag=f"{tag}S", **COMPRESSION).save(
         f"{folder}/AS_{table}_{DATE}.XML")
 
 
@@ -93,10 +95,9 @@ ELEMENTS = {
 }
 
 
-def _derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    reg = derived_registry(spark, sf_dir)
+def _derived(reg: Registry, text: str) -> DataFrame:
     names = {field for _, field, _, _ in string.Formatter().parse(text) if field}
-    return spark.sql(text, **{name: reg.table(name) for name in names})
+    return reg.table("object_levels").sparkSession.sql(text, **{name: reg.table(name) for name in names})
 
 
 def _attribute(field: T.StructField) -> str:
@@ -118,31 +119,48 @@ def _write_schema(df: DataFrame, folder: str, entity: str, tag: str) -> None:
     df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/AS_{entity}_2_251_01.xsd")
 
 
+def _write_places(df: DataFrame, column: str, places: dict[str, str], options: dict[str, str]) -> None:
+    """Write the rows of each text of ``column`` as XML to its place, all at once and without a sort by it."""
+    spark, writers = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    folder, before = new_folder(spark, "places"), spark.conf.get(writers)
+    spark.conf.set(writers, str(len(places) + 1))
+    try:
+        df.write.partitionBy(column).format("xml").options(**options).save(folder)
+    finally:
+        spark.conf.set(writers, before)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for place, text in places.items():
+        written = path(f"{folder}/{column}={text}")
+        if system.exists(written):
+            system.mkdirs(path(place).getParent())
+            if not system.rename(written, path(place)):
+                raise OSError(f"{written} was not put at {place}")
+        else:
+            df.limit(0).drop(column).write.format("xml").options(**options).save(place)
+
+
 def declared_folder(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the tables of ``DECLARED`` and a schema document for each entity, written once per session."""
     key = (spark.sparkContext.applicationId, f"{sf_dir} declared")
     if key not in _folders:
-        folder, written = new_folder(spark, "xml"), set()
+        folder, written, reg = new_folder(spark, "xml"), set(), derived_registry(spark, sf_dir)
         for name, text in DECLARED.items():
-            df, table = _derived(spark, sf_dir, text), name.upper()
+            df, table = _derived(reg, text), name.upper()
             entity = entity_of(table)
             tag = ROW_TAGS.get(entity, entity)
             if entity not in written:
                 _write_schema(df, folder, entity, tag)
                 written.add(entity)
             attributes = df.select(*[F.col(column).cast("string").alias(f"_{column.upper()}") for column in df.columns])
+            options = dict(rowTag=tag, rootTag="ROWS", valueTag="_TEXT", **COMPRESSION)
+            file = f"AS_{table}_{DATE}.XML"
             if table in COMMON_TABLES:
-                places = {folder: attributes}
+                attributes.write.format("xml").options(**options).save(f"{folder}/{file}")
             else:
                 rest = ((F.col("_ID") + F.floor(F.col("_ID") / 10)) % 2).cast("string")
-                stored = _stored_by(attributes.withColumn("_rest", rest), "_rest", "declared")
-                places = {
-                    f"{folder}/{region}": stored.where(F.col("_rest") == str(rest)).drop("_rest")
-                    for region, rest in DECLARED_REGIONS.items()}
-            for place, rows in places.items():
-                writer = rows.write.format("xml").options(
-                    rowTag=tag, rootTag="ROWS", valueTag="_TEXT", compression=COMPRESSION)
-                writer.save(f"{place}/AS_{table}_{DATE}.XML")
+                places = {f"{folder}/{region}/{file}": str(rest) for region, rest in DECLARED_REGIONS.items()}
+                _write_places(attributes.withColumn("_rest", rest), "_rest", places, options)
         _folders[key] = folder
     return _folders[key]
 
@@ -151,10 +169,10 @@ def sections_folder(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the tables of ``ELEMENTS``, where three of four ranges of rows lie in sections. A file has whole ranges."""
     key = (spark.sparkContext.applicationId, f"{sf_dir} sections")
     if key not in _folders:
-        folder = new_folder(spark, "xml")
+        folder, reg = new_folder(spark, "xml"), derived_registry(spark, sf_dir)
         for table, text in ELEMENTS.items():
             number = F.floor(F.col("objectid") / RANGE)
-            rows = _derived(spark, sf_dir, text).select(number.alias("number"), F.col("objectid").alias("position"), "line")
+            rows = _derived(reg, text).select(number.alias("number"), F.col("objectid").alias("position"), "line")
             marks = [
                 rows.select("number").distinct().select(
                     "number", F.lit(position).cast("bigint").alias("position"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from addrspark.shared import materialize
 from addrspark.sources import sections
@@ -33,6 +33,7 @@ ATTRIBUTES_ONLY = {"attributePrefix": "", "mode": "FAILFAST"}
 
 # The start tag of a row after its name, up to its end; a ``>`` may stand inside a value.
 START_TAG = r"""^((?:[^<>"'/]++|"[^"<]*+"|'[^'<]*+'|/(?!>))*+)/?>"""
+BLANKS = " \t\r\n"
 # Comments, CDATA sections and processing instructions, whole or without their end.
 WHOLE_SECTION = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
 OPEN_SECTION = r"<!--|<!\[CDATA\[|<\?"
@@ -45,15 +46,24 @@ def _pieces(spark: SparkSession, paths: str | list[str], row_tag: str) -> DataFr
     )
 
 
-def _parsed(pieces: DataFrame, row_tag: str, schema: T.StructType) -> DataFrame:
-    """The pieces that begin in a start tag, as rows. A longer name, or the text before the first row, is none."""
-    in_tag = F.col("value").rlike(r"^[\s/>]") & ~F.col("value").rlike(r"^\s*(<|$)")
+def _parsed(pieces: DataFrame, row_tag: str, schema: T.StructType, admitted: Column | None = None) -> DataFrame:
+    """The pieces that begin in a start tag, as rows. A longer name, or the text before the first row, is none.
+
+    Most pieces are one empty element and blanks, which is told without a regular expression. The others must be
+    ``admitted``, if that is given.
+    """
+    value = F.col("value")
+    alone = value.startswith(" ") & value.contains('"') & ~value.contains("<")
+    in_tag = value.rlike(r"^[\s/>]") & ~value.rlike(r"^\s*(<|$)")
+    wanted = in_tag if admitted is None else admitted & in_tag
     tag = F.regexp_extract("value", START_TAG, 0)
     unfinished = F.raise_error(F.lit(f"a {row_tag} element has no end")).cast("string")
     attributes = F.when(tag == "", unfinished).otherwise(F.regexp_extract("value", START_TAG, 1))
-    row = F.concat(F.lit(f"<{row_tag}"), attributes, F.lit("/>"))
+    name, end = F.lit(f"<{row_tag}"), F.col("_tag").endswith("/>") & (F.instr("_tag", ">") == F.length("_tag"))
+    row = F.when(alone & end, F.concat(name, "_tag")).otherwise(F.concat(name, attributes, F.lit("/>")))
     return (
-        pieces.where(in_tag)
+        pieces.where(F.when(alone, True).otherwise(wanted))
+        .withColumn("_tag", F.rtrim("value", F.lit(BLANKS)))
         .select(F.from_xml(row, schema, ATTRIBUTES_ONLY).alias("row"), "_file")
         .select("row.*", "_file")
     )
@@ -75,7 +85,7 @@ def scan_files(spark: SparkSession, paths: str | list[str], row_tag: str, schema
     error = F.raise_error(
         F.lit(f"{row_tag} elements in a comment or CDATA: carry sections over pieces, or read the files whole")
     ).cast("boolean")
-    return _parsed(pieces.where(F.when(is_open, error).otherwise(True)), row_tag, schema)
+    return _parsed(pieces, row_tag, schema, F.when(is_open, error).otherwise(True))
 
 
 def scan_sections(spark: SparkSession, paths: str | list[str], row_tag: str, schema: T.StructType) -> DataFrame:

@@ -1,14 +1,17 @@
 """What the registered queries compute once, and what they write."""
 
 import glob
+import re
+from xml.etree import ElementTree
 
-from pyspark.sql import Row
+import pytest
+from pyspark.sql import Row, types as T
 
 from addrspark.checks import operator_queries as opq, xml_fixture
 from addrspark.plans import wide as wid
 from addrspark.registry import Registry
 from addrspark.sinks.write import load_table
-from addrspark.sources import path_bounds
+from addrspark.sources import path_bounds, xml_tables
 from rows import house, link, place
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -82,3 +85,41 @@ def test_single_rows_keep_empty_parents_once(make_registry):
         found = wid.all_rooms(Registry(reg.tables, single), keep_empty=True).select(columns).collect()
         assert sorted(map(str, found)) == sorted(map(str, [
             Row(**dict(zip(columns, ids))) for ids in [(20, 30, 40), (20, 50, None), (20, None, None), (21, None, None), (22, None, None)]]))
+
+
+def test_declared_tables_are_written_at_once(spark, monkeypatch):
+    """All regions from one pass over the rows, with nothing stored in between; a region without rows has a file, too."""
+    monkeypatch.setattr(xml_fixture, "_folders", {})
+    stored = f"{spark.conf.get('spark.checkpoint.dir')}/addrspark/declared-*"
+    before = set(glob.glob(stored))
+    folder = xml_fixture.declared_folder(spark, SF_DIR)
+    assert set(glob.glob(stored)) == before
+    assert len(glob.glob(f"{folder}/*/AS_HOUSES_2*.XML/part-*")) >= 2
+    rows = spark.range(5).selectExpr("string(id) as _ID", "if(id < 3, '0', null) as _rest")
+    options = dict(rowTag="ROW", rootTag="ROWS", **xml_fixture.COMPRESSION)
+    xml_fixture._write_places(rows, "_rest", {f"{folder}/places/{n}.XML": n for n in ("0", "1")}, options)
+    read = [xml_tables.scan_files(spark, f"{folder}/places/{n}.XML", "ROW", T.StructType.fromDDL("ID long")) for n in ("0", "1")]
+    assert [sorted(row.ID for row in df.collect()) for df in read] == [[0, 1, 2], []]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+@pytest.mark.parametrize("text", [
+    "<R><A X='1' Y='>'/> <A X=\"2\" Y=\"a/>\"/><AB X=\"3\"/>\n<A X=\"4\" Y=\"'\"></A> <A\tX=\"5\"\n Y=\"&lt;\" /></R>",
+    "<A X=\"1\"/>", "<A X=\"1\" Y=\" b \"/>\n<A X=\"2\"/>\n", "<A   \n", "<A/><A />", "<A Y=\"/>\" X=\"7\"/> ",
+])
+def test_lone_elements_are_rows_as_all_others(spark, tmp_path, text):
+    """Pieces that are told without a regular expression give the rows that the expression finds."""
+    (tmp_path / "a.xml").write_text(text)
+    found = xml_tables.scan_files(spark, str(tmp_path / "a.xml"), "A", T.StructType.fromDDL("X long, Y string"))
+    pieces = [piece for piece in text.split("<A")[1:] if piece[:1] in (" ", "\t", "\n", "/", ">") and piece.strip()]
+    parsed = [ElementTree.fromstring(re.match(r"""(?:[^>"']|"[^"]*"|'[^']*')*?/?>""", f"<A{piece}")[0].rstrip("/>") + "/>") for piece in pieces]
+    expected = [(e.get("X") and int(e.get("X")), e.get("Y") and e.get("Y").strip()) for e in parsed]
+    assert [(row.X, row.Y) for row in found.collect()] == expected
+    assert "Contains(value" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("text", ["<A X=\"1/>", "<A X=\"1\" Y='\"/>", "<A X=\"1\"", "<A X=\"1\" X=\"2\"/>", "<A X=\"1\" Y/>", "<A X=\"z\"/>"])
+def test_lone_elements_that_are_malformed(spark, tmp_path, text):
+    (tmp_path / "a.xml").write_text(text)
+    with pytest.raises(Exception):
+        xml_tables.scan_files(spark, str(tmp_path / "a.xml"), "A", T.StructType.fromDDL("X long, Y string")).collect()
