@@ -7,7 +7,7 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import Row, types as T
 
-from addrspark.checks import operator_queries as opq, xml_fixture
+from addrspark.checks import operator_queries as opq, queries as plan_queries, xml_fixture
 from addrspark.plans import wide as wid
 from addrspark.registry import Registry
 from addrspark.sinks.write import load_table
@@ -123,3 +123,18 @@ def test_lone_elements_that_are_malformed(spark, tmp_path, text):
     (tmp_path / "a.xml").write_text(text)
     with pytest.raises(Exception):
         xml_tables.scan_files(spark, str(tmp_path / "a.xml"), "A", T.StructType.fromDDL("X long, Y string")).collect()
+
+
+def test_rooms_with_empty_parents_derive_the_hierarchy_once(spark):
+    """The query reads the stored hierarchy: countries are left in the address objects alone."""
+    df = plan_queries.queries()["mq14_all_rooms_keep_empty"](spark, SF_DIR)
+    assert any("/hierarchy-" in file for file in df.inputFiles())
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line and "n_nationkey#" in line for line in plan.splitlines()) == 1
+
+
+def test_named_and_unnamed_apartments_read_the_same_links(stored):
+    """Links have one filter wherever they are read, so that their shuffle is used again."""
+    plan = wid.all_rooms(stored, keep_empty=True, ordered=False)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [re.sub(r"#\d+L?", "", line).lstrip(" :+-") for line in plan.splitlines() if "isnotnull(parentobjid#" in line]
+    assert len(filters) >= 3 and len(set(filters)) == 1
